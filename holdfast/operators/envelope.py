@@ -6,7 +6,7 @@ scored carries its reason in `error` from the step that finds it up to the respo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,12 @@ NO_RECORDS = "the request has no records"
 NOT_AN_OBJECT = "a record is not an object"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` mentions it. Without this,
+    filters that Catalyst pushes down would repeat the JSON parsing for each mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _is_list(text: Column) -> Column:
     return text.rlike(r"^\s*\[")
 
@@ -43,10 +49,25 @@ def _parse(text: Column, item: str) -> Column:
     )
 
 
-def _objects(parsed: Column, text: Column) -> Column:
-    """The objects in a parsed frame; null when the text was malformed."""
-    last = F.get(F.get(parsed, F.lit(1)), F.lit(0))
-    return F.when((F.size(parsed) == 2) & F.map_contains_key(last, _marker(text)), F.get(parsed, F.lit(0)))
+def _objects(text: Column, item: str) -> Column:
+    """The objects of a text as maps; null when it is malformed."""
+
+    def checked(parsed: Column) -> Column:
+        last = F.get(F.get(parsed, F.lit(1)), F.lit(0))
+        return F.when((F.size(parsed) == 2) & F.map_contains_key(last, _marker(text)), F.get(parsed, F.lit(0)))
+
+    return _let(_parse(text, item), checked)
+
+
+def _payload(value: Column) -> Column:
+    def unwrapped(objects: Column) -> Column:
+        event = F.get(objects, F.lit(0))
+        wrapped = F.coalesce((F.size(objects) == 1) & F.map_contains_key(event, "body"), F.lit(False))
+        text = F.when(F.schema_of_variant(event["body"]) == "STRING", event["body"].cast("string"))
+        return F.when(wrapped, text).otherwise(value)
+
+    may_wrap = value.contains("body") & ~_is_list(value)
+    return F.when(may_wrap, _let(_objects(value, "variant"), unwrapped)).otherwise(value)
 
 
 def unwrap_body(requests: DataFrame) -> DataFrame:
@@ -54,14 +75,7 @@ def unwrap_body(requests: DataFrame) -> DataFrame:
 
     A body that is not a text (null, object, number) leaves the payload null.
     """
-    value = F.col("value")
-    may_wrap = value.contains("body") & ~_is_list(value)
-    staged = requests.withColumn("_event", F.when(may_wrap, _parse(value, "variant")))
-    objects = _objects(F.col("_event"), value)
-    event = F.get(objects, F.lit(0))
-    wrapped = F.coalesce((F.size(objects) == 1) & F.map_contains_key(event, "body"), F.lit(False))
-    text = F.when(F.schema_of_variant(event["body"]) == "STRING", event["body"].cast("string"))
-    return staged.withColumn("payload", F.when(wrapped, text).otherwise(value)).drop("_event")
+    return requests.withColumn("payload", _payload(F.col("value")))
 
 
 def _last_wins(record: Column) -> Column:
@@ -79,29 +93,33 @@ def _last_wins(record: Column) -> Column:
 
 def parse_requests(requests: DataFrame) -> DataFrame:
     """(request_id, records, error): records are maps from key to text, null after an error."""
-    payload = F.col("payload")
-    staged = unwrap_body(requests).withColumn("_parsed", _parse(payload, "string"))
-    staged = staged.withColumn("_found", _objects(F.col("_parsed"), payload))
-    found = F.col("_found")
     kind = F.col("content_type")
-    error = (
-        F.when(
-            ~kind.eqNullSafe(values.JSON_TYPE),
-            F.concat(F.lit("Unsupported content type: "), F.coalesce(kind, F.lit("None"))),
-        )
-        .when(F.col("value").isNotNull() & payload.isNull(), BODY_NOT_TEXT)
-        .when(found.isNull() | (~_is_list(payload) & (F.size(found) != 1)), MALFORMED)
-        .when(F.size(found) == 0, NO_RECORDS)
-        .when(F.exists(found, lambda r: r.isNull()), NOT_AN_OBJECT)
-    )
-    checked = staged.select("request_id", error.alias("error"), "_found")
-    records = F.when(F.col("error").isNull(), F.transform(found, _last_wins))
-    return checked.select("request_id", records.alias("records"), "error")
+    foreign = F.concat(F.lit("Unsupported content type: "), F.coalesce(kind, F.lit("None")))
+
+    def result(payload: Column) -> Column:
+        def judged(found: Column) -> Column:
+            error = (
+                F.when(F.col("value").isNotNull() & payload.isNull(), BODY_NOT_TEXT)
+                .when(found.isNull() | (~_is_list(payload) & (F.size(found) != 1)), MALFORMED)
+                .when(F.size(found) == 0, NO_RECORDS)
+                .when(F.exists(found, lambda record: record.isNull()), NOT_AN_OBJECT)
+            )
+            return F.struct(found.alias("records"), error.alias("error"))
+
+        return _let(_objects(payload, "string"), judged)
+
+    nothing = F.struct(F.lit(None).cast("array<map<string,string>>").alias("records"), foreign.alias("error"))
+    fine = kind.eqNullSafe(values.JSON_TYPE)
+    found = F.when(fine, _let(_payload(F.col("value")), result)).otherwise(nothing)
+    judged = requests.select("request_id", found.alias("_found"))
+    records = F.when(F.col("_found.error").isNull(), F.transform("_found.records", _last_wins))
+    return judged.select("request_id", records.alias("records"), F.col("_found.error").alias("error"))
 
 
 def request_records(parsed: DataFrame) -> DataFrame:
     """(request_id, position, record): one row per record of the requests without error."""
-    return parsed.where("error is null").select("request_id", F.posexplode("records").alias("position", "record"))
+    rows = parsed.select("request_id", F.posexplode_outer("records").alias("position", "record"))
+    return rows.where("position is not null")
 
 
 def _number(text: Column) -> Column:
@@ -110,72 +128,98 @@ def _number(text: Column) -> Column:
     return known(number)
 
 
-def _first(conditions: dict[str, Column], prefix: str) -> Column:
-    """The prefix and name of the first condition that holds."""
-    return F.coalesce(*[F.when(c, F.lit(f"{prefix}: {name}")) for name, c in conditions.items()])
+def _named(names: Sequence[str], position: Column) -> Column:
+    """The name at a position that counts from 1, null for 0."""
+    return F.try_element_at(F.array(*[F.lit(n) for n in names]), F.nullif(position.cast("int"), F.lit(0)))
 
 
 def align_requests(parsed: DataFrame, features: Sequence[Feature], mode: str = ENCODED) -> DataFrame:
-    """(request_id, position, error, features): one row per record, one per request with an error.
+    """(request_id, position, error, values): one row per record, one per request with an error.
 
-    A key that no record of the request has is 0; one that only some records lack, or that is
-    null, is missing (null). The modes are those of `scoring_features`.
+    `values` are the features in order. A key that no record of the request has is 0; one that
+    only some records lack, or that is null, is missing (null). The modes are those of
+    `scoring_features`.
     """
     if mode not in (ENCODED, REFERENCE_PARITY):
         raise ValueError(f"unknown scoring mode {mode!r}")
+    names = [f.name for f in features]
     encoded = [f for f in features if f.level is not None and mode == ENCODED]
-    names = list(dict.fromkeys([f.name for f in features] + [f.source for f in encoded]))
-    place = {name: f"p{i}" for i, name in enumerate(names)}
+    sources = list(dict.fromkeys(f.source for f in encoded))
+
+    def literals(texts: Sequence[str]) -> Column:
+        return F.array(*[F.lit(t) for t in texts]) if texts else F.array().cast("array<string>")
+
     keys = F.array_distinct(F.flatten(F.transform("records", lambda r: F.map_keys(r))))
     staged = parsed.select("request_id", "error", "records", keys.alias("_keys"))
-    given = F.struct(*[F.array_contains("_keys", name).alias(p) for name, p in place.items()])
+
+    def given(texts: Sequence[str]) -> Column:
+        return F.transform(literals(texts), lambda name: F.array_contains("_keys", name))
+
     rows = staged.select(
-        "request_id", "error", given.alias("_given"), F.posexplode_outer("records").alias("position", "_record")
+        "request_id",
+        "error",
+        given(names).alias("_given"),
+        given(sources).alias("_given_sources"),
+        F.posexplode_outer("records").alias("position", "_record"),
     )
 
-    def in_request(name: str) -> Column:
-        return F.col("_given")[place[name]]
-
-    def text(name: str) -> Column:
-        return F.col("_record")[name]
+    def number(text: Column, present: Column) -> Column:
+        return F.when(present, _number(text)).otherwise(0.0)
 
-    def number(name: str) -> Column:
-        return F.when(in_request(name), _number(text(name))).otherwise(0.0)
+    looked_up = rows.select(
+        "request_id",
+        "position",
+        "error",
+        "_given",
+        "_given_sources",
+        F.transform(literals(names), lambda name: F.col("_record")[name]).alias("_texts"),
+        F.transform(literals(sources), lambda name: F.col("_record")[name]).alias("_levels"),
+    )
+    numbered = looked_up.withColumn("_numbers", F.zip_with("_texts", "_given", number))
 
-    def value(f: Feature) -> Column:
+    def value(i: int, f: Feature) -> Column:
+        number = F.get("_numbers", F.lit(i))
         if f not in encoded:
-            return number(f.name)
-        hit = F.coalesce((text(f.source) == f.level).cast("double"), F.lit(0.0))
-        return F.when(in_request(f.source), hit).otherwise(number(f.name))
-
-    odd = {
-        f.name: _number(text(f.name)).isNull() & text(f.name).isNotNull() & ~text(f.name).isin("NaN", '"NaN"')
-        for f in features
-        if f not in encoded
-    }
-    return rows.select(
+            return number
+        at = F.lit(sources.index(f.source))
+        hit = F.coalesce((F.get("_levels", at) == f.level).cast("double"), F.lit(0.0))
+        return F.when(F.get("_given_sources", at), hit).otherwise(number)
+
+    def is_odd(text: Column, present: Column) -> Column:
+        return text.isNotNull() & ~text.isin("NaN", '"NaN"') & _number(text).isNull()
+
+    odd = _named(names, F.array_position(F.zip_with("_texts", "_given", is_odd), True))
+    return numbered.select(
         "request_id",
         "position",
-        F.coalesce("error", _first(odd, "not a number")).alias("error"),
-        *[value(f).alias(f.name) for f in features],
+        F.coalesce("error", F.concat(F.lit("not a number: "), odd)).alias("error"),
+        F.array(*[value(i, f) for i, f in enumerate(features)]).alias("values"),
     )
 
 
 def settle_missing(aligned: DataFrame, features: Sequence[Feature], fill: float | None = None) -> DataFrame:
-    """No nulls among the features: missing values become `fill`, or without it an error.
+    """No nulls among the values: missing ones become `fill`, or without it an error.
     Rows with an error get zeros; their scores are never shown."""
-    names = [f.name for f in features]
     error = F.col("error")
     if fill is None:
-        error = F.coalesce(error, _first({n: quoted(n).isNull() for n in names}, "missing value"))
+        missing = F.array_position(F.transform("values", lambda v: v.isNull()), True)
+        name = _named([f.name for f in features], missing)
+        error = F.coalesce(error, F.concat(F.lit("missing value: "), name))
+    other = F.lit(0.0 if fill is None else float(fill))
     return aligned.select(
         "request_id",
         "position",
         error.alias("error"),
-        *[F.coalesce(quoted(n), F.lit(0.0 if fill is None else float(fill))).alias(n) for n in names],
+        F.transform("values", lambda v: F.coalesce(v, other)).alias("values"),
     )
 
 
+def spread_values(rows: DataFrame, features: Sequence[Feature]) -> DataFrame:
+    """The values as named feature columns."""
+    named = [F.get("values", F.lit(i)).alias(f.name) for i, f in enumerate(features)]
+    return rows.select("request_id", "position", "error", *named)
+
+
 def _error_body(error: Column) -> Column:
     return F.to_json(F.struct(error.alias("error")))
 

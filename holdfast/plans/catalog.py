@@ -445,7 +445,9 @@ def _plain_features() -> list[encoding.Feature]:
 )
 def align_requests(spark, sf_dir):
     parsed = envelope.parse_requests(fixtures.requests_raw(spark, sf_dir))
-    return envelope.align_requests(parsed.where("error is null"), _plain_features()).drop("error")
+    features = _plain_features()
+    records = envelope.align_requests(parsed, features).where("position is not null")
+    return envelope.spread_values(records, features).drop("error")
 
 
 _ERROR = (
@@ -472,7 +474,7 @@ _FORM = {
     "customerID": "customerID",
     "Contract": "Contract",
     "SeniorCitizen": "CAST(SeniorCitizen AS STRING)",
-    "Partner": "CASE WHEN Partner='Yes' THEN '1' ELSE '' END",
+    "Partner": "CASE WHEN Partner='Yes' THEN '1' ELSE '0 (none)' END",
     "tenure": "concat(' ', CAST(tenure AS STRING), ' months')",
     "MonthlyCharges": "concat(CAST(MonthlyCharges AS STRING), '$')",
     "TotalCharges": "TotalCharges",
@@ -482,7 +484,7 @@ _FORM = {
 @register(
     with_accounts(
         "SELECT customerID, Contract, CAST(SeniorCitizen AS BIGINT) AS SeniorCitizen, "
-        "CASE WHEN Partner='Yes' THEN CAST(1 AS BIGINT) END AS Partner, CAST(tenure AS BIGINT) AS tenure, "
+        "CAST(CASE WHEN Partner='Yes' THEN 1 ELSE 0 END AS BIGINT) AS Partner, CAST(tenure AS BIGINT) AS tenure, "
         f"MonthlyCharges, CASE WHEN NOT isnan({_NUMBER}) THEN {_NUMBER} END AS TotalCharges FROM accounts_raw"
     )
 )

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from holdfast.operators.boosting import ENCODED, predict
-from holdfast.operators.envelope import align_requests, build_responses, parse_requests, settle_missing
+from holdfast.operators.envelope import (
+    align_requests,
+    build_responses,
+    parse_requests,
+    settle_missing,
+    spread_values,
+)
 from holdfast.sources.models import StoredModel
 
 RECORD = ["request_id", "position", "error"]
@@ -21,7 +27,8 @@ def score_records(
     """
     aligned = align_requests(parse_requests(requests), stored.features, mode)
     settled = settle_missing(aligned, stored.features, fill)
-    scored = predict(settled, stored.model, stored.features, keep=RECORD)
+    named = spread_values(settled, stored.features)
+    scored = predict(named, stored.model, stored.features, keep=RECORD)
     return scored.selectExpr(
         *RECORD,
         "if(error is null, prediction, null) as prediction",
