@@ -27,7 +27,7 @@ def yes_flag(answer: Column) -> Column:
 
 def known(number: Column) -> Column:
     """NaN becomes null."""
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def leading_int(text: Column) -> Column:

@@ -10,12 +10,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast import values
-from holdfast.functions.numbers import known, leading_float, leading_int, lenient_number, quoted
+from holdfast.functions.numbers import known, leading_float, leading_int, quoted
 from holdfast.operators.boosting import ENCODED, REFERENCE_PARITY
 from holdfast.operators.encoding import Feature
 
+_END = "_end"
+
 MALFORMED = "malformed JSON"
 BODY_NOT_TEXT = "the body is not a JSON text"
 NO_RECORDS = "the request has no records"
@@ -36,38 +39,40 @@ def _marker(text: Column) -> Column:
     return F.hex(F.xxhash64(text))
 
 
-def _parse(text: Column, item: str) -> Column:
-    """A JSON list of objects, or one object as a list of one, framed as [[objects], [{marker}]].
+def _parse(text: Column, names: Sequence[str], texts: Sequence[str] = ()) -> Column:
+    """A JSON list of objects, or one object as a list of one, framed as [[objects], [marker]].
 
-    Spark's parser stops at the end of the first value. The marker, named after the text's own
-    hash, only comes out again when nothing in the text closed the frame early.
+    The keys `names` become variants, which tell absent, null, number and text apart; the keys
+    `texts` become strings, for which absent and null are one. Other keys are skipped. Spark's parser stops at the end of the first value; the marker, which holds the text's own hash,
+    only comes out again when nothing in the text closed the frame early.
     """
-    end = F.concat(F.lit(',[{"'), _marker(text), F.lit('":""}]]'))
+    end = F.concat(F.lit(f',[{{"{_END}":"'), _marker(text), F.lit('"}]]'))
     objects = F.when(_is_list(text), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-    return F.from_json(
-        F.concat(F.lit("["), objects, end), f"array<array<map<string,{item}>>>", {"allowSingleQuotes": "false"}
-    )
+    fields = [T.StructField(n, T.VariantType()) for n in names]
+    fields += [T.StructField(n, T.StringType()) for n in [*texts, _END]]
+    frame = T.ArrayType(T.ArrayType(T.StructType(fields)))
+    return F.from_json(F.concat(F.lit("["), objects, end), frame, {"allowSingleQuotes": "false"})
 
 
-def _objects(text: Column, item: str) -> Column:
-    """The objects of a text as maps; null when it is malformed."""
+def _objects(text: Column, names: Sequence[str], texts: Sequence[str] = ()) -> Column:
+    """The objects of a text as structs; null when it is malformed."""
 
     def checked(parsed: Column) -> Column:
         last = F.get(F.get(parsed, F.lit(1)), F.lit(0))
-        return F.when((F.size(parsed) == 2) & F.map_contains_key(last, _marker(text)), F.get(parsed, F.lit(0)))
+        return F.when((F.size(parsed) == 2) & (last[_END] == _marker(text)), F.get(parsed, F.lit(0)))
 
-    return _let(_parse(text, item), checked)
+    return _let(_parse(text, names, texts), checked)
 
 
 def _payload(value: Column) -> Column:
     def unwrapped(objects: Column) -> Column:
-        event = F.get(objects, F.lit(0))
-        wrapped = F.coalesce((F.size(objects) == 1) & F.map_contains_key(event, "body"), F.lit(False))
-        text = F.when(F.schema_of_variant(event["body"]) == "STRING", event["body"].cast("string"))
+        body = F.get(objects, F.lit(0))["body"]
+        wrapped = (F.size(objects) == 1) & body.isNotNull()
+        text = F.when(F.schema_of_variant(body) == "STRING", body.cast("string"))
         return F.when(wrapped, text).otherwise(value)
 
     may_wrap = value.contains("body") & ~_is_list(value)
-    return F.when(may_wrap, _let(_objects(value, "variant"), unwrapped)).otherwise(value)
+    return F.when(may_wrap, _let(_objects(value, ["body"]), unwrapped)).otherwise(value)
 
 
 def unwrap_body(requests: DataFrame) -> DataFrame:
@@ -78,21 +83,9 @@ def unwrap_body(requests: DataFrame) -> DataFrame:
     return requests.withColumn("payload", _payload(F.col("value")))
 
 
-def _last_wins(record: Column) -> Column:
-    """A key that is given twice has its last value."""
-    names = F.array_distinct(F.map_keys(record))
-
-    def last(name: Column) -> Column:
-        same = F.filter(F.map_entries(record), lambda e: e["key"] == name)
-        return F.element_at(same, -1)["value"]
-
-    return F.when(F.size(names) == F.size(record), record).otherwise(
-        F.map_from_arrays(names, F.transform(names, last))
-    )
-
-
-def parse_requests(requests: DataFrame) -> DataFrame:
-    """(request_id, records, error): records are maps from key to text, null after an error."""
+def parse_requests(requests: DataFrame, names: Sequence[str], texts: Sequence[str] = ()) -> DataFrame:
+    """(request_id, records, error): records are structs of the wanted keys, `names` as variants
+    and `texts` as strings, null where a key is absent. There are none after an error."""
     kind = F.col("content_type")
     foreign = F.concat(F.lit("Unsupported content type: "), F.coalesce(kind, F.lit("None")))
 
@@ -104,16 +97,14 @@ def parse_requests(requests: DataFrame) -> DataFrame:
                 .when(F.size(found) == 0, NO_RECORDS)
                 .when(F.exists(found, lambda record: record.isNull()), NOT_AN_OBJECT)
             )
-            return F.struct(found.alias("records"), error.alias("error"))
+            return F.struct(F.when(error.isNull(), found).alias("records"), error.alias("error"))
 
-        return _let(_objects(payload, "string"), judged)
+        return _let(_objects(payload, names, texts), judged)
 
-    nothing = F.struct(F.lit(None).cast("array<map<string,string>>").alias("records"), foreign.alias("error"))
-    fine = kind.eqNullSafe(values.JSON_TYPE)
-    found = F.when(fine, _let(_payload(F.col("value")), result)).otherwise(nothing)
-    judged = requests.select("request_id", found.alias("_found"))
-    records = F.when(F.col("_found.error").isNull(), F.transform("_found.records", _last_wins))
-    return judged.select("request_id", records.alias("records"), F.col("_found.error").alias("error"))
+    found = F.when(kind.eqNullSafe(values.JSON_TYPE), _let(_payload(F.col("value")), result))
+    judged = requests.select("request_id", "content_type", found.alias("_found"))
+    error = F.when(F.col("_found").isNull(), foreign).otherwise(F.col("_found.error"))
+    return judged.select("request_id", F.col("_found.records").alias("records"), error.alias("error"))
 
 
 def request_records(parsed: DataFrame) -> DataFrame:
@@ -122,10 +113,13 @@ def request_records(parsed: DataFrame) -> DataFrame:
     return rows.where("position is not null")
 
 
-def _number(text: Column) -> Column:
-    """A JSON value as a number: booleans are 1 and 0, NaN and what is no number are null."""
-    number = F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(lenient_number(text))
-    return known(number)
+def _as_number(value: Column) -> Column:
+    """A JSON value as a number: booleans are 1 and 0; null and NaN are missing."""
+    return F.try_variant_get(value, "$", "double")
+
+
+def _is_odd(value: Column) -> Column:
+    return value.isNotNull() & ~F.is_variant_null(value) & _as_number(value).isNull()
 
 
 def _named(names: Sequence[str], position: Column) -> Column:
@@ -133,68 +127,53 @@ def _named(names: Sequence[str], position: Column) -> Column:
     return F.try_element_at(F.array(*[F.lit(n) for n in names]), F.nullif(position.cast("int"), F.lit(0)))
 
 
+def wanted_keys(features: Sequence[Feature], mode: str = ENCODED) -> tuple[list[str], list[str]]:
+    """The keys that the features are made from: those read as values, those read as texts."""
+    if mode not in (ENCODED, REFERENCE_PARITY):
+        raise ValueError(f"unknown scoring mode {mode!r}")
+    sources = [f.source for f in features if f.level is not None and mode == ENCODED]
+    return [f.name for f in features], list(dict.fromkeys(sources))
+
+
 def align_requests(parsed: DataFrame, features: Sequence[Feature], mode: str = ENCODED) -> DataFrame:
     """(request_id, position, error, values): one row per record, one per request with an error.
 
     `values` are the features in order. A key that no record of the request has is 0; one that
     only some records lack, or that is null, is missing (null). The modes are those of
-    `scoring_features`.
+    `scoring_features`; parse with the `wanted_keys` of the mode.
     """
-    if mode not in (ENCODED, REFERENCE_PARITY):
-        raise ValueError(f"unknown scoring mode {mode!r}")
-    names = [f.name for f in features]
-    encoded = [f for f in features if f.level is not None and mode == ENCODED]
-    sources = list(dict.fromkeys(f.source for f in encoded))
+    names, sources = wanted_keys(features, mode)
 
-    def literals(texts: Sequence[str]) -> Column:
-        return F.array(*[F.lit(t) for t in texts]) if texts else F.array().cast("array<string>")
+    def in_any_record(name: str) -> Column:
+        return F.exists("records", lambda record: record[name].isNotNull())
 
-    keys = F.array_distinct(F.flatten(F.transform("records", lambda r: F.map_keys(r))))
-    staged = parsed.select("request_id", "error", "records", keys.alias("_keys"))
+    # A single record has what its request has, so only lists need the comparison.
+    given = F.when(F.size("records") > 1, F.array(*[in_any_record(n) for n in names]))
+    staged = parsed.select("*", given.alias("_given"))
 
-    def given(texts: Sequence[str]) -> Column:
-        return F.transform(literals(texts), lambda name: F.array_contains("_keys", name))
+    def aligned(record: Column, position: Column) -> Column:
+        def number(i: int) -> Column:
+            value = record[names[i]]
+            absent = F.when(~F.coalesce(F.get("_given", F.lit(i)), F.lit(False)), 0.0)
+            return F.when(value.isNotNull(), known(_as_number(value))).otherwise(absent)
 
-    rows = staged.select(
-        "request_id",
-        "error",
-        given(names).alias("_given"),
-        given(sources).alias("_given_sources"),
-        F.posexplode_outer("records").alias("position", "_record"),
-    )
+        def value(i: int, f: Feature) -> Column:
+            if f.source not in sources:
+                return number(i)
+            text = record[f.source]
+            return F.when(text.isNotNull(), (text == f.level).cast("double")).otherwise(number(i))
 
-    def number(text: Column, present: Column) -> Column:
-        return F.when(present, _number(text)).otherwise(0.0)
+        numbers = [f.name for f in features if f.source not in sources]
+        odd = F.array_position(F.array(*[_is_odd(record[n]) for n in numbers]), True)
+        return F.struct(
+            position.alias("position"),
+            F.concat(F.lit("not a number: "), _named(numbers, odd)).alias("record_error"),
+            F.array(*[value(i, f) for i, f in enumerate(features)]).alias("values"),
+        )
 
-    looked_up = rows.select(
-        "request_id",
-        "position",
-        "error",
-        "_given",
-        "_given_sources",
-        F.transform(literals(names), lambda name: F.col("_record")[name]).alias("_texts"),
-        F.transform(literals(sources), lambda name: F.col("_record")[name]).alias("_levels"),
-    )
-    numbered = looked_up.withColumn("_numbers", F.zip_with("_texts", "_given", number))
-
-    def value(i: int, f: Feature) -> Column:
-        number = F.get("_numbers", F.lit(i))
-        if f not in encoded:
-            return number
-        at = F.lit(sources.index(f.source))
-        hit = F.coalesce((F.get("_levels", at) == f.level).cast("double"), F.lit(0.0))
-        return F.when(F.get("_given_sources", at), hit).otherwise(number)
-
-    def is_odd(text: Column, present: Column) -> Column:
-        return text.isNotNull() & ~text.isin("NaN", '"NaN"') & _number(text).isNull()
-
-    odd = _named(names, F.array_position(F.zip_with("_texts", "_given", is_odd), True))
-    return numbered.select(
-        "request_id",
-        "position",
-        F.coalesce("error", F.concat(F.lit("not a number: "), odd)).alias("error"),
-        F.array(*[value(i, f) for i, f in enumerate(features)]).alias("values"),
-    )
+    # The rows are complete before they are unnested, so no later filter repeats this work.
+    rows = staged.select("request_id", "error", F.inline_outer(F.transform("records", aligned)))
+    return rows.select("request_id", "position", F.coalesce("error", "record_error").alias("error"), "values")
 
 
 def settle_missing(aligned: DataFrame, features: Sequence[Feature], fill: float | None = None) -> DataFrame:
@@ -210,7 +189,9 @@ def settle_missing(aligned: DataFrame, features: Sequence[Feature], fill: float
         "request_id",
         "position",
         error.alias("error"),
-        F.transform("values", lambda v: F.coalesce(v, other)).alias("values"),
+        F.when(F.col("values").isNull(), F.array_repeat(other, len(features)))
+        .otherwise(F.transform("values", lambda v: F.coalesce(v, other)))
+        .alias("values"),
     )
 
 

@@ -413,15 +413,17 @@ _LACKS_TENURE = "(request_id%8=5 OR (request_id%8=6 AND position=1))"
 @register(
     with_accounts(
         "SELECT request_id, CAST(position AS INT) AS position, "
-        f"CASE WHEN {_LACKS_TENURE} THEN 18 ELSE 19 END AS n_keys, gender, Contract, "
+        "gender, Contract, "
         f"CASE WHEN {_LACKS_TENURE} THEN NULL ELSE CAST(tenure AS VARCHAR) END AS tenure, "
         f"CAST(MonthlyCharges AS VARCHAR) AS MonthlyCharges FROM {_POSITIONS}"
     )
 )
 def parse_requests(spark, sf_dir):
-    records = envelope.request_records(envelope.parse_requests(fixtures.requests_raw(spark, sf_dir)))
-    fields = [F.col("record")[name].alias(name) for name in ["gender", "Contract", "tenure", "MonthlyCharges"]]
-    return records.select("request_id", "position", F.size("record").alias("n_keys"), *fields)
+    names = ["gender", "Contract", "tenure", "MonthlyCharges"]
+    records = envelope.request_records(envelope.parse_requests(fixtures.requests_raw(spark, sf_dir), names))
+    return records.select(
+        "request_id", "position", *[F.col("record")[name].cast("string").alias(name) for name in names]
+    )
 
 
 def _plain_features() -> list[encoding.Feature]:
@@ -444,8 +446,8 @@ def _plain_features() -> list[encoding.Feature]:
     )
 )
 def align_requests(spark, sf_dir):
-    parsed = envelope.parse_requests(fixtures.requests_raw(spark, sf_dir))
     features = _plain_features()
+    parsed = envelope.parse_requests(fixtures.requests_raw(spark, sf_dir), *envelope.wanted_keys(features))
     records = envelope.align_requests(parsed, features).where("position is not null")
     return envelope.spread_values(records, features).drop("error")
 
@@ -464,10 +466,9 @@ _ERROR = (
     )
 )
 def request_errors(spark, sf_dir):
-    aligned = envelope.align_requests(
-        envelope.parse_requests(fixtures.requests_raw(spark, sf_dir)), _plain_features()
-    )
-    return envelope.request_errors(envelope.settle_missing(aligned, _plain_features()))
+    features = _plain_features()
+    parsed = envelope.parse_requests(fixtures.requests_raw(spark, sf_dir), *envelope.wanted_keys(features))
+    return envelope.request_errors(envelope.settle_missing(envelope.align_requests(parsed, features), features))
 
 
 _FORM = {

@@ -11,6 +11,7 @@ from holdfast.operators.envelope import (
     parse_requests,
     settle_missing,
     spread_values,
+    wanted_keys,
 )
 from holdfast.sources.models import StoredModel
 
@@ -25,7 +26,8 @@ def score_records(
     Rows with an error pass through the model as zeros, so the requests are read once, and
     lose their result right after it.
     """
-    aligned = align_requests(parse_requests(requests), stored.features, mode)
+    parsed = parse_requests(requests, *wanted_keys(stored.features, mode))
+    aligned = align_requests(parsed, stored.features, mode)
     settled = settle_missing(aligned, stored.features, fill)
     named = spread_values(settled, stored.features)
     scored = predict(named, stored.model, stored.features, keep=RECORD)
