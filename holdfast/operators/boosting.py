@@ -6,13 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import values
 from holdfast.functions.numbers import quoted
-from holdfast.operators.encoding import Feature, align_columns, assembler, by_position, encode_align
+from holdfast.operators.encoding import (
+    Feature,
+    align_columns,
+    assemble_features,
+    encode_align,
+    feature_values,
+    filled,
+    is_complete,
+)
 from holdfast.runtime import use_checkpoints
 
 ENCODED, REFERENCE_PARITY = "encoded", "reference_parity"
@@ -28,16 +36,19 @@ def fit_trees(
     seed: int = values.SEED,
     max_bins: int = 256,
     layout: tuple[int, str] | None = None,
+    fill: float | None = None,
 ) -> PipelineModel:
     """Fit on a table that has the named features and a 0/1 label.
 
+    Missing feature values count as `fill`; without a `fill` they fail the job.
+
     Spark picks split candidates from a sample beyond 10,000 rows, so results may move with the
     partitioning; `layout=(partitions, key)` fixes it at the price of one shuffle. Lineage is cut
     every ten trees in the shared checkpoint folder, so a lost executor does not replay them all.
     """
     use_checkpoints(train.sparkSession)
     keep = [label] if layout is None else [label, layout[1]]
-    rows = by_position(train, features, keep=keep)
+    rows = assemble_features(train, features, keep, fill)
     if layout is not None:
         rows = rows.repartition(layout[0], quoted(layout[1])).sortWithinPartitions(quoted(layout[1]))
     trees = GBTClassifier(
@@ -50,21 +61,40 @@ def fit_trees(
         seed=seed,
         checkpointInterval=10,
     )
-    return Pipeline(stages=[assembler(features), trees]).fit(rows)
+    return Pipeline(stages=[trees]).fit(rows)
 
 
-def predict(
-    df: DataFrame, model: PipelineModel, features: Sequence[Feature], keep: Sequence[str] = ()
+def predict_values(
+    rows: DataFrame, model: PipelineModel, keep: Sequence[str] = (), fill: float | None = None
 ) -> DataFrame:
-    """(kept columns, prediction 0/1, probability of class 1) for a table of named features."""
-    scored = model.transform(by_position(df, features, keep))
+    """(kept columns, prediction 0/1, probability of class 1) for rows of feature `values`.
+
+    Trees need every value. A missing one counts as `fill`; without a `fill`, its row gets a
+    null prediction and probability.
+    """
+    complete = F.lit(True) if fill is not None else is_complete(F.col("values"))
+    vector = array_to_vector(filled(F.col("values"), fill or 0.0))
+    scored = model.transform(
+        rows.select(*[quoted(c) for c in keep], complete.alias("_complete"), vector.alias("features"))
+    )
     return scored.select(
         *[quoted(c) for c in keep],
-        F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("probability"),
+        F.when(F.col("_complete"), F.col("prediction").cast("int")).alias("prediction"),
+        F.when(F.col("_complete"), vector_to_array("probability")[1]).alias("probability"),
     )
 
 
+def predict(
+    df: DataFrame,
+    model: PipelineModel,
+    features: Sequence[Feature],
+    keep: Sequence[str] = (),
+    fill: float | None = None,
+) -> DataFrame:
+    """The same for a table of named features."""
+    return predict_values(feature_values(df, features, keep), model, keep, fill)
+
+
 def scoring_features(
     df: DataFrame, features: Sequence[Feature], mode: str = ENCODED, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -87,6 +117,7 @@ def score_table(
     features: Sequence[Feature],
     mode: str = ENCODED,
     keep: Sequence[str] = (),
+    fill: float | None = None,
 ) -> DataFrame:
     """Score cleaned accounts: a narrow job, the model goes along with the plan."""
-    return predict(scoring_features(df, features, mode, keep), model, features, keep)
+    return predict(scoring_features(df, features, mode, keep), model, features, keep, fill)

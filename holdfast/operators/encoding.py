@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import values
-from holdfast.functions.numbers import quoted
+from holdfast.functions.numbers import known, quoted
 
 Levels = dict[str, list[str]]
 
@@ -118,25 +118,33 @@ def encode_align(df: DataFrame, features: Sequence[Feature], keep: Sequence[str]
     return df.select(*[quoted(c) for c in keep], *[value(f).alias(f.name) for f in features])
 
 
-def positions(features: Sequence[Feature]) -> list[str]:
-    return [f"f{i}" for i in range(len(features))]
+def feature_values(df: DataFrame, features: Sequence[Feature], keep: Sequence[str] = ()) -> DataFrame:
+    """(kept columns, values): the named features in order, null where null or NaN.
 
+    One array rather than a column per feature: the code that Spark generates per row stays
+    small enough to be compiled, however many levels there are.
+    """
+    numbers = F.array(*[quoted(f.name).cast("double") for f in features])
+    return df.select(*[quoted(c) for c in keep], F.transform(numbers, known).alias("values"))
 
-def assembler(features: Sequence[Feature]) -> VectorAssembler:
-    """Works on positional names, as level names may not be valid inside its expressions."""
-    return VectorAssembler(inputCols=positions(features), outputCol="features")
 
+def filled(values: Column, fill: float) -> Column:
+    return F.transform(values, lambda v: F.coalesce(v, F.lit(float(fill))))
 
-def by_position(df: DataFrame, features: Sequence[Feature], keep: Sequence[str] = ()) -> DataFrame:
-    """Named feature columns to the positional doubles that the assembler reads."""
-    return df.select(
-        *[quoted(c) for c in keep],
-        *[quoted(f.name).cast("double").alias(p) for f, p in zip(features, positions(features), strict=True)],
-    )
 
+def is_complete(values: Column) -> Column:
+    return ~F.exists(values, lambda v: v.isNull())
 
-def assemble_features(df: DataFrame, features: Sequence[Feature], keep: Sequence[str] = ()) -> DataFrame:
-    """(kept columns, feature vector)"""
-    return assembler(features).transform(by_position(df, features, keep)).select(
-        *[quoted(c) for c in keep], "features"
-    )
+
+def assemble_features(
+    df: DataFrame, features: Sequence[Feature], keep: Sequence[str] = (), fill: float | None = None
+) -> DataFrame:
+    """(kept columns, feature vector). Missing values count as `fill`; without it they fail the job."""
+    values = F.col("values")
+    if fill is None:
+        missing = F.raise_error(F.lit("a feature value is missing: give a fill"))
+        values = F.when(is_complete(values), values).otherwise(missing)
+    else:
+        values = filled(values, fill)
+    rows = feature_values(df, features, keep)
+    return rows.select(*[quoted(c) for c in keep], array_to_vector(values).alias("features"))

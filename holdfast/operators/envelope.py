@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from holdfast import values
 from holdfast.functions.numbers import known, leading_float, leading_int, quoted
 from holdfast.operators.boosting import ENCODED, REFERENCE_PARITY
-from holdfast.operators.encoding import Feature
+from holdfast.operators.encoding import Feature, filled
 
 _END = "_end"
 
@@ -184,15 +184,9 @@ def settle_missing(aligned: DataFrame, features: Sequence[Feature], fill: float
         missing = F.array_position(F.transform("values", lambda v: v.isNull()), True)
         name = _named([f.name for f in features], missing)
         error = F.coalesce(error, F.concat(F.lit("missing value: "), name))
-    other = F.lit(0.0 if fill is None else float(fill))
-    return aligned.select(
-        "request_id",
-        "position",
-        error.alias("error"),
-        F.when(F.col("values").isNull(), F.array_repeat(other, len(features)))
-        .otherwise(F.transform("values", lambda v: F.coalesce(v, other)))
-        .alias("values"),
-    )
+    zeros = F.array_repeat(F.lit(0.0), len(features))
+    values = F.when(F.col("values").isNull(), zeros).otherwise(filled(F.col("values"), fill or 0.0))
+    return aligned.select("request_id", "position", error.alias("error"), values.alias("values"))
 
 
 def spread_values(rows: DataFrame, features: Sequence[Feature]) -> DataFrame:

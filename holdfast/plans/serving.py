@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from holdfast.operators.boosting import ENCODED, predict
+from holdfast.operators.boosting import ENCODED, predict_values
 from holdfast.operators.envelope import (
     align_requests,
     build_responses,
     parse_requests,
     settle_missing,
-    spread_values,
     wanted_keys,
 )
 from holdfast.sources.models import StoredModel
@@ -29,8 +28,7 @@ def score_records(
     parsed = parse_requests(requests, *wanted_keys(stored.features, mode))
     aligned = align_requests(parsed, stored.features, mode)
     settled = settle_missing(aligned, stored.features, fill)
-    named = spread_values(settled, stored.features)
-    scored = predict(named, stored.model, stored.features, keep=RECORD)
+    scored = predict_values(settled, stored.model, RECORD, fill=0.0)
     return scored.selectExpr(
         *RECORD,
         "if(error is null, prediction, null) as prediction",

@@ -33,20 +33,21 @@ def train(
     label: str = values.TARGET,
     test_size: float = values.TEST_SIZE,
     seed: int = values.SEED,
+    fill: float | None = None,
     **options,
 ) -> Trained:
     """Levels over the whole table, exact split, fit on one side, scores of the other.
 
-    `clean` is read a few times, by few columns each: give it as a columnar table. `options`
-    go to `fit_trees`.
+    `clean` is read a few times, by few columns each: give it as a columnar table. Missing
+    numbers count as `fill`; without it they fail the fit. `options` go to `fit_trees`.
     """
     rows = missing_texts_to_null(clean)
     levels = category_levels(rows)
     features = manifest(rows.columns, levels, label, key)
     split = stratified_split(rows, label, key, test_size, seed)
     encoded = encode_align(split, features, keep=[key, label, "split"])
-    model = fit_trees(encoded.where(encoded.split == TRAIN), features, label, seed=seed, **options)
-    holdout = predict(encoded.where(encoded.split == TEST), model, features, keep=[key, label])
+    model = fit_trees(encoded.where(encoded.split == TRAIN), features, label, seed=seed, fill=fill, **options)
+    holdout = predict(encoded.where(encoded.split == TEST), model, features, [key, label], fill)
     return Trained(StoredModel(model, features), holdout, split)
 
 

@@ -54,7 +54,8 @@ def use_checkpoints(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Store `df` in the shared folder and go on from there, so that a result that is
-    read several times is computed once and outlives the executors that made it."""
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and go on from there, so that a result that is read
+    several times is computed once and outlives the executors that made it."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

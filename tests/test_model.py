@@ -7,6 +7,7 @@ from holdfast.operators.encoding import encode_align
 from holdfast.plans import catalog, fixtures, training
 from holdfast.sources.files import file_inventory
 from holdfast.sources.models import load_model, save_model
+from pyspark.sql import functions as F
 
 
 def test_holdout_beats_chance(spark, sf_dir):
@@ -46,6 +47,23 @@ def test_layout_makes_the_fit_repeatable(spark, sf_dir, stored):
     assert first == again
 
 
+def test_missing_numbers(spark, sf_dir, stored):
+    clean = catalog._clean(spark, sf_dir).limit(20)
+    zero = clean.withColumn("tenure", F.lit(0))
+    missing = clean.withColumn("tenure", F.lit(None).cast("int"))
+
+    def scores(df, **options):
+        scored = boosting.score_table(df, stored.model, stored.features, keep=[values.ID], **options)
+        return {r.customerID: (r.prediction, r.probability) for r in scored.collect()}
+
+    assert set(scores(missing).values()) == {(None, None)}
+    assert scores(missing, fill=0.0) == scores(zero)
+    rows = encode_align(missing.union(zero), stored.features, keep=[values.TARGET])
+    with pytest.raises(Exception, match="missing"):
+        boosting.fit_trees(rows, stored.features, max_iter=1)
+    boosting.fit_trees(rows, stored.features, max_iter=1, fill=0.0)
+
+
 def test_unknown_mode(spark, sf_dir, stored):
     with pytest.raises(ValueError):
         boosting.scoring_features(catalog._clean(spark, sf_dir), stored.features, "other")
