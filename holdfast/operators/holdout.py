@@ -211,17 +211,16 @@ def stratified_split(
     train = []
     copied: dict[Any, Column] = {}
     for c, cut in cuts.items():
-        chosen = digest < cut.digest
         if c not in tied:
-            chosen = chosen | (digest == cut.digest)
+            train.append(side(c) & (digest <= cut.digest))
+            continue
+        last = second_cuts[c]
+        among_tied = second < last.digest
+        if last.taken == last.rows:
+            among_tied = second <= last.digest
         else:
-            last = second_cuts[c]
-            chosen = chosen | ((digest == cut.digest) & (second < last.digest))
-            if last.taken == last.rows:
-                chosen = chosen | ((digest == cut.digest) & (second == last.digest))
-            else:
-                copied[c] = side(c) & (digest == cut.digest) & (second == last.digest)
-        train.append(side(c) & chosen)
+            copied[c] = side(c) & (digest == cut.digest) & (second == last.digest)
+        train.append(side(c) & ((digest < cut.digest) | ((digest == cut.digest) & among_tied)))
 
     def marked(rows: DataFrame) -> DataFrame:
         return rows.withColumn(out, F.when(_any(train), TRAIN).otherwise(TEST))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.numbers import quoted, rounded
 from holdfast.runtime import materialize
 
-SCORES_PER_BUCKET = 1_000_000
+SCORES_PER_BUCKET = 100_000
 MAX_BUCKETS = 10_000
 
 
@@ -46,15 +46,11 @@ def _by_score(df: DataFrame, label: Column, score: Column, extra: dict[str, Colu
     )
 
 
-def _bucketed(scores: DataFrame, n_scores: int, per_bucket: int) -> DataFrame:
-    """`bucket`: ranges of the score with about equally many distinct scores."""
-    buckets = min(MAX_BUCKETS, math.ceil(n_scores / per_bucket))
-    if buckets <= 1:
-        return scores.withColumn("bucket", F.lit(0.0))
+def _edges(scores: DataFrame, per_bucket: int) -> list[float]:
+    """Inner limits of score ranges that hold about equally many distinct scores."""
+    buckets = min(MAX_BUCKETS, math.ceil(scores.count() / per_bucket))
     inner = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(scores.approxQuantile("score", inner, 0.25 / buckets)))
-    ranges = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="score", outputCol="bucket")
-    return ranges.transform(scores)
+    return sorted(set(scores.approxQuantile("score", inner, 0.25 / buckets))) if inner else []
 
 
 def _evaluate(scores: DataFrame, extra: Sequence[str], per_bucket: int) -> DataFrame:
@@ -62,7 +58,8 @@ def _evaluate(scores: DataFrame, extra: Sequence[str], per_bucket: int) -> DataF
 
     A positive beats each negative with a lower score and half of those with its own. The
     negatives below a score are those of lower buckets (a sum over at most MAX_BUCKETS rows)
-    plus those before it in its own bucket (a window per bucket).
+    plus those before it in its own bucket (a window per bucket). Only a table that fits one
+    bucket, of at most `per_bucket` scores, is ranked by one task.
     """
     unusable = F.col("score").isNull() | F.isnan("score")
     rows = F.col("pos") + F.col("neg") + F.col("odd")
@@ -73,10 +70,17 @@ def _evaluate(scores: DataFrame, extra: Sequence[str], per_bucket: int) -> DataF
         F.when(unusable, rows).otherwise(F.col("odd")).alias("unusable"),
         *extra,
     )
-    ranked = _bucketed(table, table.count(), per_bucket)
-    in_order = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    lower = F.coalesce(F.sum("neg").over(in_order), F.lit(0))
-    placed = ranked.withColumn("lower", lower).join(F.broadcast(_lower_buckets(ranked)), "bucket")
+    in_order = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    edges = _edges(table, per_bucket)
+    if edges:
+        ranges = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="score", outputCol="bucket")
+        table = ranges.transform(table)
+        in_order = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    placed = table.withColumn("lower", F.coalesce(F.sum("neg").over(in_order), F.lit(0)))
+    if edges:
+        placed = placed.join(F.broadcast(_lower_buckets(table)), "bucket")
+    else:
+        placed = placed.withColumn("lower_buckets", F.lit(0))
     beaten = F.col("pos") * (F.col("lower") + F.col("lower_buckets") + F.col("neg") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     auc = F.when(F.sum("unusable") == 0, _ratio(F.sum(beaten), pairs, undefined=None))

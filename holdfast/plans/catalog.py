@@ -6,7 +6,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import values
@@ -569,6 +569,19 @@ def fit_holdout(spark, sf_dir):
     return trained_now.report()
 
 
+@register()
+def fit_documents_holdout(spark, sf_dir):
+    """The same job on another problem: the quality of documents from their length and origin."""
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    labels = fixtures.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    path = scratch_path(spark, "documents")
+    accounts.write_table(documents.join(labels, "doc_id"), path)
+    fitted = training.train(
+        accounts.scan_clean(spark, path), "doc_id", "quality", ["lang", "source"], max_iter=CATALOG_TREES
+    )
+    return fitted.report("quality")
+
+
 @register()
 def score_holdout(spark, sf_dir):
     return trained(spark, sf_dir).holdout
@@ -588,6 +601,55 @@ def score_accounts_parity(spark, sf_dir):
     )
 
 
+def _plausible(scored: DataFrame) -> Column:
+    """Does the class follow from a probability in (0, 1)?"""
+    p = scored.probability
+    follows = (p > 0) & (p < 1) & (scored.prediction == (p > 0.5).cast("int"))
+    return F.coalesce(follows.cast("int"), F.lit(0)).alias("plausible")
+
+
+@register(
+    with_accounts(
+        "SELECT customerID, CAST(CASE WHEN Churn='Yes' THEN 1 ELSE 0 END AS INT) AS Churn, CAST(1 AS INT) AS plausible "
+        "FROM (WITH " + _split_sql("accounts_raw", "customerID", "Churn") + ") WHERE split = 'test'"
+    )
+)
+def score_holdout_rows(spark, sf_dir):
+    """Which accounts are held out, and are their scores plausible?"""
+    held = trained(spark, sf_dir).holdout
+    return held.select("customerID", "Churn", _plausible(held))
+
+
+@register(with_accounts("SELECT customerID, CAST(1 AS INT) AS plausible FROM accounts_raw"))
+def score_accounts_rows(spark, sf_dir):
+    scored = score_accounts(spark, sf_dir)
+    return scored.select("customerID", _plausible(scored))
+
+
+@register(with_accounts("SELECT customerID, CAST(1 AS INT) AS same FROM accounts_raw"))
+def score_accounts_parity_rows(spark, sf_dir):
+    """Does parity score each account as if it had the first level of every category?"""
+    stored = trained(spark, sf_dir).stored
+    first_levels = {c: F.lit(sorted(values.LEVELS[c])[0]) for c in values.CATEGORICAL}
+    baseline = _clean(spark, sf_dir).withColumns(first_levels)
+    features = boosting.scoring_features(baseline, stored.features, keep=[values.ID])
+    numbers = [f.name for f in stored.features if f.level is None]
+    expected = boosting.predict(features, stored.model, stored.features, [values.ID, *numbers])
+    both = boosting.predict(
+        boosting.scoring_features(
+            expected.withColumnsRenamed({"probability": "expected", "prediction": "expected_class"}),
+            stored.features,
+            boosting.REFERENCE_PARITY,
+            [values.ID, "expected", "expected_class"],
+        ),
+        stored.model,
+        stored.features,
+        [values.ID, "expected", "expected_class"],
+    )
+    same = (both.expected == both.probability) & (both.expected_class == both.prediction)
+    return both.select("customerID", F.coalesce(same.cast("int"), F.lit(0)).alias("same"))
+
+
 @register(with_accounts("SELECT customerID, CAST(1 AS INT) AS same FROM accounts_raw"))
 def model_roundtrip(spark, sf_dir):
     """Do the saved and reloaded model and manifest score each account as the fitted ones?"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ def train(
     clean: DataFrame,
     key: str = values.ID,
     label: str = values.TARGET,
+    categorical: Sequence[str] = values.CATEGORICAL,
     test_size: float = values.TEST_SIZE,
     seed: int = values.SEED,
     fill: float | None = None,
@@ -41,8 +43,8 @@ def train(
     `clean` is read a few times, by few columns each: give it as a columnar table. Missing
     numbers count as `fill`; without it they fail the fit. `options` go to `fit_trees`.
     """
-    rows = missing_texts_to_null(clean)
-    levels = category_levels(rows)
+    rows = missing_texts_to_null(clean, categorical)
+    levels = category_levels(rows, categorical)
     features = manifest(rows.columns, levels, label, key)
     split = stratified_split(rows, label, key, test_size, seed)
     encoded = encode_align(split, features, keep=[key, label, "split"])

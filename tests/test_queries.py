@@ -11,6 +11,7 @@ import __spark_entry__ as contract
 ROWS_ONLY = {
     "file_inventory": 14,
     "fit_holdout": 4,
+    "fit_documents_holdout": 4,
     "score_holdout": 300,
     "score_accounts": 1500,
     "score_accounts_parity": 1500,

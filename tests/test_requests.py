@@ -7,6 +7,7 @@ from holdfast.operators.encoding import Feature
 from holdfast.plans.serving import score_records, score_requests
 from holdfast.sources.requests import scan_requests, write_responses
 
+# A sample request.
 SAMPLE = {
     "gender": "Female", "SeniorCitizen": 0, "Partner": 1, "Dependents": 0, "tenure": 1, "PhoneService": 0,
     "MultipleLines": "No phone service", "InternetService": "DSL", "OnlineSecurity": "No",
