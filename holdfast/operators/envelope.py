@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast import values
-from holdfast.functions.numbers import known, leading_float, leading_int, quoted
+from holdfast.functions.numbers import leading_float, leading_int, quoted
 from holdfast.operators.boosting import ENCODED, REFERENCE_PARITY
 from holdfast.operators.encoding import Feature, filled
 
@@ -113,18 +113,27 @@ def request_records(parsed: DataFrame) -> DataFrame:
     return rows.where("position is not null")
 
 
-def _as_number(value: Column) -> Column:
-    """A JSON value as a number: booleans are 1 and 0; null and NaN are missing."""
-    return F.try_variant_get(value, "$", "double")
+def _text_sql(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def _is_odd(value: Column) -> Column:
-    return value.isNotNull() & ~F.is_variant_null(value) & _as_number(value).isNull()
+def _field_sql(name: str) -> str:
+    """A key of the record in hand."""
+    return "record.`" + name.replace("`", "``") + "`"
 
 
-def _named(names: Sequence[str], position: Column) -> Column:
-    """The name at a position that counts from 1, null for 0."""
-    return F.try_element_at(F.array(*[F.lit(n) for n in names]), F.nullif(position.cast("int"), F.lit(0)))
+def _number_sql(field: str) -> str:
+    """A JSON value as a number: booleans are 1 and 0."""
+    return f"try_variant_get({field}, '$', 'double')"
+
+
+def _first_name_sql(names: Sequence[str], conditions: str) -> str:
+    """The name that belongs to the first true condition of an array, or null."""
+    if not names:
+        return "CAST(NULL AS STRING)"
+    array = ", ".join(_text_sql(n) for n in names)
+    return f"try_element_at(array({array}), nullif(CAST(array_position({conditions}, true) AS INT), 0))"
 
 
 def wanted_keys(features: Sequence[Feature], mode: str = ENCODED) -> tuple[list[str], list[str]]:
@@ -144,35 +153,38 @@ def align_requests(parsed: DataFrame, features: Sequence[Feature], mode: str = E
     """
     names, sources = wanted_keys(features, mode)
 
-    def in_any_record(name: str) -> Column:
-        return F.exists("records", lambda record: record[name].isNotNull())
-
-    # A single record has what its request has, so only lists need the comparison.
-    given = F.when(F.size("records") > 1, F.array(*[in_any_record(n) for n in names]))
-    staged = parsed.select("*", given.alias("_given"))
-
-    def aligned(record: Column, position: Column) -> Column:
-        def number(i: int) -> Column:
-            value = record[names[i]]
-            absent = F.when(~F.coalesce(F.get("_given", F.lit(i)), F.lit(False)), 0.0)
-            return F.when(value.isNotNull(), known(_as_number(value))).otherwise(absent)
-
-        def value(i: int, f: Feature) -> Column:
-            if f.source not in sources:
-                return number(i)
-            text = record[f.source]
-            return F.when(text.isNotNull(), (text == f.level).cast("double")).otherwise(number(i))
-
-        numbers = [f.name for f in features if f.source not in sources]
-        odd = F.array_position(F.array(*[_is_odd(record[n]) for n in numbers]), True)
-        return F.struct(
-            position.alias("position"),
-            F.concat(F.lit("not a number: "), _named(numbers, odd)).alias("record_error"),
-            F.array(*[value(i, f) for i, f in enumerate(features)]).alias("values"),
+    def number(i: int) -> str:
+        field = _field_sql(names[i])
+        return (
+            f"CASE WHEN {field} IS NOT NULL THEN nanvl({_number_sql(field)}, CAST(NULL AS DOUBLE)) "
+            f"WHEN get(_given, {i}) THEN NULL ELSE 0.0D END"
         )
 
+    def value(i: int, f: Feature) -> str:
+        if f.source not in sources:
+            return number(i)
+        text = _field_sql(f.source)
+        hit = f"CASE WHEN {text} = {_text_sql(f.level)} THEN 1.0D ELSE 0.0D END"
+        return f"CASE WHEN {text} IS NOT NULL THEN {hit} ELSE {number(i)} END"
+
+    def is_odd(name: str) -> str:
+        field = _field_sql(name)
+        return f"coalesce({field} IS NOT NULL AND NOT is_variant_null({field}) AND {_number_sql(field)} IS NULL, false)"
+
+    # A single record has what its request has, so only lists need the comparison.
+    in_any_record = ", ".join(f"exists(records, record -> {_field_sql(n)} IS NOT NULL)" for n in names)
+    given = f"CASE WHEN size(records) > 1 THEN array({in_any_record}) END"
+
+    numbers = [f.name for f in features if f.source not in sources]
+    odd = _first_name_sql(numbers, f"array({', '.join(is_odd(n) for n in numbers)})")
+    aligned = (
+        "transform(records, (record, position) -> named_struct('position', position, "
+        f"'record_error', concat('not a number: ', {odd}), "
+        f"'values', array({', '.join(value(i, f) for i, f in enumerate(features))})))"
+    )
     # The rows are complete before they are unnested, so no later filter repeats this work.
-    rows = staged.select("request_id", "error", F.inline_outer(F.transform("records", aligned)))
+    staged = parsed.selectExpr("request_id", "error", "records", f"{given} AS _given")
+    rows = staged.select("request_id", "error", F.inline_outer(F.expr(aligned)))
     return rows.select("request_id", "position", F.coalesce("error", "record_error").alias("error"), "values")
 
 
@@ -181,9 +193,8 @@ def settle_missing(aligned: DataFrame, features: Sequence[Feature], fill: float
     Rows with an error get zeros; their scores are never shown."""
     error = F.col("error")
     if fill is None:
-        missing = F.array_position(F.transform("values", lambda v: v.isNull()), True)
-        name = _named([f.name for f in features], missing)
-        error = F.coalesce(error, F.concat(F.lit("missing value: "), name))
+        missing = _first_name_sql([f.name for f in features], "transform(values, v -> v IS NULL)")
+        error = F.expr(f"coalesce(error, concat('missing value: ', {missing}))")
     zeros = F.array_repeat(F.lit(0.0), len(features))
     values = F.when(F.col("values").isNull(), zeros).otherwise(filled(F.col("values"), fill or 0.0))
     return aligned.select("request_id", "position", error.alias("error"), values.alias("values"))

@@ -100,6 +100,12 @@ def test_modes(spark):
         assert aligned(spark, '{"c_w":1}', mode)[0] == [[0.0, 0.0, 0.0, 1.0]]
 
 
+def test_features_without_numbers(spark):
+    features = [Feature("c_it's `x`", "c", "it's `x`")]
+    parsed = envelope.parse_requests(frame(spark, json.dumps({"c": "it's `x`"})), *envelope.wanted_keys(features))
+    assert envelope.align_requests(parsed, features).first()["values"] == [1.0]
+
+
 def body(row):
     return json.loads(row.body)
 
