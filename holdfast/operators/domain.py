@@ -7,9 +7,10 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast import values
-from holdfast.functions.numbers import lenient_number, quoted
+from holdfast.functions.numbers import known, lenient_number, quoted
 
 
 def domain_violations(raw: DataFrame) -> DataFrame:
@@ -20,13 +21,12 @@ def domain_violations(raw: DataFrame) -> DataFrame:
     checks = []
     for name, levels in values.LEVELS.items():
         text = quoted(name).cast("string")
-        allowed = text.isNotNull() & text.isin(levels)
-        checks.append((name, text, ~allowed))
+        checks.append((name, text, ~F.coalesce(text.isin(levels), F.lit(False))))
     for name in values.NON_NEGATIVE:
-        text = quoted(name).cast("string")
-        number = lenient_number(text)
-        fine = number.isNotNull() & ~F.isnan(number) & (number >= 0)
-        checks.append((name, text, ~fine))
+        number = quoted(name)
+        if isinstance(raw.schema[name].dataType, T.StringType):
+            number = known(lenient_number(number))
+        checks.append((name, quoted(name).cast("string"), ~F.coalesce(number >= 0, F.lit(False))))
     found = F.array(
         *[F.when(bad, F.struct(F.lit(name).alias("column"), text.alias("value"))) for name, text, bad in checks]
     )

@@ -74,7 +74,7 @@ def _evaluate(scores: DataFrame, extra: Sequence[str], per_bucket: int) -> DataF
     edges = _edges(table, per_bucket)
     if edges:
         ranges = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="score", outputCol="bucket")
-        table = ranges.transform(table)
+        table = ranges.transform(table).withColumn("bucket", F.col("bucket").cast("int"))
         in_order = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     placed = table.withColumn("lower", F.coalesce(F.sum("neg").over(in_order), F.lit(0)))
     if edges:

@@ -70,3 +70,18 @@ def test_report(spark):
     assert tuple(metrics.confusion(df).first()) == (2, 1, 3, 1)
     report = {r.metric: r.value for r in metrics.metrics_report(df).collect()}
     assert report == {"accuracy": 0.7143, "precision": 0.6667, "recall": 0.6667, "auc": round(brute_auc(rows), 4)}
+
+
+def test_scores_are_ranked_by_range(spark, sf_dir):
+    """Beyond one bucket no task ranks all scores, and ranges meet their offsets by an equi-join."""
+    plan = metrics.roc_auc(fixtures.scored(spark, sf_dir), per_bucket=10)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    windows = [line for line in lines if "+- Window" in line and "score" in line]
+    assert len(windows) == 1 and "[bucket#" in windows[0]
+    assert "BroadcastHashJoin [bucket#" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hot_scores_are_counted_before_the_shuffle(spark, sf_dir):
+    scores = metrics._by_score(fixtures.scored(spark, sf_dir), F.col("label"), F.col("probability"), {})
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
