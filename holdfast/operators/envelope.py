@@ -71,7 +71,8 @@ def _payload(value: Column) -> Column:
         text = F.when(F.schema_of_variant(body) == "STRING", body.cast("string"))
         return F.when(wrapped, text).otherwise(value)
 
-    may_wrap = value.contains("body") & ~_is_list(value)
+    # The key may be written with escapes.
+    may_wrap = (value.contains("body") | value.contains("\\u")) & ~_is_list(value)
     return F.when(may_wrap, _let(_objects(value, ["body"]), unwrapped)).otherwise(value)
 
 

@@ -21,7 +21,7 @@ from holdfast.sources.models import StoredModel, save_model
 @dataclass(frozen=True)
 class Trained:
     stored: StoredModel
-    holdout: DataFrame  # (key, label, prediction, probability)
+    holdout: DataFrame  # (key if any, label, prediction, probability)
     split: DataFrame  # clean table with its side
 
     def report(self, label: str = values.TARGET) -> DataFrame:
@@ -30,7 +30,7 @@ class Trained:
 
 def train(
     clean: DataFrame,
-    key: str = values.ID,
+    key: str | None = values.ID,
     label: str = values.TARGET,
     categorical: Sequence[str] = values.CATEGORICAL,
     test_size: float = values.TEST_SIZE,
@@ -41,15 +41,17 @@ def train(
     """Levels over the whole table, exact split, fit on one side, scores of the other.
 
     `clean` is read a few times, by few columns each: give it as a columnar table. Missing
-    numbers count as `fill`; without it they fail the fit. `options` go to `fit_trees`.
+    numbers count as `fill`; without it they fail the fit. Without a `key` the whole row decides
+    its side. `options` go to `fit_trees`.
     """
     rows = missing_texts_to_null(clean, categorical)
     levels = category_levels(rows, categorical)
     features = manifest(rows.columns, levels, label, key)
     split = stratified_split(rows, label, key, test_size, seed)
-    encoded = encode_align(split, features, keep=[key, label, "split"])
+    kept = [label] if key is None else [key, label]
+    encoded = encode_align(split, features, keep=[*kept, "split"])
     model = fit_trees(encoded.where(encoded.split == TRAIN), features, label, seed=seed, fill=fill, **options)
-    holdout = predict(encoded.where(encoded.split == TEST), model, features, [key, label], fill)
+    holdout = predict(encoded.where(encoded.split == TEST), model, features, kept, fill)
     return Trained(StoredModel(model, features), holdout, split)
 
 

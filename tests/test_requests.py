@@ -40,6 +40,8 @@ def aligned(spark, text, mode=boosting.ENCODED):
         ("{}", None),
         ('{"body":"{\\"a\\":1}"}', None),
         ('{"body":"[{\\"a\\":1}]"}', None),
+        ('{"\\u0062ody":"{\\"a\\":1}"}', None),
+        ('{"\\u0062ody":null}', envelope.BODY_NOT_TEXT),
         ('{"a":"some body"}', None),
         ('[{"body":"x"}]', None),
         ("[]", envelope.NO_RECORDS),
