@@ -43,8 +43,9 @@ def _parse(text: Column, names: Sequence[str], texts: Sequence[str] = ()) -> Col
     """A JSON list of objects, or one object as a list of one, framed as [[objects], [marker]].
 
     The keys `names` become variants, which tell absent, null, number and text apart; the keys
-    `texts` become strings, for which absent and null are one. Other keys are skipped. Spark's parser stops at the end of the first value; the marker, which holds the text's own hash,
-    only comes out again when nothing in the text closed the frame early.
+    `texts` become strings, for which absent and null are one. Other keys are skipped.
+    Spark's parser stops at the end of the first value; the marker, which holds the text's own
+    hash, only comes out again when nothing in the text closed the frame early.
     """
     end = F.concat(F.lit(f',[{{"{_END}":"'), _marker(text), F.lit('"}]]'))
     objects = F.when(_is_list(text), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))

@@ -1,3 +1,6 @@
+import random
+from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
+
 import pytest
 
 from holdfast import values
@@ -99,3 +102,16 @@ def test_rounding_decides_on_the_binary_value(spark):
     ties_up = {0.25: "0.3", 0.75: "0.8"}
     assert [r.one for r in rows] == [ties_up.get(x, f"{x:.1f}") for x in numbers]
     assert [r.two for r in rows] == [{0.25: 0.25, 0.75: 0.75}.get(x, float(f"{x:.2f}")) for x in numbers]
+
+
+def test_rounding_equals_exact_decimals(spark):
+    rng = random.Random(3)
+    numbers = [rng.random() * 100 for _ in range(2000)]
+    numbers += [rng.randrange(2001) / 20 for _ in range(500)]  # near or on a tie at one decimal
+    numbers += [100 - rng.randrange(100_000) / 1000 for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    found = df.select("x", rounded(F.col("x"), 1).alias("up"), rounded(F.col("x"), 4, "even").alias("even")).collect()
+    for row in found:
+        exact = Decimal(row.x)
+        assert row.up == float(exact.quantize(Decimal("0.1"), ROUND_HALF_UP))
+        assert row.even == float(exact.quantize(Decimal("0.0001"), ROUND_HALF_EVEN)) == float(f"{row.x:.4f}")

@@ -183,7 +183,8 @@ def test_text_lines_in_text_lines_out(spark, stored, tmp_path):
 
 
 def test_form_typing(spark):
-    form = spark.createDataFrame([("12 months", "x", " 29.85", "")], "tenure string, gender string, MonthlyCharges string, Partner string")
+    names = ["tenure", "gender", "MonthlyCharges", "Partner"]
+    form = spark.createDataFrame([("12 months", "x", " 29.85", "")], names)
     assert tuple(envelope.type_fields(form).first()) == (12, "x", 29.85, None)
 
 
