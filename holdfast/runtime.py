@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,22 +21,12 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g
     )
 
 
-@functools.cache
-def _local_scratch(application: str) -> str:
-    return tempfile.mkdtemp(prefix="holdfast-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`.
-
-    Only a local session may go without the setting; it gets a folder of its own.
-    """
+    """The folder every executor can reach: `spark.checkpoint.dir`, or else the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch(spark.sparkContext.applicationId)
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -59,3 +47,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialized table whose readers are done."""
+    spark = df.sparkSession
+    for folder in {os.path.dirname(file) for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if "/holdfast/" in folder:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
