@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import token_files
+from pyspark.sql import functions as F
+
+from holdfast.llm import bpe, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,3 +38,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), end_id=2
     )
     return token_files.token_index(spark, path)
+
+
+@query("op2_bpe")
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

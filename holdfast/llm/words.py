@@ -41,57 +41,40 @@ def token_bytes(path: str) -> list[bytes]:
     return table
 
 
-class WordEncoder:
-    """Ids of whole texts, equal to the library's `encode(text, add_special_tokens=False)`.
+class WordTable:
+    """Ids of whole texts by way of their distinct words, each encoded once and remembered.
 
     A byte-level tokenizer starts a new piece at a space between two characters that are not white
-    space. So a batch of texts is cut at such spaces, and each distinct word is encoded once and
-    remembered: the new words of a batch by one call of the library, where the byte lengths of
-    the tokens tell where each word ends. Texts with other white space beside a space, or with the
-    text of an added token, go to the library whole.
+    space, so a batch of texts is cut at such spaces. Texts with other white space beside a space,
+    or with the text of an added token, are encoded whole. Subclasses say how.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.lengths = np.array([len(token) for token in token_bytes(path)], dtype=np.int64)
-        added = [token.content for token in self.library.get_added_tokens_decoder().values()]
+    def __init__(self, added: list[str]):
         self.uncut = "|".join([UNCUT, *map(re.escape, added)])
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _library(self, text: str) -> np.ndarray:
-        found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(found.ids, dtype="<u4")
+    def encode_text(self, text: str) -> bytes:
+        """The ids of one text as little-endian unsigned 32-bit integers."""
+        raise NotImplementedError
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember `words` as they stand after a space."""
-        ids = self._library(" " + " ".join(words))
-        ends = np.cumsum(self.lengths[ids])
-        wanted = np.cumsum([len(word.encode()) + 1 for word in words])
-        cuts = np.searchsorted(ends, wanted, side="left") + 1
-        if cuts[-1] > len(ids) or not np.array_equal(ends[cuts - 1], wanted):
-            raise ValueError("a token crosses two words: not a byte-level vocabulary")
-        raw, begin = ids.tobytes(), 0
-        for word, end in zip(words, (cuts * 4).tolist()):
-            self.known[word] = raw[begin:end]
-            begin = end
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words as they stand after a space."""
+        raise NotImplementedError
 
     def _ids(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words."""
         if len(self.known) > GENERATION:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = [word for word in words if word not in known]
         new = []
-        for word in missing:
+        for word in [word for word in words if word not in known]:
             if word in older:
                 known[word] = older[word]
             else:
                 new.append(word)
         if new:
-            self._learn(new)
+            known.update(zip(new, self.encode_words(new)))
         return [known[word] for word in words]
 
     def encode(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +104,7 @@ class WordEncoder:
         for text in [*starts, *heads]:
             if text not in place:
                 place[text] = len(stored)
-                stored.append(self._library(text).tobytes() if text else b"")
+                stored.append(self.encode_text(text) if text else b"")
         whole = whole.to_numpy(zero_copy_only=False)
         texts = batch.to_pylist() if whole.any() else None
         for i, at in enumerate(first.tolist()):
@@ -136,6 +119,37 @@ class WordEncoder:
         return out, total[bounds[1:]]
 
 
+class WordEncoder(WordTable):
+    """By the tokenizers library: equal to its `encode(text, add_special_tokens=False)`.
+
+    The new words of a batch are one call; the byte lengths of the tokens tell where each ends.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.lengths = np.array([len(token) for token in token_bytes(path)], dtype=np.int64)
+        super().__init__([token.content for token in self.library.get_added_tokens_decoder().values()])
+
+    def _library(self, text: str) -> np.ndarray:
+        found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, dtype="<u4")
+
+    def encode_text(self, text: str) -> bytes:
+        return self._library(text).tobytes()
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        ids = self._library(" " + " ".join(words))
+        ends = np.cumsum(self.lengths[ids])
+        wanted = np.cumsum([len(word.encode()) + 1 for word in words])
+        cuts = np.searchsorted(ends, wanted, side="left") + 1
+        if cuts[-1] > len(ids) or not np.array_equal(ends[cuts - 1], wanted):
+            raise ValueError("a token crosses two words: not a byte-level vocabulary")
+        raw, bounds = ids.tobytes(), [0, *(cuts * 4).tolist()]
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 @functools.cache
 def encoder(path: str) -> WordEncoder:
     """One encoder per worker and file."""
