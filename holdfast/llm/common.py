@@ -41,7 +41,9 @@ def partitions(spark: SparkSession) -> int:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` below the shared folder and go on from there; lost executors lose nothing of it."""
-    return runtime.materialize(df)
+    path = runtime.scratch_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def map_batches(

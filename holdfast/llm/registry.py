@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, token_files
+from holdfast.llm import bpe, packing, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,3 +51,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(decimal, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
