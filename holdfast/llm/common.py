@@ -59,6 +59,7 @@ def map_batches(
     ship(df.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # which returns what is free
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 made = function(batch.slice(start, rows))

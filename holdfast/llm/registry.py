@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, exact_dedup, packing, token_files
+from holdfast.llm import bpe, exact_dedup, packing, simhash, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,3 +73,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm.common import map_batches, partitions, running_total
+from holdfast.llm.common import map_batches, materialize, partitions, running_total
 from holdfast.llm.words import encoder
 
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
@@ -83,7 +83,7 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
     `start` counts the ids of all documents before. Rows that share a doc_id follow by checksum.
     """
-    sums = token_checksums(read_token_files(spark, path))
+    sums = materialize(token_checksums(read_token_files(spark, path)))
     return running_total(sums, ["doc_id", "ids_crc32"], "n_tokens", "start").select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )

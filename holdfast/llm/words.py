@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 
 #: Words of one generation that a worker remembers. When it is full, words not used since the last
 #: change of generation are forgotten; at most twice as many are held.
-GENERATION = 400_000
+GENERATION = 300_000
 
 #: White space beside a space, or a space at an end: such texts are not cut.
 WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -82,41 +83,30 @@ class WordTable:
         batch = pc.fill_null(batch, "")
         whole = pc.match_substring_regex(batch, self.uncut)
         cut = pc.split_pattern(pc.if_else(whole, "", batch), " ")
-        words = cut.flatten()
-        bounds = cut.offsets.to_numpy().astype(np.int64)
-        bounds -= bounds[0]
-        distinct = words.dictionary_encode()
-        codes = distinct.indices.to_numpy().astype(np.int64)
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        distinct = cut.flatten().dictionary_encode()
+        codes = distinct.indices.to_numpy()
         table = distinct.dictionary.to_pylist()
-        # The first word of a text has no space before it; a text that is not cut is one word.
+        # The first word of a text has no space before it, and a text that is not cut is one word.
         first = bounds[:-1]
-        heads = dict.fromkeys(batch.filter(whole).to_pylist())
-        starts = {text: None for text in np.asarray(table, dtype=object)[np.unique(codes[first])]} if len(first) else {}
-        after = np.ones(len(table), dtype=bool)
-        if len(first):
-            used = np.ones(len(codes), dtype=bool)
-            used[first] = False
-            after[:] = False
-            after[codes[used]] = True
-        found = iter(self._ids([word for word, is_used in zip(table, after) if is_used]))
-        stored = [next(found) if is_used else b"" for is_used in after]
-        place = {}
-        for text in [*starts, *heads]:
-            if text not in place:
-                place[text] = len(stored)
+        spaced = np.bincount(codes, minlength=len(table)) > np.bincount(codes[first], minlength=len(table))
+        stored = self._ids(list(compress(table, spaced)))
+        place = (np.cumsum(spaced) - 1).astype(np.int32)[codes]
+        heads: dict[str, int] = {}
+        for at, code, text in zip(first.tolist(), codes[first].tolist(), pc.if_else(whole, batch, None).to_pylist()):
+            text = table[code] if text is None else text
+            if text not in heads:
+                heads[text] = len(stored)
                 stored.append(self.encode_text(text) if text else b"")
-        whole = whole.to_numpy(zero_copy_only=False)
-        texts = batch.to_pylist() if whole.any() else None
-        for i, at in enumerate(first.tolist()):
-            codes[at] = place[texts[i] if whole[i] else table[codes[at]]]
-        sizes = np.array([len(ids) for ids in stored], dtype=np.int64) // 4
+            place[at] = heads[text]
+        sizes = np.fromiter(map(len, stored), np.int32, len(stored)) // 4
         flat = np.frombuffer(b"".join(stored), dtype="<u4")
-        counts = sizes[codes]
-        ends = np.cumsum(counts)
-        begins = np.cumsum(sizes) - sizes
-        out = flat[np.repeat(begins[codes] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
-        total = np.concatenate([[0], ends])
-        return out, total[bounds[1:]]
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
+        counts = sizes[place]
+        ends = np.cumsum(counts, dtype=np.int32)
+        spread = np.repeat(begins[place] - ends + counts, counts)
+        spread += np.arange(len(spread), dtype=np.int32)
+        return flat[spread], np.concatenate([[0], ends])[bounds[1:]]
 
 
 class WordEncoder(WordTable):
