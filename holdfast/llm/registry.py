@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, exact_dedup, packing, simhash, token_files
+from holdfast.llm import bpe, exact_dedup, packing, quality, simhash, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,3 +79,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
