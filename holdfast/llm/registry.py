@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, embedding_dedup, exact_dedup, packing, quality, simhash, token_files
+from holdfast.llm import bpe, embedding_dedup, exact_dedup, packing, quality, simhash, substring_dedup, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -90,3 +90,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_dedup")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
