@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, embedding_dedup, exact_dedup, packing, quality, simhash, substring_dedup, token_files
+from holdfast.llm import bpe, embedding_dedup, exact_dedup, packing, pii, quality, simhash, substring_dedup, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,3 +96,15 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+
+    def listed(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
