@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, embedding_dedup, exact_dedup, packing, pii, quality, simhash, substring_dedup, token_files
+from holdfast.llm import bpe, embedding_dedup, exact_dedup, html_extraction, packing, pii, quality, simhash, substring_dedup, token_files
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -108,3 +108,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extraction.extract(pages, html_extraction.train(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
