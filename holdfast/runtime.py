@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_named: list[str] = []  # scratch paths in the order of their making
+
 
 def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session on this machine, for tests and the bench."""
@@ -32,7 +36,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     unique = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
-    return os.path.join(shared_dir(spark), "holdfast", unique, name)
+    path = os.path.join(shared_dir(spark), "holdfast", unique, name)
+    _named.append(path)
+    return path
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -49,10 +55,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the files of a materialized table whose readers are done."""
-    spark = df.sparkSession
-    for folder in {os.path.dirname(file) for file in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if "/holdfast/" in folder:
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the folders that `scratch_path` named within; results must be written by then."""
+    before = len(_named)
+    yield
+    while len(_named) > before:
+        remove(spark, os.path.dirname(_named.pop()))
