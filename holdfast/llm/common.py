@@ -46,6 +46,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialized table that nothing reads any more."""
+    for folder in {os.path.dirname(file) for file in df.inputFiles()}:
+        runtime.remove(df.sparkSession, folder)
+
+
 def map_batches(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]],
@@ -124,7 +130,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        current = materialize(small)
+        older, current = current, materialize(small)
+        discard(older)
         state = current.agg(
             F.count(F.lit(1)), F.countDistinct("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
