@@ -17,7 +17,7 @@ from holdfast.streaming import scorer
 
 
 def inventory(spark: SparkSession, args: argparse.Namespace) -> None:
-    files.file_inventory(spark, args.path).show(args.rows, truncate=False)
+    files.file_inventory(spark, args.path).write.mode("overwrite").parquet(args.out)
 
 
 def violations(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -30,7 +30,7 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    table = accounts.scan_clean(spark, args.clean, args.format, with_id=args.keep_id)
+    table = accounts.scan_clean(spark, args.clean, args.format)
     key = values.ID if values.ID in table.columns else None
     trained = training.train(table, key, fill=args.fill, max_iter=args.trees)
     models.save_model(spark, trained.stored, args.model)
@@ -61,12 +61,12 @@ def parser() -> argparse.ArgumentParser:
             found.add_argument(path)
         return found
 
-    job(inventory, "path").add_argument("--rows", type=int, default=1000)
+    job(inventory, "path", "out")
     job(violations, "raw", "out")
     tables = [job(clean, "raw", "out"), job(train, "clean", "model")]
     for table in tables:
         table.add_argument("--format", choices=["parquet", "csv"], default="parquet")
-        table.add_argument("--keep-id", action="store_true", help="the table has the identifier")
+    tables[0].add_argument("--keep-id", action="store_true", help="keep the identifier, as the key of the split")
     tables[1].add_argument("--trees", type=int, default=values.TREES)
     scoring = [job(score, "requests", "model", "out"), job(stream, "requests", "model", "out", "checkpoint")]
     for requests_job in scoring:
@@ -74,7 +74,8 @@ def parser() -> argparse.ArgumentParser:
         requests_job.add_argument("--mode", choices=[ENCODED, REFERENCE_PARITY], default=ENCODED)
     scoring[1].add_argument("--every", help="keep running with this interval, as '10 seconds'")
     for filling in [tables[1], *scoring]:
-        filling.add_argument("--fill", type=float, help="stands for missing numbers")
+        filling.add_argument("--fill", type=float, default=values.STAND_IN, help="stands for missing numbers")
+        filling.add_argument("--strict", dest="fill", action="store_const", const=None, help="missing numbers are errors")
     return top
 
 

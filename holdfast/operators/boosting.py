@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from holdfast import values
 from holdfast.functions.numbers import quoted
+from holdfast.operators.cleaning import missing_texts_to_null
 from holdfast.operators.encoding import (
     Feature,
     align_columns,
@@ -36,11 +37,12 @@ def fit_trees(
     seed: int = values.SEED,
     max_bins: int = 256,
     layout: tuple[int, str] | None = None,
-    fill: float | None = None,
+    fill: float | None = values.STAND_IN,
 ) -> PipelineModel:
     """Fit on a table that has the named features and a 0/1 label.
 
-    Missing feature values count as `fill`; without a `fill` they fail the job.
+    Missing feature values count as `fill`, which is below all others unless given; with None they
+    fail the job.
 
     Spark picks split candidates from a sample beyond 10,000 rows, so results may move with the
     partitioning; `layout=(partitions, key)` fixes it at the price of one shuffle. Lineage is cut
@@ -65,12 +67,12 @@ def fit_trees(
 
 
 def predict_values(
-    rows: DataFrame, model: PipelineModel, keep: Sequence[str] = (), fill: float | None = None
+    rows: DataFrame, model: PipelineModel, keep: Sequence[str] = (), fill: float | None = values.STAND_IN
 ) -> DataFrame:
     """(kept columns, prediction 0/1, probability of class 1) for rows of feature `values`.
 
-    Trees need every value. A missing one counts as `fill`; without a `fill`, its row gets a
-    null prediction and probability.
+    Trees need every value. A missing one counts as `fill`; with None its row gets a null
+    prediction and probability.
     """
     complete = F.lit(True) if fill is not None else is_complete(F.col("values"))
     vector = array_to_vector(filled(F.col("values"), fill or 0.0))
@@ -89,7 +91,7 @@ def predict(
     model: PipelineModel,
     features: Sequence[Feature],
     keep: Sequence[str] = (),
-    fill: float | None = None,
+    fill: float | None = values.STAND_IN,
 ) -> DataFrame:
     """The same for a table of named features."""
     return predict_values(feature_values(df, features, keep), model, keep, fill)
@@ -100,14 +102,18 @@ def scoring_features(
 ) -> DataFrame:
     """The features that scoring sees, by mode.
 
-    `encoded` encodes categorical columns with the levels of the manifest. `reference_parity`
+    `encoded` encodes categorical columns with the levels of the manifest, trimmed and without
+    missing-value texts, as the fit sees them. `reference_parity`
     only looks feature names up in the table, so raw categorical columns are ignored and all
     their indicators are 0: every account is scored as if it had the first level of each.
     """
     if mode == ENCODED:
-        return encode_align(df, features, keep)
+        sources = {f.source for f in features if f.level is not None}
+        rows = missing_texts_to_null(df, [c for c in df.columns if c in sources])
+        return encode_align(rows, features, keep)
     if mode == REFERENCE_PARITY:
-        return align_columns(df, [f.name for f in features], keep)
+        flagged = df.withColumns({f.name: f.value() for f in features if f.missing and f.source in df.columns})
+        return align_columns(flagged, [f.name for f in features], keep)
     raise ValueError(f"unknown scoring mode {mode!r}")
 
 
@@ -117,7 +123,7 @@ def score_table(
     features: Sequence[Feature],
     mode: str = ENCODED,
     keep: Sequence[str] = (),
-    fill: float | None = None,
+    fill: float | None = values.STAND_IN,
 ) -> DataFrame:
     """Score cleaned accounts: a narrow job, the model goes along with the plan."""
     return predict(scoring_features(df, features, mode, keep), model, features, keep, fill)

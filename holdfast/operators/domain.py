@@ -23,9 +23,8 @@ def domain_violations(raw: DataFrame) -> DataFrame:
         text = quoted(name).cast("string")
         checks.append((name, text, ~F.coalesce(text.isin(levels), F.lit(False))))
     for name in values.NON_NEGATIVE:
-        number = quoted(name)
-        if isinstance(raw.schema[name].dataType, T.StringType):
-            number = known(lenient_number(number))
+        is_text = isinstance(raw.schema[name].dataType, T.StringType)
+        number = known(lenient_number(quoted(name)) if is_text else quoted(name).cast("double"))
         checks.append((name, quoted(name).cast("string"), ~F.coalesce(number >= 0, F.lit(False))))
     found = F.array(
         *[F.when(bad, F.struct(F.lit(name).alias("column"), text.alias("value"))) for name, text, bad in checks]

@@ -6,38 +6,57 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast import values
 from holdfast.functions.numbers import known, quoted
+from holdfast.runtime import materialize
 
 Levels = dict[str, list[str]]
 
-MANIFEST_SCHEMA = "position int, name string, source string, level string"
+MANIFEST_SCHEMA = "position int, name string, source string, level string, missing boolean"
 
 
-def category_levels(
-    df: DataFrame, columns: Sequence[str] = values.CATEGORICAL, max_levels: int = 1000
-) -> Levels:
-    """Distinct non-null levels of each column in code point order, from one pass.
+def level_table(df: DataFrame, columns: Sequence[str] = values.CATEGORICAL) -> DataFrame:
+    """(column, position, level): distinct non-null levels of each column in code point order.
 
-    Each row is unpivoted and counted down to its (column, level) pairs before the shuffle, so
-    no task ever holds more than its own pairs. The driver gets at most `max_levels` pairs per
-    column; a column with more is an error.
+    Each row is unpivoted and counted down to its (column, level) pairs before the shuffle. Pairs are
+    range-partitioned and numbered within partitions; a table of one row per column and partition
+    holds what lies before. Nothing goes through the driver, and no column's levels through one task.
     """
+    spark = df.sparkSession
     pairs = F.array(
         *[F.struct(F.lit(i).alias("i"), quoted(c).cast("string").alias("level")) for i, c in enumerate(columns)]
     )
     distinct = df.select(F.inline(pairs)).where("level is not null").distinct()
-    rows = distinct.limit(max_levels * len(columns) + 1).collect()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(distinct.repartitionByRange(tasks, "i", "level").withColumn("part", F.spark_partition_id()))
+    counts = ranged.groupBy("i", "part").count()
+    earlier = Window.partitionBy("i").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("i", "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("i", "part").orderBy("level")) - 1
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+    return (
+        ranged.withColumn("within", within)
+        .join(before, ["i", "part"])
+        .select(names.alias("column"), (F.col("before") + F.col("within")).cast("int").alias("position"), "level")
+    )
+
+
+def category_levels(
+    df: DataFrame, columns: Sequence[str] = values.CATEGORICAL, max_levels: int | None = None
+) -> Levels:
+    """The `level_table` as names, which columns are made from. With `max_levels`, a column with more
+    is an error, found by a count before any level reaches the driver."""
+    table = level_table(df, columns)
+    if max_levels is not None:
+        for row in table.groupBy("column").count().where(F.col("count") > max_levels).collect():
+            raise ValueError(f"column {row['column']!r} has more than {max_levels} levels")
     levels: Levels = {c: [] for c in columns}
-    for row in rows:
-        levels[columns[row.i]].append(row.level)
-    for column, found in levels.items():
-        if len(found) > max_levels:
-            raise ValueError(f"column {column!r} has more than {max_levels} levels")
-    return {column: sorted(found) for column, found in levels.items()}
+    for row in sorted(table.collect(), key=lambda row: row.position):
+        levels[row["column"]].append(row.level)
+    return levels
 
 
 def levels_frame(spark: SparkSession, levels: Levels) -> DataFrame:
@@ -45,15 +64,28 @@ def levels_frame(spark: SparkSession, levels: Levels) -> DataFrame:
     return spark.createDataFrame(rows, "column string, position int, level string")
 
 
+def columns_with_missing(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Of the number columns, those with a null or NaN."""
+    if not columns:
+        return []
+    missing = [F.count_if(known(quoted(c).cast("double")).isNull()).alias(str(i)) for i, c in enumerate(columns)]
+    counts = df.agg(*missing).first()
+    return [c for i, c in enumerate(columns) if counts[i]]
+
+
 @dataclass(frozen=True)
 class Feature:
-    """One feature: a passed-through column, or (with `level`) an indicator of `source`."""
+    """One feature: a passed-through column, or an indicator of `source`: of one `level`, or of
+    numbers that are missing."""
 
     name: str
     source: str
     level: str | None = None
+    missing: bool = False
 
     def value(self) -> Column:
+        if self.missing:
+            return known(quoted(self.source).cast("double")).isNull().cast("int")
         if self.level is None:
             return quoted(self.source)
         return indicator(self.source, self.level)
@@ -78,20 +110,28 @@ def one_hot(df: DataFrame, levels: Levels) -> DataFrame:
     )
 
 
-def manifest(columns: Sequence[str], levels: Levels, label: str = values.TARGET, key: str | None = values.ID):
-    """The ordered features for a table with these columns."""
+def manifest(
+    columns: Sequence[str],
+    levels: Levels,
+    label: str = values.TARGET,
+    key: str | None = values.ID,
+    missing: Sequence[str] = (),
+):
+    """The ordered features for a table with these columns; number columns in `missing` get an
+    indicator of their missing values."""
     apart = {label, key, *levels}
-    return [Feature(c, c) for c in columns if c not in apart] + indicators(levels)
+    passed = [Feature(c, c) for c in columns if c not in apart]
+    return passed + indicators(levels) + [Feature(f"{c}_missing", c, missing=True) for c in missing]
 
 
 def manifest_frame(spark: SparkSession, features: Sequence[Feature]) -> DataFrame:
-    rows = [(i, f.name, f.source, f.level) for i, f in enumerate(features)]
+    rows = [(i, f.name, f.source, f.level, f.missing) for i, f in enumerate(features)]
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
 def read_manifest(df: DataFrame) -> list[Feature]:
     rows = sorted(df.collect(), key=lambda row: row.position)
-    return [Feature(row["name"], row.source, row.level) for row in rows]
+    return [Feature(row["name"], row.source, row.level, row.missing) for row in rows]
 
 
 def align_columns(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -137,9 +177,9 @@ def is_complete(values: Column) -> Column:
 
 
 def assemble_features(
-    df: DataFrame, features: Sequence[Feature], keep: Sequence[str] = (), fill: float | None = None
+    df: DataFrame, features: Sequence[Feature], keep: Sequence[str] = (), fill: float | None = values.STAND_IN
 ) -> DataFrame:
-    """(kept columns, feature vector). Missing values count as `fill`; without it they fail the job."""
+    """(kept columns, feature vector). Missing values count as `fill`; with None they fail the job."""
     values = F.col("values")
     if fill is None:
         missing = F.raise_error(F.lit("a feature value is missing: give a fill"))

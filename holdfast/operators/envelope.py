@@ -130,6 +130,12 @@ def _number_sql(field: str) -> str:
     return f"try_variant_get({field}, '$', 'double')"
 
 
+def _known_text_sql(text: str) -> str:
+    """A category as the fit sees it: trimmed, missing-value texts as null."""
+    missing = ", ".join(_text_sql(t) for t in values.MISSING_TEXTS)
+    return f"(CASE WHEN trim({text}) NOT IN ({missing}) THEN trim({text}) END)"
+
+
 def _first_name_sql(names: Sequence[str], conditions: str) -> str:
     """The name that belongs to the first true condition of an array, or null."""
     if not names:
@@ -163,21 +169,26 @@ def align_requests(parsed: DataFrame, features: Sequence[Feature], mode: str = E
         )
 
     def value(i: int, f: Feature) -> str:
+        if f.missing:
+            return f"CASE WHEN {number(names.index(f.source))} IS NULL THEN 1.0D ELSE 0.0D END"
         if f.source not in sources:
             return number(i)
-        text = _field_sql(f.source)
+        text = _known_text_sql(_field_sql(f.source))
         hit = f"CASE WHEN {text} = {_text_sql(f.level)} THEN 1.0D ELSE 0.0D END"
         return f"CASE WHEN {text} IS NOT NULL THEN {hit} ELSE {number(i)} END"
 
     def is_odd(name: str) -> str:
         field = _field_sql(name)
-        return f"coalesce({field} IS NOT NULL AND NOT is_variant_null({field}) AND {_number_sql(field)} IS NULL, false)"
+        return (
+            f"coalesce({field} IS NOT NULL AND NOT is_variant_null({field}) AND (schema_of_variant({field}) = 'STRING' "
+            f"OR {_number_sql(field)} IS NULL OR abs({_number_sql(field)}) = double('Infinity')), false)"
+        )
 
     # A single record has what its request has, so only lists need the comparison.
     in_any_record = ", ".join(f"exists(records, record -> {_field_sql(n)} IS NOT NULL)" for n in names)
     given = f"CASE WHEN size(records) > 1 THEN array({in_any_record}) END"
 
-    numbers = [f.name for f in features if f.source not in sources]
+    numbers = [f.name for f in features if f.source not in sources and not f.missing]
     odd = _first_name_sql(numbers, f"array({', '.join(is_odd(n) for n in numbers)})")
     aligned = (
         "transform(records, (record, position) -> named_struct('position', position, "
@@ -190,16 +201,18 @@ def align_requests(parsed: DataFrame, features: Sequence[Feature], mode: str = E
     return rows.select("request_id", "position", F.coalesce("error", "record_error").alias("error"), "values")
 
 
-def settle_missing(aligned: DataFrame, features: Sequence[Feature], fill: float | None = None) -> DataFrame:
-    """No nulls among the values: missing ones become `fill`, or without it an error.
+def settle_missing(
+    aligned: DataFrame, features: Sequence[Feature], fill: float | None = values.STAND_IN
+) -> DataFrame:
+    """No nulls among the values: missing ones become `fill`, or with None an error.
     Rows with an error get zeros; their scores are never shown."""
     error = F.col("error")
     if fill is None:
         missing = _first_name_sql([f.name for f in features], "transform(values, v -> v IS NULL)")
         error = F.expr(f"coalesce(error, concat('missing value: ', {missing}))")
     zeros = F.array_repeat(F.lit(0.0), len(features))
-    values = F.when(F.col("values").isNull(), zeros).otherwise(filled(F.col("values"), fill or 0.0))
-    return aligned.select("request_id", "position", error.alias("error"), values.alias("values"))
+    settled = F.when(F.col("values").isNull(), zeros).otherwise(filled(F.col("values"), fill or 0.0))
+    return aligned.select("request_id", "position", error.alias("error"), settled.alias("values"))
 
 
 def spread_values(rows: DataFrame, features: Sequence[Feature]) -> DataFrame:

@@ -1,18 +1,15 @@
-"""Exact stratified holdout in two narrow scans, whatever the size of a class.
+"""Exact stratified holdout in narrow scans, whatever the size or number of classes.
 
-Rows are ordered by a seeded digest of their key. A histogram over the first digest digits
-tells in which small range each class reaches its quota; only that range is looked at row by
-row, to find the cutoff digest. Marking the rows then needs neither join, sort nor window.
+Rows are ordered by a seeded digest of their key. Histograms over the first digest digits, twice, tell in
+which small range each class reaches its quota; only that range is looked at row by row, to
+find the cutoff digest. Quotas, histograms and cutoffs are tables. Marking a row is a lookup of the
+cutoff of its class.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
-from operator import or_
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,117 +17,76 @@ from pyspark.sql import functions as F
 from holdfast.functions.numbers import quoted
 from holdfast.runtime import materialize
 
-DIGITS = 3  # hex digits per histogram: 4,096 ranges
-DIGEST_LENGTH = 32
+DIGITS = 3  # hex digits per histogram: at most 4,096 ranges per class
 COPIES_PER_TASK_ROW = 100_000
 
 TRAIN, TEST = "train", "test"
 
 
-@dataclass
-class Range:
-    """The digests of one class that start with `prefix`; its quota is reached in here."""
+def train_quotas(counts: DataFrame, test_size: float) -> DataFrame:
+    """(label, needed): training rows per class of `counts` (label, n), for a materialized table.
 
-    prefix: str
-    needed: int
-    digests: int
-
-
-@dataclass
-class Cutoff:
-    """The last digest that gets training rows: `taken` of the `rows` that share it."""
-
-    digest: str
-    taken: int
-    rows: int
-
-
-def train_quotas(counts: dict[Any, int], test_size: float) -> dict[Any, int]:
-    """Training rows per class: proportional, largest remainders first, ties by label."""
-    n = sum(counts.values())
+    Shares are proportional; what rounding leaves goes to the largest remainders, ties by label.
+    The classes are ranked by ranges of the remainder, so their number may be large.
+    """
+    spark = counts.sparkSession
+    total = counts.agg(
+        F.sum("n").cast("decimal(38,0)").alias("n"),
+        F.count("*").alias("classes"),
+        F.min("n").alias("least"),
+        F.count_if(F.col("label").isNull()).alias("nulls"),
+    ).first()
+    if total.nulls:
+        raise ValueError("the label must not be null")
+    if total.least < 2:
+        raise ValueError("each class needs at least two rows")
+    n = int(total.n)
     n_test = math.ceil(test_size * n)
     n_train = n - n_test
-    if min(counts.values()) < 2:
-        raise ValueError("each class needs at least two rows")
-    if min(n_train, n_test) < len(counts):
-        raise ValueError(f"{n_train} training and {n_test} test rows cannot cover {len(counts)} classes")
-    quotas = {label: k * n_train // n for label, k in counts.items()}
-    by_remainder = sorted(sorted(counts), key=lambda label: -(counts[label] * n_train % n))
-    for label in by_remainder[: n_train - sum(quotas.values())]:
-        quotas[label] += 1
-    return quotas
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
-
-
-def _of(label: Any) -> Column:
-    return F.col("label") == F.lit(label)
-
-
-def _inside(ranges: dict[Any, Range]) -> Column:
-    return _any([_of(label) & F.col("digest").startswith(r.prefix) for label, r in ranges.items()])
-
-
-def _histogram(rows: DataFrame, length: int, weight: Column, max_classes: int) -> dict[Any, dict[str, tuple]]:
-    """{label: {digest prefix: (rows, digests at most)}}; its size is bounded by the digits."""
-    bound = max_classes * 16**DIGITS
-    found = (
-        rows.groupBy("label", F.substring("digest", 1, length).alias("prefix"))
-        .agg(F.sum(weight).alias("rows"), F.count("*").alias("digests"))
-        .limit(bound + 1)
-        .collect()
+    if min(n_train, n_test) < total.classes:
+        raise ValueError(f"{n_train} training and {n_test} test rows cannot cover {total.classes} classes")
+    product = f"CAST(n AS DECIMAL(19,0)) * CAST({n_train} AS DECIMAL(18,0))"
+    shares = counts.selectExpr(
+        "label",
+        f"({product}) % CAST({n} AS DECIMAL(18,0)) AS rest",
+        f"({product}) div CAST({n} AS DECIMAL(18,0)) AS whole",
     )
-    if len(found) > bound or len({row.label for row in found}) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    histogram: dict[Any, dict[str, tuple]] = {}
-    for row in found:
-        if row.label is None:
-            raise ValueError("the label must not be null")
-        histogram.setdefault(row.label, {})[row.prefix] = (row.rows, row.digests)
-    return histogram
-
-
-def _ranges(histogram: dict[Any, dict[str, tuple]], quotas: dict[Any, int]) -> dict[Any, Range]:
-    ranges = {}
-    for label, needed in quotas.items():
-        for prefix, (rows, digests) in sorted(histogram[label].items()):
-            if needed <= rows:
-                ranges[label] = Range(prefix, needed, digests)
-                break
-            needed -= rows
-    return ranges
-
-
-def _cutoffs(
-    rows: DataFrame, histogram: dict, quotas: dict[Any, int], max_classes: int, max_range: int
-) -> dict[Any, Cutoff]:
-    """The cutoff of each class with a quota, for `rows` of (label, digest)."""
-    quotas = {label: quota for label, quota in quotas.items() if quota > 0}
-    if not quotas:
-        return {}
-    ranges = _ranges(histogram, quotas)
-    tally = rows.where(_inside(ranges)).groupBy("label", "digest").agg(F.count("*").alias("n"))
-    length = DIGITS
-    if max(r.digests for r in ranges.values()) > max_range:
-        tally = materialize(tally)
-        while length < DIGEST_LENGTH and max(r.digests for r in ranges.values()) > max_range:
-            length += DIGITS
-            narrower = _histogram(tally.where(_inside(ranges)), length, F.col("n"), max_classes)
-            ranges = _ranges(narrower, {label: r.needed for label, r in ranges.items()})
-            tally = tally.where(_inside(ranges))
-    upto = F.sum("n").over(Window.partitionBy("label").orderBy("digest"))
-    reached = _any(
-        [
-            _of(label) & (F.col("upto") >= r.needed) & (F.col("upto") - F.col("n") < r.needed)
-            for label, r in ranges.items()
-        ]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("rest").desc(), F.col("label").asc()]
+    ranged = materialize(shares.repartitionByRange(tasks, *order).withColumn("part", F.spark_partition_id()))
+    left = n_train - ranged.agg(F.sum("whole")).first()[0]
+    sizes = ranged.groupBy("part").count()
+    earlier = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    placed = ranged.join(before, "part").withColumn("place", place)
+    extra = F.when(F.col("place") <= left, 1).otherwise(0)
+    return placed.select("label", (F.col("whole") + extra).alias("needed"))
+
+
+def _reached(table: DataFrame, position: str) -> DataFrame:
+    """Per label the row of `table` (label, position, n, needed) in which the sum of n reaches `needed`,
+    which becomes what is needed of that row."""
+    upto = F.sum("n").over(Window.partitionBy("label").orderBy(position))
+    found = table.withColumn("upto", upto)
+    short = F.col("needed") - (F.col("upto") - F.col("n"))
+    return found.where((F.col("upto") >= F.col("needed")) & (short > 0)).select(
+        "label", position, short.alias("needed"), "n"
     )
-    found = tally.withColumn("upto", upto).where(reached).collect()
-    return {
-        row.label: Cutoff(row.digest, ranges[row.label].needed - (row.upto - row.n), row.n) for row in found
-    }
+
+
+def _cutoffs(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """(label, cut, taken, n): the last digest of each label of `needed` (label, needed > 0) that gets
+    training rows: `taken` of the n rows (label, digest) that share it."""
+    for length in (DIGITS, 2 * DIGITS):
+        prefix = F.substring("digest", 1, length)
+        counts = rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n"))
+        ranges = materialize(_reached(counts.join(needed, "label"), "prefix")).drop("n")
+        rows = rows.withColumn("prefix", prefix).join(ranges.drop("needed"), ["label", "prefix"]).select("label", "digest")
+        needed = ranges.select("label", "needed")
+    tally = rows.groupBy("label", "digest").agg(F.count("*").alias("n"))
+    found = _reached(tally.join(needed, "label"), "digest")
+    return materialize(found.select("label", F.col("digest").alias("cut"), F.col("needed").alias("taken"), "n"))
 
 
 def _row_digest(columns: Sequence[str], seed: int) -> Column:
@@ -140,20 +96,20 @@ def _row_digest(columns: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def _expand(copies: DataFrame, columns: Sequence[str], taken: Column, out: str) -> DataFrame:
-    """Equal rows as one row and a number, back to single rows: `taken` to train, the rest to test.
+def _expand(copies: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+    """Equal rows as one row with their number, back to single rows: `taken` to train, the rest to test.
     The numbers are cut into chunks and spread, so many copies do not end up in one task."""
     spread = int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last_chunk = F.floor((F.col("n") - 1) / COPIES_PER_TASK_ROW).cast("bigint")
+    last_chunk = F.floor((F.col("copies") - 1) / COPIES_PER_TASK_ROW).cast("bigint")
     start = F.col("chunk") * COPIES_PER_TASK_ROW
-    numbers = F.sequence(start + 1, F.least(F.col("n"), start + COPIES_PER_TASK_ROW))
+    numbers = F.sequence(start + 1, F.least(F.col("copies"), start + COPIES_PER_TASK_ROW))
     return (
         copies.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
         .repartition(spread, "chunk")
         .withColumn("number", F.explode(numbers))
         .select(
-            *[quoted(c) for c in columns],
-            F.when(F.col("number") <= taken, TRAIN).otherwise(TEST).alias(out),
+            *[F.col("row")[c].alias(c) for c in columns],
+            F.when(F.col("number") <= F.col("taken"), TRAIN).otherwise(TEST).alias(out),
         )
     )
 
@@ -165,13 +121,12 @@ def stratified_split(
     test_size: float = 0.2,
     seed: int = 42,
     out: str = "split",
-    max_classes: int = 100,
-    max_range: int = 100_000,
 ) -> DataFrame:
     """`df` with a column `out` of 'train' or 'test', exact class by class.
 
     The same key and seed always give the same side. Without a key the whole row is one. Rows
-    with equal keys are told apart by all their columns; equal rows are counted, not ordered.
+    with equal keys are told apart by all their columns; equal rows are counted, not ordered. `df` is
+    read several times, by label and digests: give it as a columnar table, as CSV is parsed each time.
     """
     columns = df.columns
     if key is None:
@@ -182,52 +137,36 @@ def stratified_split(
     second = _row_digest(columns, seed + 1)
     source = df.select(quoted(label).alias("label"), digest.alias("digest"), second.alias("second"))
 
-    first_rows = source.select("label", "digest")
-    histogram = _histogram(first_rows, DIGITS, F.lit(1), max_classes)
-    if not histogram:
+    counts = materialize(source.groupBy("label").agg(F.count("*").alias("n")))
+    if counts.isEmpty():
         return df.withColumn(out, F.lit(None).cast("string"))
-    quotas = train_quotas(
-        {c: sum(rows for rows, _ in found.values()) for c, found in histogram.items()}, test_size
-    )
-    cuts = _cutoffs(first_rows, histogram, quotas, max_classes, max_range)
+    needed = train_quotas(counts, test_size).where("needed > 0")
+    cuts = _cutoffs(source.select("label", "digest"), needed)
 
     # Classes whose cutoff falls between rows of one key: order those rows by the second digest.
-    tied = {c: cut for c, cut in cuts.items() if cut.taken < cut.rows}
-    second_cuts: dict[Any, Cutoff] = {}
-    if tied:
-        at_cut = _any([_of(c) & (F.col("digest") == cut.digest) for c, cut in tied.items()])
-        rows = source.where(at_cut).select("label", F.col("second").alias("digest"))
-        second_cuts = _cutoffs(
-            rows,
-            _histogram(rows, DIGITS, F.lit(1), max_classes),
-            {c: cut.taken for c, cut in tied.items()},
-            max_classes,
-            max_range,
-        )
+    tied = cuts.where("taken < n").select("label", "cut", F.col("taken").alias("needed"))
+    at_cut = source.join(tied.select("label", F.col("cut").alias("digest")), ["label", "digest"])
+    second_cuts = _cutoffs(at_cut.select("label", F.col("second").alias("digest")), tied.select("label", "needed"))
+    limits = cuts.select("label", "cut", (F.col("taken") < F.col("n")).alias("is_tied")).join(
+        second_cuts.select("label", F.col("cut").alias("second_cut"), "taken", F.col("n").alias("rows")), "label", "left"
+    )
 
-    def side(name: str) -> Column:
-        return quoted(label) == F.lit(name)
-
-    train = []
-    copied: dict[Any, Column] = {}
-    for c, cut in cuts.items():
-        if c not in tied:
-            train.append(side(c) & (digest <= cut.digest))
-            continue
-        last = second_cuts[c]
-        among_tied = second < last.digest
-        if last.taken == last.rows:
-            among_tied = second <= last.digest
-        else:
-            copied[c] = side(c) & (digest == cut.digest) & (second == last.digest)
-        train.append(side(c) & ((digest < cut.digest) | ((digest == cut.digest) & among_tied)))
-
-    def marked(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(out, F.when(_any(train), TRAIN).otherwise(TEST))
-
-    if not copied:
-        return marked(df)
-    equal = _any(list(copied.values()))
-    counted = df.where(equal).groupBy(*[quoted(c) for c in columns]).agg(F.count("*").alias("n"))
-    taken = F.coalesce(*[F.when(side(c), second_cuts[c].taken) for c in copied])
-    return marked(df.where(~equal)).unionByName(_expand(counted, columns, taken, out))
+    # The cutoffs are one row per class: Spark broadcasts them when they are found to be small.
+    rows = df.select(
+        F.struct(*[quoted(c) for c in columns]).alias("row"),
+        quoted(label).alias("label"),
+        digest.alias("digest"),
+        second.alias("second"),
+    ).join(limits, "label", "left")
+    at_cut = F.col("is_tied") & (F.col("digest") == F.col("cut"))
+    at_second = at_cut & (F.col("second") == F.col("second_cut"))
+    copied = F.coalesce(at_second & (F.col("taken") < F.col("rows")), F.lit(False))
+    below = F.when(at_cut, F.col("second") <= F.col("second_cut")).otherwise(F.col("digest") <= F.col("cut"))
+    marked = rows.where(~copied).select(
+        *[F.col("row")[c].alias(c) for c in columns],
+        F.when(below, TRAIN).otherwise(TEST).alias(out),
+    )
+    if second_cuts.where("taken < n").isEmpty():
+        return marked
+    equal = rows.where(copied).groupBy("row", "taken").agg(F.count("*").alias("copies"))
+    return marked.unionByName(_expand(equal, columns, out))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +12,6 @@ from holdfast.functions.numbers import quoted, rounded
 from holdfast.runtime import materialize
 
 SCORES_PER_BUCKET = 100_000
-MAX_BUCKETS = 10_000
 
 
 def _outcomes(label: Column, prediction: Column) -> dict[str, Column]:
@@ -46,20 +44,13 @@ def _by_score(df: DataFrame, label: Column, score: Column, extra: dict[str, Colu
     )
 
 
-def _edges(scores: DataFrame, per_bucket: int) -> list[float]:
-    """Inner limits of score ranges that hold about equally many distinct scores."""
-    buckets = min(MAX_BUCKETS, math.ceil(scores.count() / per_bucket))
-    inner = [i / buckets for i in range(1, buckets)]
-    return sorted(set(scores.approxQuantile("score", inner, 0.25 / buckets))) if inner else []
-
-
 def _evaluate(scores: DataFrame, extra: Sequence[str], per_bucket: int) -> DataFrame:
     """One row: `auc` and the sums of the `extra` counts, over a table of distinct scores.
 
-    A positive beats each negative with a lower score and half of those with its own. The
-    negatives below a score are those of lower buckets (a sum over at most MAX_BUCKETS rows)
-    plus those before it in its own bucket (a window per bucket). Only a table that fits one
-    bucket, of at most `per_bucket` scores, is ranked by one task.
+    A positive beats each negative with a lower score and half of those with its own. Scores are
+    range-partitioned, about `per_bucket` to a range. The negatives below a score are those of
+    lower ranges plus those before it in its own (a window per range). The sums of ranges are
+    summed up in two levels, by blocks of `per_bucket` ranges, so no window grows with the data.
     """
     unusable = F.col("score").isNull() | F.isnan("score")
     rows = F.col("pos") + F.col("neg") + F.col("odd")
@@ -70,28 +61,25 @@ def _evaluate(scores: DataFrame, extra: Sequence[str], per_bucket: int) -> DataF
         F.when(unusable, rows).otherwise(F.col("odd")).alias("unusable"),
         *extra,
     )
-    in_order = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    edges = _edges(table, per_bucket)
-    if edges:
-        ranges = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="score", outputCol="bucket")
-        table = ranges.transform(table).withColumn("bucket", F.col("bucket").cast("int"))
-        in_order = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    placed = table.withColumn("lower", F.coalesce(F.sum("neg").over(in_order), F.lit(0)))
-    if edges:
-        placed = placed.join(F.broadcast(_lower_buckets(table)), "bucket")
-    else:
-        placed = placed.withColumn("lower_buckets", F.lit(0))
-    beaten = F.col("pos") * (F.col("lower") + F.col("lower_buckets") + F.col("neg") / 2)
+    ranges = max(1, math.ceil(table.count() / per_bucket))
+    ranked = materialize(table.repartitionByRange(ranges, "score").withColumn("bucket", F.spark_partition_id()))
+    sums = ranked.groupBy("bucket").agg(F.sum("neg").alias("neg"))
+    sums = sums.withColumn("block", F.floor(F.col("bucket") / per_bucket))
+    in_block = _lower(sums, "bucket", "lower_buckets", "block")
+    blocks = _lower(sums.groupBy("block").agg(F.sum("neg").alias("neg")), "block", "lower_blocks")
+    lower = in_block.join(blocks, "block").select("bucket", (F.col("lower_buckets") + F.col("lower_blocks")).alias("below"))
+    placed = _lower(ranked, "score", "lower", "bucket").join(lower, "bucket")
+    beaten = F.col("pos") * (F.col("lower") + F.col("below") + F.col("neg") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     auc = F.when(F.sum("unusable") == 0, _ratio(F.sum(beaten), pairs, undefined=None))
     return placed.agg(auc.alias("auc"), *[F.sum(name).alias(name) for name in extra])
 
 
-def _lower_buckets(ranked: DataFrame) -> DataFrame:
-    """(bucket, negatives in all lower buckets): at most MAX_BUCKETS rows."""
-    negatives = ranked.groupBy("bucket").agg(F.sum("neg").alias("neg"))
-    lower = F.sum("neg").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    return negatives.select("bucket", F.coalesce(lower, F.lit(0)).alias("lower_buckets"))
+def _lower(table: DataFrame, order: str, out: str, within: str | None = None) -> DataFrame:
+    """`table` with the sum of `neg` over the rows that come before (in the same `within`)."""
+    group = F.col(within) if within else F.lit(0)
+    before = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return table.withColumn(out, F.coalesce(F.sum("neg").over(before), F.lit(0)))
 
 
 def roc_auc(

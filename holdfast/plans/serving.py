@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from holdfast import values
 from holdfast.operators.boosting import ENCODED, predict_values
 from holdfast.operators.envelope import (
     align_requests,
@@ -18,7 +20,7 @@ RECORD = ["request_id", "position", "error"]
 
 
 def score_records(
-    requests: DataFrame, stored: StoredModel, mode: str = ENCODED, fill: float | None = None
+    requests: DataFrame, stored: StoredModel, mode: str = ENCODED, fill: float | None = values.STAND_IN
 ) -> DataFrame:
     """(request_id, position, error, prediction, probability): one row per record, no shuffle.
 
@@ -37,7 +39,13 @@ def score_records(
 
 
 def score_requests(
-    requests: DataFrame, stored: StoredModel, mode: str = ENCODED, fill: float | None = None
+    requests: DataFrame, stored: StoredModel, mode: str = ENCODED, fill: float | None = values.STAND_IN
 ) -> DataFrame:
-    """(request_id, status, body, error): one response per request."""
-    return build_responses(score_records(requests, stored, mode, fill))
+    """(request_id, status, body, error): one response per request.
+
+    Each request is followed by a key of its own, so requests that share an id get an answer each,
+    and an id that many share is no hot group.
+    """
+    own = F.struct("request_id", F.monotonically_increasing_id().alias("row"))
+    responses = build_responses(score_records(requests.withColumn("request_id", own), stored, mode, fill))
+    return responses.withColumn("request_id", F.col("request_id.request_id"))

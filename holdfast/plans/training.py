@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from holdfast import values
 from holdfast.operators.boosting import fit_trees, predict
 from holdfast.operators.cleaning import clean_accounts, missing_texts_to_null
-from holdfast.operators.encoding import category_levels, encode_align, manifest
+from holdfast.operators.encoding import category_levels, columns_with_missing, encode_align, manifest
 from holdfast.operators.holdout import TEST, TRAIN, stratified_split
 from holdfast.operators.metrics import metrics_report
 from holdfast.runtime import scratch_path
@@ -35,18 +35,21 @@ def train(
     categorical: Sequence[str] = values.CATEGORICAL,
     test_size: float = values.TEST_SIZE,
     seed: int = values.SEED,
-    fill: float | None = None,
+    fill: float | None = values.STAND_IN,
     **options,
 ) -> Trained:
     """Levels over the whole table, exact split, fit on one side, scores of the other.
 
-    `clean` is read a few times, by few columns each: give it as a columnar table. Missing
-    numbers count as `fill`; without it they fail the fit. Without a `key` the whole row decides
+    `clean` is read a few times, by few columns each: give it as a columnar table. Number columns
+    with missing values get an indicator of them, and those values count as `fill`, below all
+    others unless given; with None they fail the fit. Without a `key` the whole row decides
     its side. `options` go to `fit_trees`.
     """
     rows = missing_texts_to_null(clean, categorical)
     levels = category_levels(rows, categorical)
-    features = manifest(rows.columns, levels, label, key)
+    numbers = [c for c in rows.columns if c not in {label, key, *levels}]
+    missing = [] if fill is None else columns_with_missing(rows, numbers)
+    features = manifest(rows.columns, levels, label, key, missing)
     split = stratified_split(rows, label, key, test_size, seed)
     kept = [label] if key is None else [key, label]
     encoded = encode_align(split, features, keep=[*kept, "split"])

@@ -2,30 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from holdfast import values
+from holdfast.functions.numbers import quoted
 from holdfast.operators.cleaning import missing_texts_to_null
 
 CORRUPT = "_corrupt_record"
 
 
-def scan_accounts(spark: SparkSession, path: str, corrupt: bool = False) -> DataFrame:
-    """Raw accounts from CSV with a header, by the declared schema: no inference pass.
+def _read_csv(spark: SparkSession, path: str, declared: T.StructType, optional: Sequence[str] = ()) -> DataFrame:
+    """The declared columns that the files have, by name. One header line is read to learn their order.
 
-    Rows that do not fit keep what can be read; `corrupt` adds their text as a column.
+    An absent column that is not optional is an error. Other columns are left out. Files whose
+    headers differ from each other are an error of the read.
     """
-    schema = values.RAW_SCHEMA
-    if corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema)
+    found = spark.read.option("header", True).csv(path).columns
+    absent = [name for name in declared.names if name not in found and name not in optional]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    kinds = {field.name: field.dataType for field in declared.fields}
+    fields = [T.StructField(name, kinds.get(name, T.StringType())) for name in found]
+    extra = [T.StructField(CORRUPT, T.StringType())] if CORRUPT in declared.names else []
+    table = (
+        spark.read.schema(T.StructType(fields + extra))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    return table.select(*[quoted(name) for name in declared.names if name in table.columns])
+
+
+def scan_accounts(spark: SparkSession, path: str, corrupt: bool = False) -> DataFrame:
+    """Raw accounts from CSV with a header, by the declared types: no inference pass.
+
+    Columns are found by name. Rows that do not fit keep what can be read; `corrupt` adds their
+    text as a column.
+    """
+    schema = values.RAW_SCHEMA
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return _read_csv(spark, path, schema, [CORRUPT])
 
 
 def write_table(df: DataFrame, path: str, format: str = "parquet") -> None:
@@ -36,13 +58,11 @@ def write_table(df: DataFrame, path: str, format: str = "parquet") -> None:
     writer.save(path)
 
 
-def scan_clean(spark: SparkSession, path: str, format: str = "parquet", with_id: bool = False) -> DataFrame:
-    """The cleaned table, all files of the directory.
+def scan_clean(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """The cleaned table, all files of the directory, with the identifier if it is there.
 
     CSV has no nulls of its own: texts that its reader takes as missing become null.
     """
     if format == "parquet":
         return spark.read.parquet(path)
-    fields = [f for f in values.CLEAN_SCHEMA.fields if with_id or f.name != values.ID]
-    table = spark.read.schema(T.StructType(fields)).option("header", True).format(format).load(path)
-    return missing_texts_to_null(table)
+    return missing_texts_to_null(_read_csv(spark, path, values.CLEAN_SCHEMA, [values.ID]))

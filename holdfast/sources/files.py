@@ -12,9 +12,10 @@ from holdfast.functions.numbers import rounded
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(path, size_kb at one decimal) of every file below `path`. Contents are not read.
+    """(path, size_kb at one decimal) of the files below `path`. Contents are not read.
 
-    Nothing there gives no rows and a warning.
+    Spark's file source leaves out files without bytes and names that start with `_` or `.`, and so
+    does this. Nothing there gives no rows and a warning.
     """
     try:
         files = (

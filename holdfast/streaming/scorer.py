@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from holdfast import values
 from holdfast.operators.boosting import ENCODED
 from holdfast.plans.serving import score_records, score_requests
 from holdfast.sources.models import StoredModel
@@ -17,7 +18,7 @@ def score_stream(
     out: str,
     checkpoint: str,
     mode: str = ENCODED,
-    fill: float | None = None,
+    fill: float | None = values.STAND_IN,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write whole responses, batch by batch, below `out` (columns as in `score_requests`).
@@ -45,7 +46,7 @@ def predict_stream(
     out: str,
     checkpoint: str,
     mode: str = ENCODED,
-    fill: float | None = None,
+    fill: float | None = values.STAND_IN,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append one row per record (columns as in `score_records`): no shuffle, no grouping.

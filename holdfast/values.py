@@ -109,14 +109,17 @@ MISSING_TEXTS = [
 
 JSON_TYPE = "application/json"
 
-# Readout texts and limits.
+# Readout texts and limits.
 LOW_RISK_FROM = 65
 MEDIUM_RISK_FROM = 40
 BARS = 5
 CHURN_VERDICT = "Weak signal. This profile is predicted to churn — {}% churn probability."
 STAY_VERDICT = "Signal holding. This profile is predicted to stay — {}% churn probability."
 
-# Training configuration.
+# Stands for a missing number: below all others, so a tree can part it from them.
+STAND_IN = -1e30
+
+# The training configuration.
 TREES = 200
 DEPTH = 5
 LEARNING_RATE = 0.1
