@@ -832,12 +832,12 @@ _PADDED = "CASE WHEN customerID LIKE '%3' THEN concat(Contract, ' ') WHEN custom
           .replace("SELECT * FROM (WITH base", "SELECT customerID, CAST(1 AS INT) AS same FROM (WITH base", 1))
 def score_padded_rows(spark, sf_dir):
     """Does a table with padded and missing categories get the scores that the fit gave its holdout?"""
-    clean = _clean(spark, sf_dir).withColumn("Contract", F.expr(_PADDED))
+    clean = _clean(spark, sf_dir).select("customerID", F.expr(_PADDED).alias("Contract"), "Churn")
     path = scratch_path(spark, "padded")
     accounts.write_table(clean, path)
     table = accounts.scan_clean(spark, path)
-    fitted = training.train(table, max_iter=CATALOG_TREES)
-    scored = boosting.score_table(table, fitted.stored.model, fitted.stored.features, keep=[values.ID])
+    fitted = training.train(table, categorical=["Contract"], max_iter=CATALOG_TREES, max_depth=2)
+    scored = boosting.score_table(clean, fitted.stored.model, fitted.stored.features, keep=[values.ID])
     held = fitted.holdout.select("customerID", F.col("probability").alias("held"))
     same = F.coalesce((F.col("held") == F.col("probability")).cast("int"), F.lit(0)).alias("same")
     return held.join(scored, "customerID").select("customerID", same)

@@ -47,6 +47,28 @@ def test_columns_and_types(spark):
     assert [(f.name, f.dataType) for f in kept.schema] == [(f.name, f.dataType) for f in values.CLEAN_SCHEMA]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    rows = raw(spark, {"Partner": "Yes", "Dependents": "No"})
+    turned = rows.select(F.lit("x").alias("other"), *reversed(rows.columns))
+    turned.write.option("header", True).csv(str(tmp_path / "turned"))
+    assert scan_accounts(spark, str(tmp_path / "turned")).collect() == rows.collect()
+    turned.drop("tenure").write.option("header", True).csv(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="tenure"):
+        scan_accounts(spark, str(tmp_path / "short"))
+
+
+@pytest.mark.parametrize("keep_id", [True, False])
+def test_clean_csv_with_or_without_id(spark, tmp_path, keep_id):
+    clean = cleaning.clean_accounts(raw(spark, {}), keep_id=keep_id)
+    write_table(clean, str(tmp_path / "clean"), "csv")
+    assert scan_clean(spark, str(tmp_path / "clean"), "csv").collect() == clean.collect()
+
+
+def test_nan_is_outside_the_domain(spark):
+    found = domain_violations(raw(spark, {"MonthlyCharges": float("nan")}, {})).collect()
+    assert [tuple(r) for r in found] == [("MonthlyCharges", "NaN", 1)]
+
+
 def test_csv_scan_keeps_blanks_nulls_and_broken_rows(spark, tmp_path):
     header = ",".join(values.RAW_SCHEMA.names)
     good = "A1,Male,1,Yes,No,3,Yes,No,DSL,No,No,No,No,No,No,One year,Yes,Mailed check,20.5, ,No"

@@ -74,3 +74,18 @@ def test_levels_need_one_shuffle(spark, sf_dir):
     )
     plan = encoding.encode_align(raw, features)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_missing_indicators(spark):
+    df = spark.createDataFrame([(1, 2.0), (None, 3.0), (4, float("nan"))], "a int, b double")
+    assert encoding.columns_with_missing(df, ["a", "b"]) == ["a", "b"]
+    assert encoding.columns_with_missing(df.na.drop(), ["a", "b"]) == []
+    features = encoding.manifest(["a", "b"], {}, None, None, ["a", "b"])
+    assert [tuple(r)[2:] for r in encoding.encode_align(df, features).collect()] == [(0, 0), (1, 0), (0, 1)]
+
+
+def test_level_positions_in_many_ranges(spark):
+    df = spark.range(3000).selectExpr("CAST(id % 700 AS STRING) AS a", "CAST(id % 3 AS STRING) AS b")
+    found = sorted(tuple(r) for r in encoding.level_table(df, ["a", "b"]).collect())
+    expected = [("a", i, x) for i, x in enumerate(sorted(map(str, range(700))))]
+    assert found == expected + [("b", i, x) for i, x in enumerate("012")]

@@ -73,13 +73,13 @@ def test_report(spark):
 
 
 def test_scores_are_ranked_by_range(spark, sf_dir):
-    """Beyond one bucket no task ranks all scores, and ranges meet their offsets by an equi-join."""
+    """No task ranks all scores, and ranges meet their offsets by an equi-join."""
     area = metrics.roc_auc(fixtures.scored(spark, sf_dir), per_bucket=10)
     plan = area._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     windows = [line for line in lines if "+- Window" in line and "score" in line]
     assert len(windows) == 1 and "[bucket#" in windows[0]
-    assert "BroadcastHashJoin [bucket#" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "HashJoin [bucket#" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_hot_scores_are_counted_before_the_shuffle(spark, sf_dir):

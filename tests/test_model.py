@@ -1,10 +1,12 @@
+import json
+
 import pytest
 
 from holdfast import values
 from holdfast.functions.readout import readout
 from holdfast.operators import boosting
 from holdfast.operators.encoding import encode_align
-from holdfast.plans import catalog, fixtures, training
+from holdfast.plans import catalog, fixtures, serving, training
 from holdfast.sources.files import file_inventory
 from holdfast.sources.models import load_model, save_model
 from pyspark.sql import functions as F
@@ -56,12 +58,37 @@ def test_missing_numbers(spark, sf_dir, stored):
         scored = boosting.score_table(df, stored.model, stored.features, keep=[values.ID], **options)
         return {r.customerID: (r.prediction, r.probability) for r in scored.collect()}
 
-    assert set(scores(missing).values()) == {(None, None)}
+    assert set(scores(missing, fill=None).values()) == {(None, None)}
     assert scores(missing, fill=0.0) == scores(zero)
+    assert scores(missing) == scores(clean.withColumn("tenure", F.lit(values.STAND_IN)))
     rows = encode_align(missing.union(zero), stored.features, keep=[values.TARGET])
     with pytest.raises(Exception, match="missing"):
-        boosting.fit_trees(rows, stored.features, max_iter=1)
-    boosting.fit_trees(rows, stored.features, max_iter=1, fill=0.0)
+        boosting.fit_trees(rows, stored.features, max_iter=1, fill=None)
+    boosting.fit_trees(rows, stored.features, max_iter=1)
+
+
+def test_fit_with_missing_numbers(spark, sf_dir):
+    """Missing numbers get an indicator; the trees may treat them unlike any number."""
+    clean = catalog._clean(spark, sf_dir).where("tenure <> 40")
+    gaps = clean.withColumn("tenure", F.when(F.col("Churn") == 0, F.col("tenure")).otherwise(F.lit(None).cast("int")))
+    trained = training.train(gaps, max_iter=2)
+    assert [f.name for f in trained.stored.features if f.missing] == ["tenure_missing"]
+    report = {r.metric: r.value for r in trained.report().collect()}
+    assert report["accuracy"] == 1.0  # only churners lack the number
+    request = spark.createDataFrame(
+        [(0, values.JSON_TYPE, '[{"tenure":5},{"tenure":null}]')], "request_id bigint, content_type string, value string"
+    )
+    body = json.loads(serving.score_requests(request, trained.stored).first().body)
+    assert body["predictions"] == [0, 1]
+
+
+def test_fit_and_table_scoring_treat_texts_alike(spark, sf_dir):
+    clean = catalog._clean(spark, sf_dir)
+    padded = clean.withColumn("Contract", F.when(F.col("tenure") % 2 == 0, F.concat("Contract", F.lit(" "))).otherwise("n/a"))
+    trained = training.train(padded, max_iter=2)
+    held = {r.customerID: r.probability for r in trained.holdout.collect()}
+    scored = boosting.score_table(padded, trained.stored.model, trained.stored.features, keep=[values.ID])
+    assert all(held.get(r.customerID, r.probability) == r.probability for r in scored.collect())
 
 
 def test_unknown_mode(spark, sf_dir, stored):

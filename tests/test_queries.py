@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from check import rows
+from holdfast.plans import catalog
 
 ROWS_ONLY = {
-    "file_inventory": 14,
     "fit_holdout": 4,
     "fit_documents_holdout": 4,
     "score_holdout": 300,
@@ -30,18 +31,13 @@ def duck(sf_dir):
     return con
 
 
-def rows(frame):
-    frame = frame[sorted(frame.columns)]
-    texts = frame.astype(object).where(frame.notna(), None).map(lambda v: None if v is None else str(v))
-    return sorted(texts.itertuples(index=False, name=None), key=str)
-
-
 def test_every_query_has_sql_or_is_listed():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == set(ROWS_ONLY)
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == set(ROWS_ONLY)
+    assert set(catalog.ORACLES) <= set(catalog.QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_same_rows(spark, sf_dir, duck, name):
     got = contract.queries()[name](spark, sf_dir).toPandas()
     expected = duck.sql(contract.oracle_sql()[name]).df()

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from holdfast.operators import boosting, envelope
 from holdfast.operators.encoding import Feature
@@ -87,12 +88,25 @@ def test_absent_from_the_request_is_zero_absent_from_a_record_is_missing(spark):
 
 def test_values(spark):
     assert aligned(spark, '{"a":true,"b":1.5e1}')[0] == [[1.0, 15.0, 0.0, 0.0]]
-    assert aligned(spark, '{"a":NaN,"b":"7"}')[0] == [[None, 7.0, 0.0, 0.0]]
+    assert aligned(spark, '{"a":NaN,"b":7}')[0] == [[None, 7.0, 0.0, 0.0]]
+    for odd in ('"7"', "Infinity", "-Infinity"):
+        assert aligned(spark, f'{{"a":1,"b":{odd}}}')[1] == ["not a number: b"]
     assert aligned(spark, '{"a":1,"a":2}')[0] == [[2.0, 0.0, 0.0, 0.0]]
     assert aligned(spark, '{"a":1,"b":"many"}')[1] == ["not a number: b"]
     assert aligned(spark, '{"b":[1]}')[1] == ["not a number: b"]
 
 
+def test_categories_are_read_as_in_the_fit(spark):
+    assert aligned(spark, '{"c":" w "}')[0] == [[0.0, 0.0, 0.0, 1.0]]
+    assert aligned(spark, '{"c":"N/A"}')[0] == [[0.0] * 4]
+
+
+def test_requests_that_share_an_id_get_an_answer_each(spark, stored):
+    same = frame(spark, json.dumps(SAMPLE), "{", json.dumps([SAMPLE, SAMPLE])).withColumn("request_id", F.lit(1))
+    rows = score_requests(same, stored).collect()
+    assert sorted((r.request_id, r.status) for r in rows) == [(1, 200), (1, 200), (1, 500)]
+
+
 def test_modes(spark):
     assert aligned(spark, '{"c":"w"}')[0] == [[0.0, 0.0, 0.0, 1.0]]
     assert aligned(spark, '{"c":"x.y (z)"}')[0] == [[0.0, 0.0, 1.0, 0.0]]
@@ -134,6 +148,8 @@ def test_missing_value_policy(spark, stored):
     lacking = {k: v for k, v in SAMPLE.items() if k != "tenure"}
     text = json.dumps([SAMPLE, lacking])
     row = score_requests(frame(spark, text), stored).first()
+    assert row.status == 200 and len(body(row)["predictions"]) == 2
+    row = score_requests(frame(spark, text), stored, fill=None).first()
     assert (row.status, body(row)) == (500, {"error": "missing value: tenure"})
     filled = score_requests(frame(spark, text, json.dumps(lacking)), stored, fill=0.0).collect()
     filled = {r.request_id: body(r)["probabilities"] for r in filled}
