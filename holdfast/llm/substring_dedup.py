@@ -40,7 +40,7 @@ SEED_WORDS = 6
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
 #: Batches with a minimizer, from which on its windows are spread over the shards.
 FREQUENT = 64
-SHARDS_PER_PARTITION = 8
+SHARDS_PER_PARTITION = 2
 
 FIRST_CHARACTER = 0x100
 SURROGATES = 0xD800, 0xE000
@@ -210,12 +210,18 @@ def recurring(sent: DataFrame) -> DataFrame:
                 np.frombuffer(once + twice, np.uint64)
                 for once, twice in zip(group.column("once").to_pylist(), group.column("twice").to_pylist())
             ]
-            twice = np.frombuffer(b"".join(group.column("twice").to_pylist()), np.uint64)
-            hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
-            again = (counts > 1) | np.isin(hashes, twice)
-            hashes, frequent = hashes[again], hashes[counts >= FREQUENT]
-            out = [(n, part[np.isin(part, hashes)]) for n, part in zip(numbers.tolist(), parts)]
-            out = [(n, part[~np.isin(part, frequent)], part[np.isin(part, frequent)]) for n, part in out if len(part)]
+            sent_twice = np.frombuffer(b"".join(group.column("twice").to_pylist()), np.uint64)
+            together = np.concatenate(parts)
+            hashes, place, counts = np.unique(together, return_inverse=True, return_counts=True)
+            again = counts > 1
+            again[np.searchsorted(hashes, sent_twice)] = True
+            often = (counts >= FREQUENT)[place]
+            again = again[place] & ~often
+            cuts = np.cumsum([0, *map(len, parts)])
+            out = [
+                (n, together[a:b][again[a:b]], together[a:b][often[a:b]])
+                for n, a, b in zip(numbers.tolist(), cuts, cuts[1:])
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([n for n, _, _ in out], pa.int64()),
@@ -253,25 +259,23 @@ def runs(batches: DataFrame, window: int, shards: int) -> DataFrame:
             last = np.append(start[1:], len(at)) - 1
             begin, end, document = at[start], at[last] + window, document[start]
             key = np.where(alone[start], whole[start], least[start])
-            table, codes = words.table.to_pylist(), words.codes
-            texts = np.asarray(table, dtype=object)[codes]
-            distinct: dict[str, int] = {}
-            run = np.array(
-                [
-                    distinct.setdefault(" ".join(texts[a:b]), len(distinct))
-                    for a, b in zip(begin.tolist(), end.tolist())
-                ]
+            sizes = end - begin
+            ends = np.cumsum(sizes)
+            flat = np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1])
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], ends]), pa.int32()), words.table.take(pa.array(words.codes[flat]))
             )
+            distinct = pc.binary_join(lists, " ").dictionary_encode()
+            run = distinct.indices.to_numpy()
             ids = words.ids.to_numpy(zero_copy_only=False)[document].astype(np.int64)
             shard = (mixed(key) % np.uint64(shards)).astype(np.int64)
-            run_texts = np.asarray(list(distinct), dtype=object)
             order = np.lexsort((document, run, shard))
             cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
             sent = []
             for a, b in zip(cuts, cuts[1:]):
                 rows = order[a:b]
                 own, place = np.unique(run[rows], return_inverse=True)
-                listing = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(run_texts[own].tolist(), pa.string()))
+                listing = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), distinct.dictionary.take(pa.array(own)))
                 columns = {
                     "texts": listing,
                     **{
@@ -297,39 +301,43 @@ def runs(batches: DataFrame, window: int, shards: int) -> DataFrame:
     return map_batches(batches, each, "shard int, batch long, payload binary", rows=1)
 
 
-def as_characters(runs_of_words: list[list[str]]) -> tuple[list[str], int]:
-    """Each run as a text in which `width` characters stand for a word; equal words get equal ones."""
-    numbers: dict[str, int] = {}
-    for run in runs_of_words:
-        for word in run:
-            numbers.setdefault(word, len(numbers))
+def as_characters(codes: np.ndarray, distinct: int) -> tuple[str, int]:
+    """Words as a text in which `width` characters stand for each; equal words get equal ones."""
     half = CHARACTERS // 2
-
-    def character(i: int) -> str:
-        i += FIRST_CHARACTER
-        return chr(i if i < SURROGATES[0] else i + SURROGATES[1] - SURROGATES[0])
-
-    if len(numbers) < CHARACTERS:
-        width, names = 1, {word: character(i) for word, i in numbers.items()}
+    if distinct < CHARACTERS:
+        width, points = 1, codes.astype(np.int64)
     else:  # the halves differ, so that no match starts within a word
-        width, names = 2, {word: character(i // half) + character(half + i % half) for word, i in numbers.items()}
-    return ["".join([names[word] for word in run]) for run in runs_of_words], width
+        width, points = 2, np.stack([codes // half, half + codes % half], axis=1).ravel().astype(np.int64)
+    points += FIRST_CHARACTER
+    points[points >= SURROGATES[0]] += SURROGATES[1] - SURROGATES[0]
+    return points.astype("<u4").tobytes().decode("utf-32-le"), width
 
 
-def shard_matches(
-    texts: list[str], least: np.ndarray, most: np.ndarray, window: int
-) -> Iterator[list[tuple[int, int]]]:
-    """For each run, (place, first document) of its windows that stand in two documents or more.
+def shard_matches(texts: pa.Array, least: np.ndarray, most: np.ndarray, window: int):
+    """What repeats in the distinct runs of a shard: (run, place, words, first document) arrays.
 
-    `least` and `most` are the smallest and greatest document with each run.
+    `least` and `most` are the smallest and greatest document with each run. All runs with a
+    minimizer are here. Where they are one run, it repeats as a whole or not at all; where they
+    differ, their windows are counted one by one.
     """
-    coded, width = as_characters([text.split(" ") for text in texts])
+    split = pc.split_pattern(texts, " ")
+    bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+    coded = split.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy()
+    hashes = np.array([xxhash.xxh64_intdigest(word.encode()) for word in coded.dictionary.to_pylist()], np.uint64)[codes]
+    in_first = phrase_hashes(hashes, SEED_WORDS)[bounds[:-1, None] + np.arange(window - SEED_WORDS + 1)]
+    _, group, sizes = np.unique(in_first.min(axis=1), return_inverse=True, return_counts=True)
+    alone = sizes[group] == 1
+    text, width = as_characters(codes, len(coded.dictionary))
     span = window * width
+    cuts = (bounds * width).tolist()
+
     first: dict[str, int] = {}
     latest: dict[str, int] = {}
-    for run, low, high in zip(coded, least.tolist(), most.tolist()):
-        for i in range(0, len(run) - span + 1, width):
-            phrase = run[i : i + span]
+    for i in np.flatnonzero(~alone).tolist():
+        low, high = int(least[i]), int(most[i])
+        for at in range(cuts[i], cuts[i + 1] - span + 1, width):
+            phrase = text[at : at + span]
             known = first.get(phrase)
             if known is None:
                 first[phrase], latest[phrase] = low, high
@@ -338,16 +346,31 @@ def shard_matches(
                     first[phrase] = low
                 if high > latest[phrase]:
                     latest[phrase] = high
-    automaton = ahocorasick.Automaton()
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    sizes_of, first_of = [], []
+
+    def confirm(passage: str, document: int) -> None:
+        automaton.add_word(passage, len(first_of))
+        sizes_of.append(len(passage) // width)
+        first_of.append(document)
+
     for phrase, document in first.items():
         if document < latest[phrase]:
-            automaton.add_word(phrase, document)
-    if not len(automaton):
-        yield from ([] for _ in coded)
-        return
-    automaton.make_automaton()
-    for run in coded:
-        yield [((end + 1 - span) // width, document) for end, document in automaton.iter(run)]
+            confirm(phrase, document)
+    for i in np.flatnonzero(alone & (least < most)).tolist():
+        confirm(text[cuts[i] : cuts[i + 1]], int(least[i]))
+    runs_found, ends_found, passages = [], [], []
+    if first_of:
+        automaton.make_automaton()
+        for i in range(len(least)):
+            for end, passage in automaton.iter(text[cuts[i] : cuts[i + 1]]):
+                runs_found.append(i)
+                ends_found.append(end)
+                passages.append(passage)
+    passages = np.array(passages, dtype=np.int64)
+    words = np.array(sizes_of, dtype=np.int64)[passages]
+    place = (np.array(ends_found, dtype=np.int64) + 1) // width - words
+    return np.array(runs_found, dtype=np.int64), place, words, np.array(first_of, dtype=np.int64)[passages]
 
 
 def matched(sent: DataFrame, window: int) -> DataFrame:
@@ -355,50 +378,35 @@ def matched(sent: DataFrame, window: int) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group("shard", batches):
-            runs_of_shard: dict[str, int] = {}
-            numbers, run, document, ids, start = [], [], [], [], []
-            for number, payload in zip(group.column("batch").to_pylist(), group.column("payload").to_pylist()):
-                part = unpacked(payload)
-                own = np.array(
-                    [runs_of_shard.setdefault(t, len(runs_of_shard)) for t in part.column("texts").flatten().to_pylist()]
-                )
-                run.append(own[part.column("run").flatten().to_numpy()])
-                document.append(part.column("document").flatten().to_numpy())
-                ids.append(part.column("doc_id").flatten().to_numpy())
-                start.append(part.column("start").flatten().to_numpy())
-                numbers.append(np.full(len(run[-1]), number))
-            number, run, document, ids, start = map(np.concatenate, (numbers, run, document, ids, start))
-            least = np.full(len(runs_of_shard), np.iinfo(np.int64).max)
-            most = np.full(len(runs_of_shard), np.iinfo(np.int64).min)
-            np.minimum.at(least, run, ids)
-            np.maximum.at(most, run, ids)
+            parts = [unpacked(payload) for payload in group.column("payload").to_pylist()]
+            listed = [part.column("texts").flatten() for part in parts]
+            distinct = pa.concat_arrays(listed).dictionary_encode()
+            own = distinct.indices.to_numpy()
+            before = np.cumsum([0, *map(len, listed)])
+
+            def together(name: str) -> np.ndarray:
+                return np.concatenate([part.column(name).flatten().to_numpy() for part in parts])
+
+            counts = [len(part.column("run").flatten()) for part in parts]
+            run = own[together("run") + np.repeat(before[:-1], counts)]
+            number = np.repeat(group.column("batch").to_numpy(), counts)
+            document, ids, start = together("document"), together("doc_id"), together("start")
             order = np.argsort(run, kind="stable")
-            cuts = np.searchsorted(run[order], np.arange(len(runs_of_shard) + 1)).tolist()
-            rows, begin, end = [], [], []
-            for i, found in enumerate(shard_matches(list(runs_of_shard), least, most, window)):
-                if not found:
-                    continue
-                lowest = min(first for _, first in found)
-                for row in order[cuts[i] : cuts[i + 1]].tolist():
-                    doc = ids[row]
-                    if doc <= lowest:
-                        continue
-                    open_at = open_to = -1
-                    for place, first in found:
-                        if first >= doc:
-                            continue
-                        if place <= open_to:
-                            open_to = place + window
-                        else:
-                            if open_to >= 0:
-                                rows.append(row), begin.append(open_at), end.append(open_to)
-                            open_at, open_to = place, place + window
-                    if open_to >= 0:
-                        rows.append(row), begin.append(open_at), end.append(open_to)
-            if not rows:
+            cuts = np.searchsorted(run[order], np.arange(len(distinct.dictionary) + 1))
+            least = np.minimum.reduceat(ids[order], cuts[:-1])
+            most = np.maximum.reduceat(ids[order], cuts[:-1])
+            found, place, words, first = shard_matches(distinct.dictionary, least, most, window)
+            # Each passage of a run, in every document that has the run.
+            times = (cuts[1:] - cuts[:-1])[found]
+            total = np.cumsum(times)
+            rows = order[np.repeat(cuts[found] - total + times, times) + np.arange(total[-1] if len(total) else 0)]
+            hit = np.repeat(np.arange(len(found)), times)
+            later = ids[rows] > first[hit]
+            rows, hit = rows[later], hit[later]
+            if not len(rows):
                 continue
-            rows = np.array(rows)
-            begin, end = start[rows] + np.array(begin), start[rows] + np.array(end)
+            begin = start[rows] + place[hit]
+            end = begin + words[hit]
             order = np.lexsort((begin, document[rows], number[rows]))
             rows, begin, end = rows[order], begin[order], end[order]
             edges = np.flatnonzero(np.diff(number[rows], prepend=-1, append=-1))
@@ -456,7 +464,7 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
         raise ValueError(f"a window has at least {SEED_WORDS} words")
     n = partitions(docs.sparkSession)
     batches = materialize(batched(docs))
-    found = recurring(minimizers(batches, window, n * 4))
+    found = recurring(minimizers(batches, window, n * 2))
     lists = found.groupBy("batch").agg(F.collect_list("found").alias("found"), F.collect_list("frequent").alias("frequent"))
     sent = runs(batches.join(lists, "batch").select("batch", "payload", "found", "frequent"), window, n * SHARDS_PER_PARTITION)
     ranges = matched(sent, window).groupBy("batch").agg(F.collect_list("ranges").alias("ranges"))
