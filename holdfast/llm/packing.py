@@ -92,7 +92,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     schema = "row long, doc_id long, key long, n_tokens long, packed binary"
-    return map_batches(numbered, encode, schema, rows=2000)
+    return map_batches(numbered, encode, schema, rows=4000)
 
 
 def sequence_bounds(total: int, length: int) -> list[int]:
@@ -142,4 +142,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048) -> Da
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     placed = rows.select("row", "doc_id", "n_tokens", "packed").join(starts, "row")
-    return map_batches(placed.select("doc_id", "n_tokens", "place", "packed"), cut, PIECES, rows=2000)
+    return map_batches(placed.select("doc_id", "n_tokens", "place", "packed"), cut, PIECES, rows=4000)

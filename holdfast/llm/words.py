@@ -10,15 +10,24 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 #: Words of one generation that a worker remembers. When it is full, words not used since the last
 #: change of generation are forgotten; at most twice as many are held.
-GENERATION = 300_000
+GENERATION = 500_000
 
 #: White space beside a space, or a space at an end: such texts are not cut.
 WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 UNCUT = f" {WHITE}|{WHITE} |^ | $"
 
+# Fixed value: how the byte-level pre-tokenizer of this family cuts text.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters below this code point are asked whether PIECES and the library agree on them; words with
+#: those above go to the library.
+KNOWN_FROM = 0x500
+#: A byte that no text holds.
+DELIMITER = 0xFF
+
 
 def byte_symbols() -> dict[str, int]:
     """The printable symbol that byte-level vocabularies write for each byte, and the byte."""
@@ -101,43 +110,75 @@ class WordTable:
             place[at] = heads[text]
         sizes = np.fromiter(map(len, stored), np.int32, len(stored)) // 4
         flat = np.frombuffer(b"".join(stored), dtype="<u4")
-        begins = np.cumsum(sizes, dtype=np.int32) - sizes
-        counts = sizes[place]
-        ends = np.cumsum(counts, dtype=np.int32)
-        spread = np.repeat(begins[place] - ends + counts, counts)
-        spread += np.arange(len(spread), dtype=np.int32)
-        return flat[spread], np.concatenate([[0], ends])[bounds[1:]]
+        out, ends = gathered(flat, np.cumsum(sizes) - sizes, sizes, place)
+        return out, np.concatenate([[0], ends])[bounds[1:]]
 
 
 class WordEncoder(WordTable):
     """By the tokenizers library: equal to its `encode(text, add_special_tokens=False)`.
 
-    The new words of a batch are one call; the byte lengths of the tokens tell where each ends.
+    Of the new words of a batch, the distinct pieces are encoded by the library's model in one call,
+    already written in byte symbols, which saves the library the alignment of each character with
+    its source. The byte lengths of the tokens tell where pieces and words end.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.library = Tokenizer.from_file(path)
+        self.symbols = Tokenizer(self.library.model)
+        self.symbols.pre_tokenizer = CharDelimiterSplit(" ")
+        self.mapping = {byte: ord(symbol) for symbol, byte in byte_symbols().items()} | {DELIMITER: ord(" ")}
         self.lengths = np.array([len(token) for token in token_bytes(path)], dtype=np.int64)
+        cut = self.library.pre_tokenizer.pre_tokenize_str
+        probes = {c: f"a{c}a1{c}1 {c} {c}" for c in map(chr, range(KNOWN_FROM))}
+        odd = [c for c, probe in probes.items() if [probe[a:b] for _, (a, b) in cut(probe)] != PIECES.findall(probe)]
+        self.odd = re.compile(f"[{re.escape(''.join(odd))}{chr(KNOWN_FROM)}-{chr(0x10FFFF)}]")
         super().__init__([token.content for token in self.library.get_added_tokens_decoder().values()])
 
-    def _library(self, text: str) -> np.ndarray:
-        found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(found.ids, dtype="<u4")
-
     def encode_text(self, text: str) -> bytes:
-        return self._library(text).tobytes()
+        found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, dtype="<u4").tobytes()
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        ids = self._library(" " + " ".join(words))
-        ends = np.cumsum(self.lengths[ids])
-        wanted = np.cumsum([len(word.encode()) + 1 for word in words])
-        cuts = np.searchsorted(ends, wanted, side="left") + 1
-        if cuts[-1] > len(ids) or not np.array_equal(ends[cuts - 1], wanted):
-            raise ValueError("a token crosses two words: not a byte-level vocabulary")
-        raw, bounds = ids.tobytes(), [0, *(cuts * 4).tolist()]
-        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        joined = " " + " ".join(words)
+        if not self.odd.search(joined):
+            return self._by_pieces(joined, words)
+        plain = [word for word in words if not self.odd.search(word)]
+        found = dict(zip(plain, self._by_pieces(" " + " ".join(plain), plain))) if plain else {}
+        return [found[word] if word in found else self.encode_text(" " + word) for word in words]
+
+    def _by_pieces(self, joined: str, words: list[str]) -> list[bytes]:
+        pieces = PIECES.findall(joined)
+        number = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+        raw = [piece.encode() for piece in number]
+        written = bytes([DELIMITER]).join(raw).decode("latin-1").translate(self.mapping)
+        ids = np.array(self.symbols.encode_batch_fast([written], add_special_tokens=False)[0].ids, dtype="<u4")
+        begins, sizes = cuts(np.cumsum(self.lengths[ids]), np.cumsum(list(map(len, raw))))
+        place = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+        flat, _ = gathered(ids, begins, sizes, place)
+        begins, sizes = cuts(np.cumsum(self.lengths[flat]), np.cumsum([len(word.encode()) + 1 for word in words]))
+        stored, ends = flat.tobytes(), (4 * (begins + sizes)).tolist()
+        return [stored[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def cuts(ends: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of tokens begin, and of how many they are: tokens end at bytes `ends`, runs at `wanted`."""
+    last = np.searchsorted(ends, wanted, side="left") + 1
+    if len(last) and (last[-1] > len(ends) or not np.array_equal(ends[last - 1], wanted)):
+        raise ValueError("a token crosses two words: not a byte-level vocabulary")
+    sizes = np.diff(last, prepend=0)
+    return last - sizes, sizes
+
+
+def gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray, place: np.ndarray):
+    """The runs `place` of `flat` one after the other, and where each ends."""
+    counts = sizes[place]
+    ends = np.cumsum(counts)
+    spread = np.repeat((begins[place] - ends + counts).astype(np.int32), counts)
+    spread += np.arange(len(spread), dtype=np.int32)
+    return flat[spread], ends
 
 
 @functools.cache
