@@ -75,7 +75,7 @@ def token_checksums(files: DataFrame) -> DataFrame:
         columns = [batch.column("doc_id"), pa.array(np.diff(bounds) // 4, pa.int64()), pa.array(sums, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_crc32"])
 
-    return map_batches(files.select("doc_id", "tokens"), checksum, "doc_id long, n_tokens long, ids_crc32 long", rows=2000)
+    return map_batches(files.select("doc_id", "tokens"), checksum, "doc_id long, n_tokens long, ids_crc32 long", rows=4000)
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
