@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from holdfast import runtime
 
+BATCH_BYTES = 64 << 20
+
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -58,17 +60,20 @@ def map_batches(
     schema: str,
     rows: int = 256,
 ) -> DataFrame:
-    """`function` over batches of at most `rows` rows, whatever the session's batch size is.
-
-    The bound keeps a task's Python memory at `rows` texts, however many a partition has.
-    """
+    """`function` over batches of at most `rows` rows and about `BATCH_BYTES` bytes (or one row),
+    whatever the session's batch size is, so a task's Python memory does not grow with its partition."""
     ship(df.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())  # which returns what is free
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                made = function(batch.slice(start, rows))
+            start = 0
+            while start < batch.num_rows:
+                part = batch.slice(start, rows)
+                while part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+                    part = part.slice(0, part.num_rows // 2)
+                start += part.num_rows
+                made = function(part)
                 if isinstance(made, pa.RecordBatch):
                     yield made
                 else:
@@ -82,6 +87,17 @@ def texts(column: pa.Array) -> list[str]:
     return [text or "" for text in column.to_pylist()]
 
 
+def lowest_hashes(rows: DataFrame, id: str, n: int) -> DataFrame:
+    """At most `n` distinct ids of `rows`, those whose hash is lowest: the same ones in any layout.
+
+    Ids are cut down to a few times `n` by a bound on the hash before tasks send their lowest.
+    """
+    share = min(1.0, 4 * n / max(1, rows.count()))
+    bound = min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64)))
+    low = rows.select(id).where(F.col(id).isNotNull() & (F.xxhash64(id) <= bound)).distinct()
+    return low.orderBy(F.xxhash64(id), id).limit(n)
+
+
 def running_total(rows: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
     """(order columns, value, out): the sum of `value` over all rows that sort before.
 
@@ -104,7 +120,7 @@ def running_total(rows: DataFrame, order: Sequence[str], value: str, out: str) -
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of `edges` (a, b: long): the smallest node it can reach.
+    """(node, component) for the nodes of `edges` (a, b: long) that reach a smaller one: the smallest.
 
     Large-star and small-star steps alternate until nothing changes; each step is one aggregation
     (with map-side combine) and one join per node, so that a hub's edges are never collected in

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_batches
+from holdfast.llm.common import lowest_hashes, map_batches
 from holdfast.llm.html_blocks import PATH_SIZE, WORD_SIZE, Block, blocks, features
 from holdfast.llm.recurrent import Adam, both_gradients, both_ways, sigmoid
 
@@ -198,11 +198,10 @@ def layout(random: np.random.Generator, texts: list[str]) -> str:
 
 def train(pages: DataFrame) -> Labeller | None:
     """A labeller from the sample of `pages` (page_id, html); None where that has no text."""
-    sample = (
-        pages.where(F.length("html").between(1, PAGE_SIZE)).select("page_id", "html")
-        .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(PAGES)
-    )
-    read = [blocks(row.html) for row in sample.collect()]
+    sized = pages.select("page_id", "html").where(F.length("html").between(1, PAGE_SIZE))
+    chosen = lowest_hashes(sized, "page_id", PAGES)
+    sample = sized.join(F.broadcast(chosen), "page_id").dropDuplicates(["page_id"]).collect()
+    read = [blocks(row.html) for row in sorted(sample, key=lambda row: row.page_id)]
     texts = [block.text for page in read for block in page if len(block.text) > 40]
     if not texts:
         return None

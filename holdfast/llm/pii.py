@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm import tagger
-from holdfast.llm.common import map_batches
+from holdfast.llm.common import lowest_hashes, map_batches
 
 # The kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -137,8 +137,7 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
 
 def training_windows(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(windows, tags) of character numbers and of 0 or the kind, from the sampled documents."""
-    ids = docs.where("doc_id is not null and text is not null").select("doc_id").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCUMENTS)
+    chosen = lowest_hashes(docs.where("text is not null"), "doc_id", DOCUMENTS)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         orders, windows, labels = [], [], []

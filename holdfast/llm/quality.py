@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_batches, materialize
+from holdfast.llm.common import lowest_hashes, map_batches, materialize
 
 #: Labelled rows of each kind, and pairs of them, that a fit sees at most.
 LABELLED = 5000
@@ -157,7 +157,8 @@ def fit(rows: DataFrame, labels: DataFrame) -> Ranking | None:
     if set(counts) != {0, 1}:
         return None
     sampled = [
-        known.where(F.col("quality") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED) for kind in (0, 1)
+        lowest_hashes(known.where(F.col("quality") == kind), "doc_id", LABELLED).withColumn("quality", F.lit(kind))
+        for kind in (0, 1)
     ]
     chosen = sampled[0].union(sampled[1])
     found = rows.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "features").limit(4 * LABELLED)
