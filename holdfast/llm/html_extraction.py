@@ -28,7 +28,7 @@ from holdfast.llm.html_blocks import PATH_SIZE, WORD_SIZE, Block, blocks, featur
 from holdfast.llm.recurrent import Adam, both_gradients, both_ways, sigmoid
 
 PAGES, PAGE_SIZE = 300, 60_000
-LAYOUTS, STEPS, ROWS = 500, 800, 16
+LAYOUTS, STEPS, ROWS = 900, 1000, 16
 HIDDEN = 12
 WIDTH = PATH_SIZE + WORD_SIZE + 6
 SEED = 42
@@ -46,7 +46,7 @@ OTHER = {
 MAIN_WRAPPERS = (
     "article", "main", "article class='post'", "div class='content'", "div id='content'", "div class='post-body'",
     "div class='entry-content'", "section class='story'", "div class='article-text'", "div id='main'",
-    "section", "div class='text'", "div itemprop='articleBody'", "main id='page'", "div", "div class='page-content'",
+    "section", "td", "td class='main'", "div class='text'", "div itemprop='articleBody'", "main id='page'", "div", "div class='page-content'",
 )
 OTHER_WRAPPERS = (
     "nav", "header", "footer", "aside", "form", "div class='ad'", "div class='ads banner'", "div class='advertisement'",
@@ -58,9 +58,10 @@ OTHER_WRAPPERS = (
     "form class='search'", "div class='widget'", "div class='sponsored'", "div class='popup modal'",
     "div role='navigation'", "div role='complementary'", "section class='reader-comments'", "div class='copyright'",
     "div class='toolbar'", "div class='subscribe'", "div class='site-header'", "div class='site-footer'",
-    "div class='user-comments'", "div class='reply'", "section class='sidebar'", "div class='gdpr consent'",
+    "div class='user-comments'", "div class='user-reviews'", "div class='reviews'", "div class='message'",
+    "div class='warning'", "div class='reply'", "section class='sidebar'", "div class='gdpr consent'",
 )
-AROUND = ("", "div", "div class='container'", "div id='wrapper'", "div class='row'", "body", "div class='page'")
+AROUND = ("", "div", "div class='container'", "div id='wrapper'", "div class='row'", "div class='page'", "div id='layout'")
 
 
 @dataclass
@@ -170,14 +171,15 @@ def layout(random: np.random.Generator, texts: list[str]) -> str:
     def other() -> str:
         wrapper = OTHER_WRAPPERS[random.integers(0, len(OTHER_WRAPPERS))]
         kind, parts = random.random(), some(int(random.integers(1, 6)))
-        if "menu" in wrapper or "nav" in wrapper or kind < 0.3:
+        if "menu" in wrapper or "nav" in wrapper or kind < 0.25:
             inner = "<ul>" + "".join(f"<li><a href='/x'>{escape(short(t))}</a></li>" for t in parts) + "</ul>"
-        elif "comment" in wrapper or "reply" in wrapper or kind < 0.6:
-            inner = "".join(element(("p", "div", "li", "div class='body'")[random.integers(0, 4)], escape(t)) for t in parts)
-        elif kind < 0.8:
+        elif "comment" in wrapper or "reply" in wrapper or kind < 0.65:
+            tag = ("p", "p", "div", "li", "div class='body'")[random.integers(0, 5)]
+            inner = "".join(element(tag, escape(t)) for t in parts[: int(random.integers(1, 4))])
+        elif kind < 0.85:
             inner = "".join(element(("p", "div", "span", "h3")[random.integers(0, 4)], escape(short(t))) for t in parts)
         else:
-            inner = escape(parts[0] if kind > 0.9 else short(parts[0]))
+            inner = escape(parts[0] if kind > 0.92 else short(parts[0]))
         return element(wrapper, inner, 0)
 
     body = [element(("h1", "h1", "h2", "header")[random.integers(0, 4)], escape(short(some(1)[0])))]
@@ -186,12 +188,18 @@ def layout(random: np.random.Generator, texts: list[str]) -> str:
         body.append(element(tag, escape(short(text) if tag in ("h2", "li") else text)))
         if random.random() < 0.06:
             body.append(other())
+        if random.random() < 0.06:
+            items = "".join(element("li", escape(short(t))) for t in some(int(random.integers(2, 6))))
+            body.append(element(("ul", "ol")[random.integers(0, 2)], items))
     wrapper = MAIN_WRAPPERS[random.integers(0, len(MAIN_WRAPPERS))]
     main = element(wrapper, "".join(body), 1)
-    for around in AROUND[: int(random.integers(0, 3))]:
-        main = element(around or "div", main)
     before = [other() for _ in range(random.integers(0, 5))]
     after = [other() for _ in range(random.integers(0, 5))]
+    if wrapper.startswith("td"):
+        beside = [element(("td", "td class='left'")[random.integers(0, 2)], other(), 0) for _ in range(random.integers(0, 3))]
+        main = element("table", element("tr", "".join([*beside, main]), 0))
+    for _ in range(int(random.integers(0, 3))):
+        main = element(AROUND[random.integers(0, len(AROUND))], main)
     page = "".join([*before, main, *after])
     return element("body", element(AROUND[random.integers(0, len(AROUND))], page, 0))
 
