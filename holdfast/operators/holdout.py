@@ -1,6 +1,6 @@
 """Exact stratified holdout in narrow scans, whatever the size or number of classes.
 
-Rows are ordered by a seeded digest of their key. Histograms over the first digest digits, twice, tell in
+Rows are ordered by a seeded digest of their key. A histogram over the first digest digits tells in
 which small range each class reaches its quota; only that range is looked at row by row, to
 find the cutoff digest. Quotas, histograms and cutoffs are tables. Marking a row is a lookup of the
 cutoff of its class.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.numbers import quoted
 from holdfast.runtime import materialize
 
-DIGITS = 3  # hex digits per histogram: at most 4,096 ranges per class
+DIGITS = 4  # hex digits of the histogram: at most 65,536 ranges per class
 COPIES_PER_TASK_ROW = 100_000
 
 TRAIN, TEST = "train", "test"
@@ -78,14 +78,12 @@ def _reached(table: DataFrame, position: str) -> DataFrame:
 def _cutoffs(rows: DataFrame, needed: DataFrame) -> DataFrame:
     """(label, cut, taken, n): the last digest of each label of `needed` (label, needed > 0) that gets
     training rows: `taken` of the n rows (label, digest) that share it."""
-    for length in (DIGITS, 2 * DIGITS):
-        prefix = F.substring("digest", 1, length)
-        counts = rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n"))
-        ranges = materialize(_reached(counts.join(needed, "label"), "prefix")).drop("n")
-        rows = rows.withColumn("prefix", prefix).join(ranges.drop("needed"), ["label", "prefix"]).select("label", "digest")
-        needed = ranges.select("label", "needed")
-    tally = rows.groupBy("label", "digest").agg(F.count("*").alias("n"))
-    found = _reached(tally.join(needed, "label"), "digest")
+    prefix = F.substring("digest", 1, DIGITS)
+    counts = rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    ranges = materialize(_reached(counts.join(needed, "label"), "prefix")).drop("n")
+    inside = rows.withColumn("prefix", prefix).join(ranges, ["label", "prefix"])
+    tally = inside.groupBy("label", "digest", "needed").agg(F.count("*").alias("n"))
+    found = _reached(tally, "digest")
     return materialize(found.select("label", F.col("digest").alias("cut"), F.col("needed").alias("taken"), "n"))
 
 
@@ -145,8 +143,11 @@ def stratified_split(
 
     # Classes whose cutoff falls between rows of one key: order those rows by the second digest.
     tied = cuts.where("taken < n").select("label", "cut", F.col("taken").alias("needed"))
-    at_cut = source.join(tied.select("label", F.col("cut").alias("digest")), ["label", "digest"])
-    second_cuts = _cutoffs(at_cut.select("label", F.col("second").alias("digest")), tied.select("label", "needed"))
+    if tied.isEmpty():
+        second_cuts = cuts.where("false")
+    else:
+        at_cut = source.join(tied.select("label", F.col("cut").alias("digest")), ["label", "digest"])
+        second_cuts = _cutoffs(at_cut.select("label", F.col("second").alias("digest")), tied.select("label", "needed"))
     limits = cuts.select("label", "cut", (F.col("taken") < F.col("n")).alias("is_tied")).join(
         second_cuts.select("label", F.col("cut").alias("second_cut"), "taken", F.col("n").alias("rows")), "label", "left"
     )
