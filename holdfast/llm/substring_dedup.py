@@ -41,6 +41,8 @@ BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
 #: Batches with a minimizer, from which on its windows are spread over the shards.
 FREQUENT = 64
 SHARDS_PER_PARTITION = 2
+#: Runs, about, whose passages go into one automaton: building slows down where many differ in their first word.
+AUTOMATON_RUNS = 512
 
 FIRST_CHARACTER = 0x100
 SURROGATES = 0xD800, 0xE000
@@ -328,41 +330,43 @@ def shard_matches(texts: pa.Array, least: np.ndarray, most: np.ndarray, window:
     in_first = phrase_hashes(hashes, SEED_WORDS)[bounds[:-1, None] + np.arange(window - SEED_WORDS + 1)]
     _, group, sizes = np.unique(in_first.min(axis=1), return_inverse=True, return_counts=True)
     alone = sizes[group] == 1
+    # Runs of one group are only in each other's way, so each automaton takes the groups of a block.
+    order = np.argsort(group, kind="stable")
+    starts = np.searchsorted(group[order], group[order[::AUTOMATON_RUNS]]) if len(order) else []
+    blocks = np.split(order, np.unique(starts)[1:])
     text, width = as_characters(codes, len(coded.dictionary))
     span = window * width
     cuts = (bounds * width).tolist()
 
-    first: dict[str, int] = {}
-    latest: dict[str, int] = {}
-    for i in np.flatnonzero(~alone).tolist():
-        low, high = int(least[i]), int(most[i])
-        for at in range(cuts[i], cuts[i + 1] - span + 1, width):
-            phrase = text[at : at + span]
-            known = first.get(phrase)
-            if known is None:
-                first[phrase], latest[phrase] = low, high
-            else:
-                if low < known:
-                    first[phrase] = low
-                if high > latest[phrase]:
-                    latest[phrase] = high
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     sizes_of, first_of = [], []
-
-    def confirm(passage: str, document: int) -> None:
-        automaton.add_word(passage, len(first_of))
-        sizes_of.append(len(passage) // width)
-        first_of.append(document)
-
-    for phrase, document in first.items():
-        if document < latest[phrase]:
-            confirm(phrase, document)
-    for i in np.flatnonzero(alone & (least < most)).tolist():
-        confirm(text[cuts[i] : cuts[i + 1]], int(least[i]))
     runs_found, ends_found, passages = [], [], []
-    if first_of:
+    for block in blocks:
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        first: dict[str, int] = {}
+        latest: dict[str, int] = {}
+        for i in block[~alone[block]].tolist():
+            low, high = int(least[i]), int(most[i])
+            for at in range(cuts[i], cuts[i + 1] - span + 1, width):
+                phrase = text[at : at + span]
+                known = first.get(phrase)
+                if known is None:
+                    first[phrase], latest[phrase] = low, high
+                else:
+                    if low < known:
+                        first[phrase] = low
+                    if high > latest[phrase]:
+                        latest[phrase] = high
+        confirmed = [(phrase, low) for phrase, low in first.items() if low < latest[phrase]]
+        whole = block[alone[block] & (least[block] < most[block])]
+        confirmed += [(text[cuts[i] : cuts[i + 1]], int(least[i])) for i in whole.tolist()]
+        if not confirmed:
+            continue
+        for passage, document in confirmed:
+            automaton.add_word(passage, len(first_of))
+            sizes_of.append(len(passage) // width)
+            first_of.append(document)
         automaton.make_automaton()
-        for i in range(len(least)):
+        for i in block.tolist():
             for end, passage in automaton.iter(text[cuts[i] : cuts[i + 1]]):
                 runs_found.append(i)
                 ends_found.append(end)
