@@ -55,6 +55,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A file below the shared folder, whatever kind of store that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        stream.write(content)
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
