@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import functools
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -19,22 +18,25 @@ BATCH_BYTES = 64 << 20
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-@functools.cache
-def _shipped(application: str) -> None:
-    context = SparkSession.active().sparkContext
-    path = os.path.join(tempfile.mkdtemp(prefix="holdfast-py-"), "holdfast.zip")
-    with zipfile.ZipFile(path, "w") as package:
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application, from the shared folder."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as package:
         for folder, _, names in os.walk(PACKAGE):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     package.write(full, os.path.relpath(full, os.path.dirname(PACKAGE)))
-    context.addPyFile(path)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once per application (the driver serves the archive)."""
-    _shipped(spark.sparkContext.applicationId)
+    path = os.path.join(runtime.shared_dir(spark), "holdfast", application, "holdfast.zip")
+    runtime.write_bytes(spark, path, archive.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)
 
 
 def partitions(spark: SparkSession) -> int:
