@@ -59,11 +59,6 @@ def category_levels(
     return levels
 
 
-def levels_frame(spark: SparkSession, levels: Levels) -> DataFrame:
-    rows = [(c, i, level) for c, found in levels.items() for i, level in enumerate(found)]
-    return spark.createDataFrame(rows, "column string, position int, level string")
-
-
 def columns_with_missing(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Of the number columns, those with a null or NaN."""
     if not columns:
