@@ -6,6 +6,7 @@ import io
 import os
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from holdfast import runtime
 
 BATCH_BYTES = 64 << 20
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -84,9 +86,15 @@ def map_batches(
     return df.mapInArrow(each, schema)
 
 
-def texts(column: pa.Array) -> list[str]:
-    """The texts of an Arrow column, null as empty."""
-    return [text or "" for text in column.to_pylist()]
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most `rows` rows to Python for the jobs within: their buffers are off the heap."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def lowest_hashes(rows: DataFrame, id: str, n: int) -> DataFrame:

@@ -16,13 +16,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm.common import map_batches, materialize, partitions, running_total
+from holdfast.llm.common import arrow_rows, map_batches, materialize, partitions, running_total
 from holdfast.llm.words import encoder
 
+#: Documents that a task encodes or checks at once.
+ROWS = 3000
+
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
 
 LAYOUT = {
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",  # bit-packed ids hardly gain from more
     "parquet.writer.version": "v2",  # delta encoding where a column has no dictionary
     "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(256 << 10),
@@ -45,7 +49,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         sizes = pa.array(np.diff(offsets).astype(np.int64))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, tokens], ["doc_id", "n_tokens", "tokens"])
 
-    return map_batches(docs.select("doc_id", "text"), encode, SCHEMA, rows=2000)
+    return map_batches(docs.select("doc_id", "text"), encode, SCHEMA, rows=ROWS)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -56,7 +60,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     """
     n = partitions(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
-    encode_documents(ordered, tokenizer, end_id).write.options(**LAYOUT).parquet(path)
+    with arrow_rows(docs.sparkSession, ROWS):
+        encode_documents(ordered, tokenizer, end_id).write.options(**LAYOUT).parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -75,7 +80,7 @@ def token_checksums(files: DataFrame) -> DataFrame:
         columns = [batch.column("doc_id"), pa.array(np.diff(bounds) // 4, pa.int64()), pa.array(sums, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_crc32"])
 
-    return map_batches(files.select("doc_id", "tokens"), checksum, "doc_id long, n_tokens long, ids_crc32 long", rows=4000)
+    return map_batches(files.select("doc_id", "tokens"), checksum, "doc_id long, n_tokens long, ids_crc32 long", rows=ROWS)
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +88,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
     `start` counts the ids of all documents before. Rows that share a doc_id follow by checksum.
     """
-    sums = materialize(token_checksums(read_token_files(spark, path)))
+    with arrow_rows(spark, ROWS):
+        sums = materialize(token_checksums(read_token_files(spark, path)))
     return running_total(sums, ["doc_id", "ids_crc32"], "n_tokens", "start").select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )

@@ -5,16 +5,16 @@ from __future__ import annotations
 import functools
 import json
 import re
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Words of one generation that a worker remembers. When it is full, words not used since the last
-#: change of generation are forgotten; at most twice as many are held.
-GENERATION = 500_000
+#: Words that a worker remembers; beyond it forgets all and starts anew.
+REMEMBERED = 2_000_000
+#: Bytes of a word up to which it is remembered.
+LONGEST = 64
 
 #: White space beside a space, or a space at an end: such texts are not cut.
 WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -51,6 +51,92 @@ def token_bytes(path: str) -> list[bytes]:
     return table
 
 
+class WordMemory:
+    """Ids of words in flat arrays, found by two independent 64-bit hashes (about 30 bytes a word).
+
+    A word's hashes are sums of its bytes times random numbers of their places. Slots are probed
+    one after the other, for all words of a batch at once.
+    """
+
+    def __init__(self):
+        random = np.random.default_rng(7)
+        self.factors = random.integers(0, 1 << 63, (2, LONGEST), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self._clear(1 << 16)
+
+    def _clear(self, slots: int) -> None:
+        self.count, self.used = 0, 0
+        self.slots = np.full(slots, -1, np.int32)
+        self.hashes = np.zeros((2, slots // 2), np.uint64)
+        self.begins, self.sizes = np.zeros(slots // 2, np.int32), np.zeros(slots // 2, np.int32)
+        self.ids = np.zeros(slots * 2, np.uint32)
+
+    def hash(self, words: pa.Array) -> np.ndarray:
+        """(2, words) of words that are neither empty nor longer than LONGEST."""
+        _, offsets, data = words.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+        if not len(words):
+            return np.zeros((2, 0), np.uint64)
+        raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].astype(np.uint64)
+        starts = bounds[:-1] - bounds[0]
+        place = np.arange(len(raw), dtype=np.int32) - np.repeat(starts, np.diff(bounds))
+        sums = np.stack([np.add.reduceat(raw * factors[place], starts) for factors in self.factors])
+        return sums ^ (sums >> np.uint64(31)) ^ np.diff(bounds).astype(np.uint64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 where it is not known."""
+        found = np.full(hashes.shape[1], -1, np.int32)
+        mask = len(self.slots) - 1
+        slot = (hashes[0] & np.uint64(mask)).astype(np.int64)
+        left = np.arange(len(slot))
+        while len(left):
+            number = self.slots[slot[left]]
+            there = number >= 0
+            left, number = left[there], number[there]
+            hit = (self.hashes[:, number] == hashes[:, left]).all(axis=0)
+            found[left[hit]] = number[hit]
+            left = left[~hit]
+            slot[left] = (slot[left] + 1) & mask
+        return found
+
+    def add(self, hashes: np.ndarray, ids: list[bytes]) -> np.ndarray:
+        """The numbers of words that are not known yet and differ."""
+        if self.count + len(ids) > REMEMBERED:
+            self._clear(1 << 16)
+        raw = np.frombuffer(b"".join(ids), dtype="<u4")
+        while self.count + len(ids) > len(self.slots) // 2:
+            self._grow()
+        if self.used + len(raw) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(raw), np.uint32)])
+        numbers = np.arange(self.count, self.count + len(ids), dtype=np.int32)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        self.hashes[:, numbers] = hashes
+        self.sizes[numbers], self.begins[numbers] = sizes, self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used : self.used + len(raw)] = raw
+        self.count, self.used = self.count + len(ids), self.used + len(raw)
+        self._place(numbers)
+        return numbers
+
+    def _place(self, numbers: np.ndarray) -> None:
+        mask = len(self.slots) - 1
+        slot = (self.hashes[0, numbers] & np.uint64(mask)).astype(np.int64)
+        while len(numbers):
+            free = self.slots[slot] < 0
+            _, first = np.unique(slot[free], return_index=True)
+            taken = np.flatnonzero(free)[first]
+            self.slots[slot[taken]] = numbers[taken]
+            left = np.ones(len(numbers), dtype=bool)
+            left[taken] = False
+            numbers, slot = numbers[left], (slot[left] + 1) & mask
+
+    def _grow(self) -> None:
+        size = len(self.slots)
+        self.hashes = np.concatenate([self.hashes, np.zeros((2, size // 2), np.uint64)], axis=1)
+        self.begins = np.concatenate([self.begins, np.zeros(size // 2, np.int32)])
+        self.sizes = np.concatenate([self.sizes, np.zeros(size // 2, np.int32)])
+        self.slots = np.full(2 * size, -1, np.int32)
+        self._place(np.arange(self.count, dtype=np.int32))
+
+
 class WordTable:
     """Ids of whole texts by way of their distinct words, each encoded once and remembered.
 
@@ -61,8 +147,7 @@ class WordTable:
 
     def __init__(self, added: list[str]):
         self.uncut = "|".join([UNCUT, *map(re.escape, added)])
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memory = WordMemory()
 
     def encode_text(self, text: str) -> bytes:
         """The ids of one text as little-endian unsigned 32-bit integers."""
@@ -72,20 +157,25 @@ class WordTable:
         """The ids of words as they stand after a space."""
         raise NotImplementedError
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words."""
-        if len(self.known) > GENERATION:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for word in [word for word in words if word not in known]:
-            if word in older:
-                known[word] = older[word]
-            else:
-                new.append(word)
-        if new:
-            known.update(zip(new, self.encode_words(new)))
-        return [known[word] for word in words]
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words one after the other, and how many each has."""
+        memory = self.memory
+        hashes = memory.hash(words)
+        numbers = memory.find(hashes)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            made = self.encode_words(words.take(pa.array(new)).to_pylist())
+            if memory.count + len(new) > REMEMBERED:
+                memory.add(hashes[:, new], made)  # forgets the others: encode those of this batch again
+                return self._ids(words) if len(words) <= REMEMBERED else self._unremembered(words)
+            numbers[new] = memory.add(hashes[:, new], made)
+        ids, _ = gathered(memory.ids, memory.begins, memory.sizes, numbers)
+        return ids, memory.sizes[numbers]
+
+    def _unremembered(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        made = self.encode_words(words.to_pylist()) if len(words) else []
+        sizes = np.fromiter(map(len, made), np.int32, len(made)) // 4
+        return np.frombuffer(b"".join(made), dtype="<u4"), sizes
 
     def encode(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other (null: none), and where each text's end."""
@@ -95,21 +185,28 @@ class WordTable:
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         distinct = cut.flatten().dictionary_encode()
         codes = distinct.indices.to_numpy()
-        table = distinct.dictionary.to_pylist()
         # The first word of a text has no space before it, and a text that is not cut is one word.
         first = bounds[:-1]
+        table = distinct.dictionary
         spaced = np.bincount(codes, minlength=len(table)) > np.bincount(codes[first], minlength=len(table))
-        stored = self._ids(list(compress(table, spaced)))
-        place = (np.cumsum(spaced) - 1).astype(np.int32)[codes]
+        short = pc.binary_length(table).to_numpy() <= LONGEST
+        ids, sizes = self._ids(table.filter(pa.array(spaced & short)))
+        more_ids, more_sizes = self._unremembered(table.filter(pa.array(spaced & ~short)))
+        place = np.where(short, np.cumsum(spaced & short), np.cumsum(spaced & ~short) + len(sizes))
+        place = (place - 1).astype(np.int32)[codes]
         heads: dict[str, int] = {}
-        for at, code, text in zip(first.tolist(), codes[first].tolist(), pc.if_else(whole, batch, None).to_pylist()):
-            text = table[code] if text is None else text
+        stored: list[bytes] = []
+        starts = table.take(pa.array(codes[first])).to_pylist()
+        known = len(sizes) + len(more_sizes)
+        for at, start, text in zip(first.tolist(), starts, pc.if_else(whole, batch, None).to_pylist()):
+            text = start if text is None else text
             if text not in heads:
-                heads[text] = len(stored)
+                heads[text] = known + len(stored)
                 stored.append(self.encode_text(text) if text else b"")
             place[at] = heads[text]
-        sizes = np.fromiter(map(len, stored), np.int32, len(stored)) // 4
-        flat = np.frombuffer(b"".join(stored), dtype="<u4")
+        head_sizes = np.fromiter(map(len, stored), np.int32, len(stored)) // 4
+        sizes = np.concatenate([sizes, more_sizes, head_sizes])
+        flat = np.concatenate([ids, more_ids, np.frombuffer(b"".join(stored), dtype="<u4")])
         out, ends = gathered(flat, np.cumsum(sizes) - sizes, sizes, place)
         return out, np.concatenate([[0], ends])[bounds[1:]]
 
