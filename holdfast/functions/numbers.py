@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What numbers in texts may start with: white space of any kind.
+BLANK = r"^[\s\u00A0\uFEFF\p{Z}]*"
+
 
 def quoted(name: str) -> Column:
     """A column by its exact name: levels may put dots, spaces or brackets into it."""
@@ -32,13 +35,13 @@ def known(number: Column) -> Column:
 
 def leading_int(text: Column) -> Column:
     """The whole number a text starts with, null when there is none."""
-    digits = F.regexp_extract(text, r"^\s*([+-]?\d+)", 1)
+    digits = F.regexp_extract(text, BLANK + r"([+-]?\d+)", 1)
     return digits.try_cast("bigint")
 
 
 def leading_float(text: Column) -> Column:
     """The decimal number a text starts with, null when there is none."""
-    number = F.regexp_extract(text, r"^\s*([+-]?(?:Infinity|(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?))", 1)
+    number = F.regexp_extract(text, BLANK + r"([+-]?(?:Infinity|(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?))", 1)
     return number.try_cast("double")
 
 

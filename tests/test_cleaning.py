@@ -102,12 +102,12 @@ def test_domain_violations(spark):
 
 
 def test_leading_numbers(spark):
-    texts = ["12", " 7 months", "-3.9", "+4", "abc", "", "1e3", ".5", "5.", "2.5e1x", "Infinity", "0x1F", "- 2"]
+    texts = ["12", " 7 months", "-3.9", "+4", "abc", "", "1e3", ".5", "5.", "2.5e1x", "Infinity", "0x1F", "- 2", "\u00a0 7"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     rows = df.select(leading_int(F.col("t")).alias("i"), leading_float(F.col("t")).alias("f")).collect()
-    assert [r.i for r in rows] == [12, 7, -3, 4, None, None, 1, None, 5, 2, None, 0, None]
+    assert [r.i for r in rows] == [12, 7, -3, 4, None, None, 1, None, 5, 2, None, 0, None, 7]
     assert [r.f for r in rows] == [
-        12.0, 7.0, -3.9, 4.0, None, None, 1000.0, 0.5, 5.0, 25.0, float("inf"), 0.0, None,
+        12.0, 7.0, -3.9, 4.0, None, None, 1000.0, 0.5, 5.0, 25.0, float("inf"), 0.0, None, 7.0,
     ]
 
 
