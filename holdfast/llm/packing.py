@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_batches, materialize, running_total
+from holdfast.llm.common import arrow_rows, map_batches, materialize, running_total
 from holdfast.llm.words import encoder
 
 DIMENSIONS = 4
 BITS = 12
 BUCKETS = 1024
+#: Documents that a task encodes or cuts at once.
+ROWS = 3000
 SEED = 42
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -92,7 +94,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     schema = "row long, doc_id long, key long, n_tokens long, packed binary"
-    return map_batches(numbered, encode, schema, rows=4000)
+    return map_batches(numbered, encode, schema, rows=ROWS)
 
 
 def sequence_bounds(total: int, length: int) -> list[int]:
@@ -111,7 +113,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048) -> Da
     `ids` are little-endian unsigned 32-bit integers. Only (key, doc_id, row, size) is sorted for the
     running total; the ids are shuffled once, to meet their start.
     """
-    rows = materialize(tokenized(docs, tokenizer, end_id))
+    with arrow_rows(docs.sparkSession, ROWS):
+        rows = materialize(tokenized(docs, tokenizer, end_id))
     starts = running_total(rows, ["key", "doc_id", "row"], "n_tokens", "place").select("row", "place")
     total = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     tail = np.array(sequence_bounds(total, length), dtype=np.int64)
@@ -142,4 +145,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048) -> Da
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     placed = rows.select("row", "doc_id", "n_tokens", "packed").join(starts, "row")
-    return map_batches(placed.select("doc_id", "n_tokens", "place", "packed"), cut, PIECES, rows=4000)
+    return map_batches(placed.select("doc_id", "n_tokens", "place", "packed"), cut, PIECES, rows=ROWS)
