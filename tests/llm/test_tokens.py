@@ -38,13 +38,21 @@ def test_encoders_equal_the_library(tokenizer, library, texts):
     assert pairs.decode(found.astype(np.int64), ends) == texts
 
 
-def test_generations_forget_words_without_harm(tokenizer, library, monkeypatch):
-    monkeypatch.setattr(words, "GENERATION", 3)
+def test_words_are_forgotten_without_harm(tokenizer, library, monkeypatch):
+    monkeypatch.setattr(words, "REMEMBERED", 5)
     table = words.WordEncoder(tokenizer)
-    for text in ("a few words here", "a few others, here", "words of a third kind", "a few words here"):
+    for text in ("a few words here", "a few others, here", "words of a third kind", "a few words here", "more than five new words in a text"):
         assert split(*table.encode(pa.array([text]))) == [ids_of(library, text)]
 
 
+def test_memory_holds_many_words(tokenizer, library):
+    table = words.WordEncoder(tokenizer)
+    for part in range(4):
+        texts = [" ".join(f"w{i * 7 + j + part}x" for j in range(50)) for i in range(1500)]
+        assert split(*table.encode(pa.array(texts))) == [ids_of(library, text) for text in texts]
+    assert table.memory.count > 10_000 and len(table.memory.slots) > 1 << 14
+
+
 def test_long_words_merge_in_the_same_order(tokenizer, library):
     pairs = bpe.byte_pairs(tokenizer)
     for text in ("ab" * 700 + "the" * 300, "x" * 3000, "thequickbrown" * 100):
