@@ -26,6 +26,8 @@ from holdfast.llm.words import WordTable, token_bytes
 #: Bytes up to which a word is merged by scans.
 LONG = 400
 NONE = 1 << 60
+#: Documents that a task encodes or decodes at once.
+ROWS = 2000
 
 #: How the byte-level pre-tokenizer cuts text, on characters mapped to one of their class.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
@@ -180,26 +182,45 @@ def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     )
 
 
+def _encoded(column: pa.Array, tokenizer: str) -> pa.Array:
+    found, ends = byte_pairs(tokenizer).encode(column)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(found.astype(np.int32)))
+
+
+def _decoded(column: pa.Array, tokenizer: str) -> pa.Array:
+    sizes = np.diff(column.offsets.to_numpy().astype(np.int64))
+    sizes[column.is_null().to_numpy(zero_copy_only=False)] = 0
+    found = column.flatten().to_numpy(zero_copy_only=False)
+    return pa.array(byte_pairs(tokenizer).decode(found, np.cumsum(sizes)), pa.string())
+
+
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """`df` with the token ids of its texts as a list column."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, ends = byte_pairs(tokenizer).encode(batch.column(text))
-        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-        return _with(batch, ids, pa.ListArray.from_arrays(offsets, pa.array(found.astype(np.int32))))
+        return _with(batch, ids, _encoded(batch.column(text), tokenizer))
 
-    return map_batches(df, each, _extended(df, ids, "array<int>"), rows=2000)
+    return map_batches(df, each, _extended(df, ids, "array<int>"), rows=ROWS)
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """`df` with the texts of its id lists; bytes that are no UTF-8 become U+FFFD. A null list is empty."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = batch.column(ids)
-        sizes = np.diff(column.offsets.to_numpy().astype(np.int64))
-        sizes[column.is_null().to_numpy(zero_copy_only=False)] = 0
-        found = column.flatten().to_numpy(zero_copy_only=False)
-        decoded = byte_pairs(tokenizer).decode(found, np.cumsum(sizes))
-        return _with(batch, text, pa.array(decoded, pa.string()))
-
-    return map_batches(df, each, _extended(df, text, "string"), rows=2000)
+        return _with(batch, text, _decoded(batch.column(ids), tokenizer))
+
+    return map_batches(df, each, _extended(df, text, "string"), rows=ROWS)
+
+
+def round_trip(
+    df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """`encode` and then `decode`, in one pass of one worker per task; `ids` and `decoded` differ."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        batch = _with(batch, ids, _encoded(batch.column(text), tokenizer))
+        return _with(batch, decoded, _decoded(batch.column(ids), tokenizer))
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in (ids, decoded)]
+    return map_batches(df, each, ", ".join([*fields, f"`{ids}` array<int>", f"`{decoded}` string"]), rows=ROWS)

@@ -43,9 +43,8 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(decimal, 256).alias("ids_sha256"),
