@@ -128,6 +128,7 @@ def test_bpe_keeps_other_columns(odd_docs, no_docs, tokenizer, library):
     assert len(rows) == odd_docs.count()
     for row in rows:
         assert row.ids == ids_of(library, row.text) and row.decoded == (row.text or "") and row.hash == "h"
+    assert sorted(map(str, bpe.round_trip(odd_docs, tokenizer).collect())) == sorted(map(str, rows))
     assert bpe.decode(bpe.encode(no_docs, tokenizer), tokenizer).collect() == []
 
 
