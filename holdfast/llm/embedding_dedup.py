@@ -6,10 +6,12 @@ another give an unbiased estimate of their inner product, and the factor a bound
 Pairs whose bounds exclude the threshold are dropped; all others are recomputed exactly, in double
 precision.
 
-Pairs to estimate come from tables keyed by some bits of the code. Vectors at the threshold differ in a bit
-with a known chance, so the number of bits per key (from the largest label) and of tables (from
-the miss rate) follow from the data; a pair is counted in the first table where its keys agree.
-Groups of more than `TILE` vectors are cut into chunks that meet pairwise in tiles.
+Labels of up to `TILE` vectors are compared in full. In larger ones the pairs to estimate come from tables
+keyed by signs of random projections. Vectors at the threshold differ in a sign with a known chance, and
+no sign serves two tables, so tables miss a pair independently: the number of signs per key (from
+the size of the label) and of tables (from the miss rate) follow from the data. A pair is counted in
+the first table where its keys agree. Groups of more than `TILE` vectors are cut into chunks that meet
+pairwise in tiles.
 
 Vectors link only when their labels are equal and not null, and their lengths are equal. Vectors that are null,
 zero, empty, or hold null or non-finite components link with nothing, and neither do rows without a
@@ -30,9 +32,10 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import connected_components, map_batches, materialize, ship
 
 SEED = 42
-KEY_BITS = 64
+#: Coordinates of a code at least.
+CODE_BITS = 64
 TILE = 2048
-#: Vectors of the largest label that share a key by chance, about.
+#: Vectors of a label that share a key by chance, about.
 CROWD = 48
 #: Chance that a pair at the threshold agrees in no table.
 MISS = 0.01
@@ -41,8 +44,8 @@ CONFIDENCE = 4.0
 #: Pairs that are recomputed at once.
 PAIRS = 1 << 16
 
-COLUMNS = ["row", "vec_id", "label", "dim", "bits", "factor", "code", "vector"]
-CODED = "row long, vec_id long, label long, dim int, bits long, factor double, code binary, vector binary"
+COLUMNS = ["row", "vec_id", "label", "dim", "keys", "factor", "code", "vector"]
+CODED = "row long, vec_id long, label long, dim int, keys array<int>, factor double, code binary, vector binary"
 
 
 @functools.cache
@@ -53,7 +56,7 @@ def rotation(dim: int) -> np.ndarray:
 
 
 def padded(dim: int) -> int:
-    return max(KEY_BITS, -(-dim // 8) * 8)
+    return max(CODE_BITS, -(-dim // 8) * 8)
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -70,8 +73,30 @@ def rotated(units: np.ndarray) -> np.ndarray:
     return full @ rotation(size)
 
 
-def coded(vectors: DataFrame) -> DataFrame:
-    """Codes, factors and vectors of the rows that can link."""
+def key_tables(width: int, threshold: float) -> int:
+    """How many tables of independent keys miss a pair at the threshold with a chance of MISS."""
+    if not width:
+        return 1
+    differ = np.arccos(threshold) / np.pi
+    return int(np.ceil(np.log(MISS) / np.log(1 - (1 - differ) ** width)))
+
+
+@functools.cache
+def directions(dim: int, n: int) -> np.ndarray:
+    """(dim, n): independent random directions, which are not those of the rotation."""
+    return np.random.default_rng([SEED, 1]).standard_normal((n, dim)).T
+
+
+def table_keys(units: np.ndarray, width: int, tables: int) -> np.ndarray:
+    """(n, tables): the key of each vector in each table, all 0 for keys without signs."""
+    if not width:
+        return np.zeros((len(units), tables), dtype=np.int32)
+    signs = (units @ directions(units.shape[1], width * tables) > 0).reshape(len(units), tables, width)
+    return (signs @ (1 << np.arange(width))).astype(np.int32)
+
+
+def coded(vectors: DataFrame, threshold: float) -> DataFrame:
+    """Codes, factors, keys and vectors of the rows that can link."""
     precise = vectors.schema["embedding"].dataType.elementType.typeName() != "float"
     kind = np.float64 if precise else np.float32
 
@@ -79,23 +104,27 @@ def coded(vectors: DataFrame) -> DataFrame:
         rows, ids, labels = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "vec_id", "label"))
         found = [np.array(v, dtype=kind) for v in batch.column("embedding").to_pylist()]
         sizes = np.array([len(v) for v in found])
-        for dim in np.unique(sizes):
-            at = np.flatnonzero(sizes == dim)
+        widths = batch.column("width").to_numpy()
+        for dim, width in np.unique(np.stack([sizes, widths]), axis=1).T.tolist():
+            at = np.flatnonzero((sizes == dim) & (widths == width))
             stacked = np.stack([found[i] for i in at])
             usable = np.isfinite(stacked).all(axis=1) & (stacked != 0).any(axis=1)
             at, stacked = at[usable], stacked[usable]
             if not len(at):
                 continue
-            turned = rotated(unit_rows(stacked))
+            units = unit_rows(stacked)
+            turned = rotated(units)
             codes = np.packbits(turned > 0, axis=1, bitorder="little")
-            bits = np.ascontiguousarray(codes[:, : KEY_BITS // 8]).view("<i8")[:, 0]
+            keys = table_keys(units, width, key_tables(width, threshold))
             factors = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
             columns = [
                 pa.array(rows[at].astype(np.int64)),
                 pa.array(ids[at].astype(np.int64)),
                 pa.array(labels[at].astype(np.int64)),
                 pa.array(np.full(len(at), dim, np.int32)),
-                pa.array(bits),
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.ravel())
+                ),
                 pa.array(factors),
                 pa.array([code.tobytes() for code in codes], pa.binary()),
                 pa.array([vector.tobytes() for vector in stacked], pa.binary()),
@@ -105,20 +134,16 @@ def coded(vectors: DataFrame) -> DataFrame:
     sound = vectors.where(
         "vec_id is not null and label is not null and embedding is not null and size(embedding) > 0"
     ).where(~F.exists("embedding", lambda x: x.isNull()))
-    rows = sound.select("row", "vec_id", F.col("label").cast("long").alias("label"), "embedding")
-    return map_batches(rows, encode, CODED, rows=2000)
-
-
-def table_masks(largest: int, threshold: float) -> list[int]:
-    """The bits of each table's key."""
-    differ = np.arccos(threshold) / np.pi
-    width = int(np.clip(round(np.log2(max(1, largest) / CROWD)), 4, 24))
-    tables = int(np.ceil(np.log(MISS) / np.log(1 - (1 - differ) ** width)))
-    random = np.random.default_rng(SEED)
-    bits: list[int] = []
-    while len(bits) < width * tables:
-        bits += random.permutation(KEY_BITS)[: KEY_BITS // width * width].tolist()
-    return [sum(1 << b for b in bits[i * width : (i + 1) * width]) for i in range(tables)]
+    rows = sound.select(
+        "row", "vec_id", F.col("label").cast("long").alias("label"), F.size("embedding").alias("dim"), "embedding"
+    )
+    # Labels of more than a tile, so the table has fewer rows than there are tiles.
+    large = rows.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TILE)
+    exact = F.round(F.log2(F.col("n") / F.lit(float(CROWD)))).cast("int")
+    width = F.greatest(F.lit(4), F.least(F.lit(24), exact))
+    widths = large.select("label", "dim", width.alias("width"))
+    placed = rows.join(F.broadcast(widths), ["label", "dim"], "left").withColumn("width", F.coalesce("width", F.lit(0)))
+    return map_batches(placed.drop("dim"), encode, CODED, rows=2000)
 
 
 def may_link(turned: np.ndarray, signs: np.ndarray, factors: np.ndarray, threshold: float) -> np.ndarray:
@@ -130,7 +155,7 @@ def may_link(turned: np.ndarray, signs: np.ndarray, factors: np.ndarray, thresho
     return upper & upper.T
 
 
-def tile_links(tile: dict[str, np.ndarray], earlier: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def tile_links(tile: dict[str, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of one tile with cosines of `threshold` or more whose keys agree in no earlier table."""
     units = unit_rows(tile["vector"])
     turned = rotated(units)
@@ -140,8 +165,8 @@ def tile_links(tile: dict[str, np.ndarray], earlier: np.ndarray, threshold: floa
     if chunks.min() != chunks.max():
         allowed &= chunks[:, None] != chunks
     i, j = np.nonzero(allowed)
-    for mask in earlier:
-        apart = ((tile["bits"][i] ^ tile["bits"][j]) & mask) != 0
+    for keys in tile["earlier"].T:
+        apart = keys[i] != keys[j]
         i, j = i[apart], j[apart]
     close = [
         np.einsum("nd,nd->n", units[i[a : a + PAIRS]], units[j[a : a + PAIRS]]) >= threshold
@@ -173,13 +198,11 @@ def spanning(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int]]:
 TILE_KEY = ["label", "dim", "t", "key", "low", "high"]
 
 
-def tiles(rows: DataFrame, masks: list[int]) -> DataFrame:
-    """`rows` once per table and tile, with their place (label, dim, t, key, low, high) and chunk."""
-    signed = [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
-    keys = F.array(
-        *[F.struct(F.lit(t).alias("t"), F.col("bits").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)]
-    )
-    keyed = rows.select("*", F.inline(keys))
+def tiles(rows: DataFrame) -> DataFrame:
+    """`rows` once per table and tile, with their place (label, dim, t, key, low, high), chunk and keys of
+    earlier tables."""
+    keyed = rows.select("*", F.posexplode("keys").alias("t", "key"))
+    keyed = keyed.withColumn("earlier", F.slice("keys", 1, F.col("t"))).drop("keys")
     crowded = (
         keyed.groupBy("label", "dim", "t", "key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -199,9 +222,6 @@ def tiles(rows: DataFrame, masks: list[int]) -> DataFrame:
 def links(rows: DataFrame, threshold: float) -> DataFrame:
     """(row, n) counts of links per tile, and edges (a, b) of vec_ids that connect all linked vectors."""
     ship(rows.sparkSession)
-    largest = rows.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    masks = table_masks(largest, threshold)
-    signed = np.array([mask - (1 << 64) if mask >> 63 else mask for mask in masks], dtype=np.int64)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -225,8 +245,8 @@ def links(rows: DataFrame, threshold: float) -> DataFrame:
         return np.flatnonzero(new).tolist()
 
     def compare(table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
-        numbers = {c: table.column(c).to_numpy() for c in ("row", "vec_id", "dim", "bits", "factor", "t", "mine")}
-        raw = {c: table.column(c) for c in ("code", "vector")}
+        numbers = {c: table.column(c).to_numpy() for c in ("row", "vec_id", "dim", "factor", "t", "mine")}
+        raw = {c: table.column(c) for c in ("code", "vector", "earlier")}
         out: list[list] = [[], [], [], []]
         for a, b in zip(bounds, bounds[1:]):
             if b - a < 2:
@@ -237,7 +257,9 @@ def links(rows: DataFrame, threshold: float) -> DataFrame:
                 if kind is None:
                     kind = np.float32 if len(joined) == 4 * (b - a) * int(tile["dim"][0]) else np.float64
                 tile[name] = np.frombuffer(joined, kind).reshape(b - a, -1)
-            i, j = tile_links(tile, signed[: int(tile["t"][0])], threshold)
+            earlier = raw["earlier"].slice(a, b - a).combine_chunks().flatten()
+            tile["earlier"] = earlier.to_numpy().reshape(b - a, int(tile["t"][0]))
+            i, j = tile_links(tile, threshold)
             if not len(i):
                 continue
             counts = np.bincount(i, minlength=b - a) + np.bincount(j, minlength=b - a)
@@ -256,8 +278,8 @@ def links(rows: DataFrame, threshold: float) -> DataFrame:
                 column.extend(values)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["row", "n", "a", "b"])
 
-    placed = tiles(rows, masks).repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
-    wanted = [*TILE_KEY, "mine", "row", "vec_id", "bits", "factor", "code", "vector"]
+    placed = tiles(rows).repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
+    wanted = [*TILE_KEY, "mine", "row", "vec_id", "earlier", "factor", "code", "vector"]
     return placed.select(*wanted).mapInArrow(each, "row long, n long, a long, b long")
 
 
@@ -266,7 +288,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     rows = materialize(
         vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", "embedding")
     )
-    found = materialize(links(materialize(coded(rows)), threshold))
+    found = materialize(links(materialize(coded(rows, threshold)), threshold))
     counts = found.where("row is not null").groupBy("row").agg(F.sum("n").alias("n_links"))
     components = connected_components(found.where("a is not null").select("a", "b"))
     component = F.coalesce("component", "vec_id")

@@ -185,6 +185,29 @@ def test_crowded_vectors_are_tiled(spark, monkeypatch):
     assert {r.vec_id: r.component_id for r in found} == classes
 
 
+@pytest.mark.parametrize("width", [12, 15, 18])
+def test_recall_of_wide_keys(spark, monkeypatch, width):
+    """Keys as wide as those of labels of 200,000 to 12 million vectors; another label is compared in full."""
+    rng = np.random.default_rng(8)
+    n = 1500
+    a, b = rng.standard_normal((2, n, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    near = 0.9301
+    vectors, labels = np.concatenate([a, a * near + b * np.sqrt(1 - near**2)]), np.zeros(2 * n)
+    labels[:300] = labels[n : n + 300] = 1
+    monkeypatch.setattr(embedding_dedup, "TILE", 1000)
+    monkeypatch.setattr(embedding_dedup, "CROWD", 2400 / 2**width)
+    rows = [(i, v.tolist(), int(label)) for i, (v, label) in enumerate(zip(vectors, labels))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sorted(embedding_dedup.near_vectors(table).collect())
+    counts, _ = brute_vectors(vectors, labels, list(range(2 * n)))
+    links = np.array([r.n_links for r in found])
+    assert (links <= counts).all() and links[labels == 0].sum() >= 0.98 * counts[labels == 0].sum()
+    assert (links == counts)[labels == 1].all()
+
+
 def brute_passages(docs, k=13):
     first, split = {}, [(i, (t or "").encode().split()) for i, t in docs]
     for i, words in split:
