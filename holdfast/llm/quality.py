@@ -6,8 +6,8 @@ threshold is a quantile of the scores: the share of label 0 among the labels. Sc
 to 1 so that the threshold is `THRESHOLD`.
 
 The fit sees a bounded sample: at most `LABELLED` rows of each label (those whose ids hash lowest) and
-`PAIRS` pairs of them. The share of labels is counted over all. Features, and scores, are of every
-whole text.
+`PAIRS` pairs of them. The share of labels, and the threshold, are of all labelled rows that are not held
+out. Features, and scores, are of every whole text.
 
 Null texts are empty; all features of an empty text are 0 and it is scored like any other. Rows
 without an id are scored but never learnt from; labels of rows that repeat an id count once, the
@@ -17,7 +17,7 @@ greater one. Without labels of both kinds every score is 0.5. An empty table giv
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ PAIRS = 200_000
 THRESHOLD = 0.3
 RIDGE = 1e-3
 SEED = 42
+#: Bits of a score that one histogram tells apart.
+DIGIT = 16
 
 FEATURES = (
     "words",
@@ -112,14 +114,17 @@ class Ranking:
     weights: list[float]
     threshold: float
 
+    def worth(self, rows: np.ndarray) -> np.ndarray:
+        """The weighted sums, added up row by row so that none depends on the rows beside it."""
+        return ((rows - np.array(self.mean)) / np.array(self.scale) * np.array(self.weights)).sum(axis=1)
+
     def score(self, rows: np.ndarray) -> np.ndarray:
-        worth = (rows - np.array(self.mean)) / np.array(self.scale) @ np.array(self.weights)
-        shifted = np.clip(worth - self.threshold, -500, 500) + np.log(THRESHOLD / (1 - THRESHOLD))
+        shifted = np.clip(self.worth(rows) - self.threshold, -500, 500) + np.log(THRESHOLD / (1 - THRESHOLD))
         return 1 / (1 + np.exp(-shifted))
 
 
 def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float) -> Ranking:
-    """Newton's method on the mean logistic loss of pairs, then the threshold at the quantile."""
+    """Newton's method on the mean logistic loss of pairs, then the threshold at the quantile of these rows."""
     both = np.concatenate([good, bad])
     mean, scale = both.mean(axis=0), both.std(axis=0)
     scale[scale == 0] = 1
@@ -135,7 +140,7 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float) -> Ranking:
         weights -= step / max(1.0, np.abs(step).max())
         if np.abs(step).max() < 1e-6:
             break
-    # The quantile of the scores of all labelled rows, from those of the sample by their weight.
+    # The quantile of the scores of all labels, from those of these rows by their weight.
     worth = np.concatenate([good @ weights, bad @ weights])
     weight = np.concatenate([np.full(len(good), (1 - bad_share) / len(good)), np.full(len(bad), bad_share / len(bad))])
     order = np.argsort(worth, kind="stable")
@@ -145,6 +150,52 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float) -> Ranking:
     return Ranking(mean.tolist(), scale.tolist(), weights.tolist(), float(threshold))
 
 
+def ordinals(values: np.ndarray) -> np.ndarray:
+    """Integers that sort, and differ, as the numbers do."""
+    raw = (values + 0.0).view(np.int64)  # no negative zero
+    return np.where(raw < 0, raw ^ np.int64((1 << 63) - 1), raw)
+
+
+def number(ordinal: int) -> float:
+    raw = np.int64(ordinal)
+    return float((raw ^ np.int64((1 << 63) - 1) if raw < 0 else raw).view(np.float64))
+
+
+def exact_threshold(rows: DataFrame, known: DataFrame, ranking: Ranking, counts: dict[int, int]) -> float:
+    """The quantile of the worths of all `rows` that `known` (doc_id, quality) has a label of, at the share
+    of label 0 in `counts`; each label weighs by its share, whatever number of rows it has.
+
+    Histograms over the next `DIGIT` bits of the worths tell in which range the quantile lies, until the
+    range is one number.
+    """
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
+        columns = [batch.column("doc_id"), pa.array(ordinals(ranking.worth(values)))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "worth"])
+
+    worths = map_batches(rows.where("doc_id is not null"), each, "doc_id long, worth long", rows=10_000)
+    scored = materialize(worths.join(known, "doc_id").select("worth", "quality"))
+    found = {row.quality: row["count"] for row in scored.groupBy("quality").count().collect()}
+    # Weights as integers: a share over a number of rows, times both numbers of rows and all labels.
+    good, bad = counts[1] * found[0], counts[0] * found[1]
+    wanted, below, inside = counts[0] * found[0] * found[1], 0, scored
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        digit = F.shiftright("worth", shift)
+        histogram = inside.groupBy(digit.alias("digit")).agg(
+            F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")
+        )
+        for at, goods, bads in sorted(tuple(row) for row in histogram.collect()):
+            if below + goods * good + bads * bad >= wanted:
+                break
+            below += goods * good + bads * bad
+        inside = scored.where(digit == at)
+    # As in `fit_pairs`: halfway to the row that sorts after the one that reaches the share.
+    last = below + goods * good + bads * bad - (bad if bads else good) < wanted
+    above = scored.where(F.col("worth") > at).agg(F.min("worth")).first()[0] if last else None
+    return (number(at) + number(at if above is None else above)) / 2
+
+
 def fit(rows: DataFrame, labels: DataFrame) -> Ranking | None:
     """Learn from `rows` (doc_id, features) and `labels` (doc_id, quality), held-out ids aside."""
     known = (
@@ -166,7 +217,8 @@ def fit(rows: DataFrame, labels: DataFrame) -> Ranking | None:
     kinds = [np.array(found.features[found.quality == kind].tolist(), dtype=np.float64) for kind in (0, 1)]
     if not len(kinds[0]) or not len(kinds[1]):
         return None
-    return fit_pairs(kinds[1], kinds[0], counts[0] / (counts[0] + counts[1]))
+    ranking = fit_pairs(kinds[1], kinds[0], counts[0] / (counts[0] + counts[1]))
+    return replace(ranking, threshold=exact_threshold(rows, known, ranking, counts))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -50,6 +50,29 @@ def test_pairs_are_ranked():
     assert abs((scores < quality.THRESHOLD).mean() - 200 / 700) < 0.02
 
 
+def test_the_threshold_is_of_all_labels(spark, sf_dir, monkeypatch):
+    """With a sample smaller than the labels, the share below the threshold is still that of label 0."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.materialize(quality.document_features(docs))
+    known = {r.doc_id: int(r.quality > 0) for r in labels.where(~quality.held_out(quality.F.col("doc_id"))).collect()}
+    table = [(r.features, known[r.doc_id]) for r in rows.collect() if r.doc_id in known]
+    values, bad = np.array([f for f, _ in table]), sum(q == 0 for _, q in table)
+    whole = quality.fit(rows, labels)
+    monkeypatch.setattr(quality, "LABELLED", 20)
+    for model in (whole, quality.fit(rows, labels)):
+        worth = ((values - model.mean) / model.scale * model.weights).sum(axis=1)
+        worth.sort()
+        assert model.threshold == (worth[bad - 1] + worth[bad]) / 2
+        assert (model.score(values) < quality.THRESHOLD).sum() == bad
+
+
+def test_ordinals_sort_as_the_numbers():
+    values = np.sort(np.concatenate([np.random.default_rng(4).normal(0, 1e3, 500), [0.0, 5e-324, -5e-324, 1e300, -1e300]]))
+    assert (np.diff(quality.ordinals(values)) > 0).all()
+    assert [quality.number(i) for i in quality.ordinals(values).tolist()] == values.tolist()
+    assert quality.ordinals(np.array([-0.0, 0.0])).tolist() == [0, 0]
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(digits[::-1]):
