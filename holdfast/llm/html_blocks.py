@@ -21,6 +21,10 @@ LETTERS = re.compile(r"[a-z]+")
 #: Elements whose content is no text of the page.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "xmp"}
 HIDDEN = {"head", "select", "button", "svg", "math", "object", "datalist", "canvas", "audio", "video"}
+#: Elements that may stand in a head; any other, or text, ends it.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+#: Elements that, left open, hold nothing but the named ones.
+LISTS = {"select": ("option", "optgroup"), "datalist": ("option", "optgroup")}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
@@ -59,12 +63,29 @@ def hashed(token: str, size: int) -> tuple[int, float]:
     return code % size, 1.0 if code >> 31 else -1.0
 
 
+def closed(page: str, name: str) -> set[int]:
+    """Where elements of that name start that have an end tag."""
+    starts, found = [], set()
+    for tag in re.finditer(f"<(/?){re.escape(name)}(?=[\\s/>])", page, re.I):
+        if not tag[1]:
+            starts.append(tag.start())
+        elif starts:
+            found.add(starts.pop())
+    return found
+
+
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order: runs of text between the borders of block elements."""
+    """The blocks of a page in order: runs of text between the borders of block elements.
+
+    A hidden element without an end tag hides nothing, but for the options of a list: what follows
+    may be text of the page. A head ends where something stands that cannot be in one.
+    """
     root = Element("", (), np.zeros(PATH_SIZE), False, None)
     stack, out, known = [root], [], {}
     text: list[str] = []
     linked, links, at = 0, 0, 0
+    ended: dict[str, set[int]] = {}
+    open_list = ""  # a list without an end tag that is open
 
     def flush() -> None:
         nonlocal linked
@@ -104,6 +125,8 @@ def blocks(page: str) -> list[Block]:
         start, end = found.span()
         if start < at:
             continue
+        if start > at and stack[-1].name == "head" and not page[at:start].isspace():
+            stack.pop()
         if start > at and not stack[-1].hidden:
             piece = page[at:start]
             text.append(piece)
@@ -114,6 +137,8 @@ def blocks(page: str) -> list[Block]:
         if name is None:
             continue
         name, closing = name.lower(), found[1] or found[4]
+        if stack[-1].name == "head" and not closing and name not in IN_HEAD:
+            stack.pop()
         if name not in INLINE:
             if name == "br":
                 text.append(" ")
@@ -129,12 +154,24 @@ def blocks(page: str) -> list[Block]:
                 at = finish.end() if finish else len(page)
                 continue
             if name not in VOID:
+                if open_list and name not in LISTS[open_list]:
+                    close((open_list,), len(stack))
+                    open_list = ""
+                if name in HIDDEN and name != "head":
+                    if name not in ended:
+                        ended[name] = closed(page, name)
+                    if start not in ended[name]:
+                        if name not in LISTS:
+                            continue
+                        open_list = name
                 if stack[-1].name not in ("", "div", "body"):
                     close(ENDS.get(name, ("p",)))
                     links = sum(element.name == "a" for element in stack) if links else 0
                 push(name, found[3] or found[6] or "")
         elif name == "a":
             links = max(0, links - 1) if closing else links + 1
+    if at < len(page) and stack[-1].name == "head" and not page[at:].isspace():
+        stack.pop()
     if at < len(page) and not stack[-1].hidden:
         text.append(page[at:])
     flush()

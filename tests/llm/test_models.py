@@ -232,6 +232,27 @@ def test_blocks(page, expected):
     assert [b.text for b in html_blocks.blocks(page)] == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<html><head><title>t</title><body><article><p>text", ["text"]),
+        ("<head><meta charset=x><link><style>s</style><p>a<p>b", ["a", "b"]),
+        ("<head><title>t</title>text <b>more</b>", ["text more"]),
+        ("<head><title>t</title><a href=x>text</a></head><p>b", ["text", "b"]),
+        ("<head>\n<script>no</script>\n</head>\n<body>yes</body>", ["yes"]),
+        ("<div><button>menu<p>a</div>b<button>no</button>c", ["menu", "a", "b", "c"]),
+        ("<p>a <object data=x><p>b</p><object>no<object>no</object></object>c", ["a", "b", "c"]),
+        ("<div><video src=x>a<p>b</div>", ["a", "b"]),
+        ("<div><svg class=x /><p>a</p><svg><text>no</text></svg></div>", ["a"]),
+        ("<div><select><optgroup><option>no<option>no<p>a</p>b</div>", ["a", "b"]),
+        ("<select><option>no</select>a<select><option>no</select>", ["a"]),
+        ("<button><div>no</div></button>a", ["a"]),
+    ],
+)
+def test_what_is_left_open_hides_nothing(page, expected):
+    assert [b.text for b in html_blocks.blocks(page)] == expected
+
+
 def test_pipeline_stages(spark, sf_dir, query):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "simhash", "pii", "packing"]
