@@ -19,8 +19,8 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 LETTERS = re.compile(r"[a-z]+")
 
 #: Elements whose content is no text of the page.
-RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "xmp"}
-HIDDEN = {"head", "select", "button", "svg", "math", "object", "datalist", "canvas", "audio", "video"}
+RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe"}
+HIDDEN = {"head", "select", "button", "svg", "object", "datalist", "canvas", "audio", "video"}
 #: Elements that may stand in a head; any other, or text, ends it.
 IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 #: Elements that, left open, hold nothing but the named ones.
@@ -30,6 +30,9 @@ INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
     "ins", "kbd", "label", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
     "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "input",
+    "math", "annotation", "annotation-xml", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mlabeledtr",
+    "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt",
+    "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "none", "semantics",
 }
 #: An opening tag of these ends an open element of the named kinds.
 ENDS = {"li": ("li", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("tr", "td", "th", "p")}
@@ -153,6 +156,17 @@ def blocks(page: str) -> list[Block]:
                 finish = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, at)
                 at = finish.end() if finish else len(page)
                 continue
+            if name == "xmp":  # its content is text as it stands
+                finish = re.compile(r"</xmp\s*>", re.I).search(page, at)
+                close(("p",))
+                links = sum(element.name == "a" for element in stack) if links else 0
+                push(name, found[3] or found[6] or "")
+                if not stack[-1].hidden:
+                    text.append(html.escape(page[at : finish.start() if finish else len(page)]))
+                    flush()
+                stack.pop()
+                at = finish.end() if finish else len(page)
+                continue
             if name not in VOID:
                 if open_list and name not in LISTS[open_list]:
                     close((open_list,), len(stack))

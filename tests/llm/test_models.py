@@ -253,6 +253,19 @@ def test_what_is_left_open_hides_nothing(page, expected):
     assert [b.text for b in html_blocks.blocks(page)] == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<p>so <math><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn></math> holds</p>", ["so x2=4 holds"]),
+        ("a<p>b<xmp class=c>1 <b>&amp;</b> 2</XMP >c", ["a", "b", "1 <b>&amp;</b> 2", "c"]),
+        ("<head><xmp>open <p>", ["open <p>"]),
+        ("<button><xmp>no</xmp></button>a", ["a"]),
+    ],
+)
+def test_formulas_and_raw_text_are_kept(page, expected):
+    assert [b.text for b in html_blocks.blocks(page)] == expected
+
+
 def test_pipeline_stages(spark, sf_dir, query):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "simhash", "pii", "packing"]
