@@ -4,17 +4,21 @@ A page is read as its sequence of text blocks (see `html_blocks`). A bidirection
 tag-path and hashed-word vectors of all blocks of a page, and labels each block as main text or
 not, with the whole page as context. Blocks labelled main are joined by line feeds.
 
-The labeller is trained on a bounded sample, at most `PAGES` pages of at most `PAGE_SIZE` characters (those whose ids
-hash lowest). Their own labels come from semantic elements (article, main, and what cannot be
+The labeller is trained on a bounded sample, at most `PAGES` pages (those whose ids and content hash lowest) and of
+each the first blocks, up to about `PAGE_SIZE` characters of text. Their own labels come from semantic elements (article, main, and what cannot be
 main text within). As pages of one corpus may share one layout, the same texts are also laid out in
 others, by the lists below.
 
+Where no page of the sample has a block longer than `LONG` characters there is nothing to learn from, and
+the semantic elements alone tell the main text.
+
 Null and empty pages give the empty text, as do pages without main text. Rows without a page_id and
 repeated rows are extracted like others. An empty table gives an empty one. Other columns are kept.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 from html import escape
 
@@ -28,6 +32,10 @@ from holdfast.llm.html_blocks import PATH_SIZE, WORD_SIZE, Block, blocks, featur
 from holdfast.llm.recurrent import Adam, both_gradients, both_ways, sigmoid
 
 PAGES, PAGE_SIZE = 300, 60_000
+#: Characters that each block of the sample counts for besides its text.
+BLOCK_SIZE = 64
+#: Blocks that are longer make the pages that are laid out anew.
+LONG = 40
 LAYOUTS, STEPS, ROWS = 900, 1000, 16
 HIDDEN = 12
 WIDTH = PATH_SIZE + WORD_SIZE + 6
@@ -204,13 +212,35 @@ def layout(random: np.random.Generator, texts: list[str]) -> str:
     return element("body", element(AROUND[random.integers(0, len(AROUND))], page, 0))
 
 
+def sampled(page: str) -> bytes:
+    """The first blocks of a page."""
+    read, size = [], 0
+    for block in blocks(page):
+        size += len(block.text) + BLOCK_SIZE
+        if read and size > PAGE_SIZE:
+            break
+        read.append(Block(block.text[:PAGE_SIZE], block.path, block.tokens, block.linked, block.keep))
+    return pickle.dumps(read)
+
+
+def sample(pages: DataFrame) -> list[list[Block]]:
+    """The blocks of the pages of the sample, read where the pages are."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        read = [sampled(page) for page in batch.column("html").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("key"), pa.array(read, pa.binary())], ["key", "read"])
+
+    there = pages.where(F.length("html") > 0).select(F.xxhash64("page_id", "html").alias("key"), "html")
+    chosen = lowest_hashes(there, "key", PAGES)
+    rows = there.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
+    found = map_batches(rows, each, "key long, read binary", rows=20).collect()
+    return [pickle.loads(row.read) for row in sorted(found, key=lambda row: row.key)]
+
+
 def train(pages: DataFrame) -> Labeller | None:
-    """A labeller from the sample of `pages` (page_id, html); None where that has no text."""
-    sized = pages.select("page_id", "html").where(F.length("html").between(1, PAGE_SIZE))
-    chosen = lowest_hashes(sized, "page_id", PAGES)
-    sample = sized.join(F.broadcast(chosen), "page_id").dropDuplicates(["page_id"]).collect()
-    read = [blocks(row.html) for row in sorted(sample, key=lambda row: row.page_id)]
-    texts = [block.text for page in read for block in page if len(block.text) > 40]
+    """A labeller from the sample of `pages` (page_id, html); None where that has no text to learn from."""
+    read = sample(pages)
+    texts = [block.text for page in read for block in page if len(block.text) > LONG]
     if not texts:
         return None
     examples = []
@@ -228,12 +258,16 @@ def train(pages: DataFrame) -> Labeller | None:
 
 
 def extract(pages: DataFrame, model: Labeller | None, html: str = "html", text: str = "text") -> DataFrame:
-    """`pages` with the main text of each; `text` replaces a column of that name."""
+    """`pages` with the main text of each; `text` replaces a column of that name. Without a model the semantic
+    elements tell."""
     kept = [c for c in pages.columns if c != text]
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         read = [blocks(page or "") for page in batch.column(html).to_pylist()]
-        chances = model.chances([features(page) for page in read]) if model else [np.zeros(len(p)) for p in read]
+        if model:
+            chances = model.chances([features(page) for page in read])
+        else:
+            chances = [np.array([float(semantic_label(block) is True) for block in page]) for page in read]
         found = [
             "\n".join(block.text for block, chance in zip(page, row.tolist()) if chance >= 0.5)
             for page, row in zip(read, chances)

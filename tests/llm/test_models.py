@@ -266,6 +266,24 @@ def test_formulas_and_raw_text_are_kept(page, expected):
     assert [b.text for b in html_blocks.blocks(page)] == expected
 
 
+def test_odd_tables_keep_their_text(spark):
+    """Tables of pages that are all long, have no id, or have short blocks only."""
+    page = "<html><body><nav><ul><li>menu</ul></nav><article><p>%s</p></article><footer>imprint</footer></body></html>"
+    schema = "page_id long, html string"
+
+    def main(rows):
+        table = spark.createDataFrame(rows, schema)
+        return table, [r.text for r in html_extraction.extract(table, html_extraction.train(table)).collect()]
+
+    words = [" ".join(f"w{(i * 7 + j) % 991}" for j in range(14_000)) + "." for i in range(4)]
+    for ids in ([1, 2, 3, 4], [None] * 4):
+        table, found = main([(i, page % t) for i, t in zip(ids, words)])
+        assert sorted(found) == sorted(words)
+        assert len(html_extraction.sample(table)) == 4
+    _, found = main([(i, page % f"short {i}") for i in range(4)])
+    assert sorted(found) == [f"short {i}" for i in range(4)]
+
+
 def test_pipeline_stages(spark, sf_dir, query):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "simhash", "pii", "packing"]
