@@ -35,6 +35,12 @@ def test_no_edges(spark):
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_unsettled_components_are_an_error(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(70)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        common.connected_components(chain, rounds=1)
+
+
 def test_running_total(spark):
     rows = [(i * 7 % 101, i % 5 + 1) for i in range(101)]
     found = common.running_total(spark.createDataFrame(rows, "k long, n long").repartition(5), ["k"], "n", "start")
