@@ -52,6 +52,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` materialized as (row, doc): a number of each row, and its columns, whose names may be any."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return materialize(rows.withColumn("row", F.monotonically_increasing_id()))
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a materialized table that nothing reads any more."""
     for folder in {os.path.dirname(file) for file in df.inputFiles()}:

@@ -17,6 +17,7 @@ greater one. Without labels of both kinds every score is 0.5. An empty table giv
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import lowest_hashes, map_batches, materialize
+from holdfast.llm.common import lowest_hashes, map_batches, materialize, numbered
 
 #: Labelled rows of each kind, and pairs of them, that a fit sees at most.
 LABELLED = 5000
@@ -92,15 +93,17 @@ def features(text: str) -> list[float]:
     ]
 
 
-def document_features(docs: DataFrame) -> DataFrame:
-    """(doc_id, features) of every row."""
+def document_features(docs: DataFrame, row: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, features) of every row, and the columns `row` (long) before."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [features(text or "") for text in batch.column("text").to_pylist()]
         values = pa.array(rows, pa.list_(pa.float64()))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), values], ["doc_id", "features"])
+        columns = [*[batch.column(c) for c in row], batch.column("doc_id"), values]
+        return pa.RecordBatch.from_arrays(columns, [*row, "doc_id", "features"])
 
-    return map_batches(docs.select("doc_id", "text"), each, "doc_id long, features array<double>", rows=500)
+    schema = ", ".join([*[f"`{c}` long" for c in row], "doc_id long, features array<double>"])
+    return map_batches(docs.select(*row, "doc_id", "text"), each, schema, rows=500)
 
 
 def held_out(id: Column) -> Column:
@@ -221,22 +224,25 @@ def fit(rows: DataFrame, labels: DataFrame) -> Ranking | None:
     return replace(ranking, threshold=exact_threshold(rows, known, ranking, counts))
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score, predicted) of every row; `predicted` is 1 from THRESHOLD on."""
-    rows = materialize(document_features(docs))
+def score(docs: DataFrame, labels: DataFrame, row: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, score, predicted) of every row, and the columns `row` (long) before; `predicted` is 1 from
+    THRESHOLD on."""
+    rows = materialize(document_features(docs, row))
     ranking = fit(rows, labels)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
         scores = ranking.score(values) if ranking else np.full(batch.num_rows, 0.5)
         predicted = (scores >= THRESHOLD).astype(np.int32)
-        columns = [batch.column("doc_id"), pa.array(scores), pa.array(predicted)]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted"])
+        columns = [*[batch.column(c) for c in row], batch.column("doc_id"), pa.array(scores), pa.array(predicted)]
+        return pa.RecordBatch.from_arrays(columns, [*row, "doc_id", "score", "predicted"])
 
-    return map_batches(rows, each, "doc_id long, score double, predicted int", rows=10_000)
+    schema = ", ".join([*[f"`{c}` long" for c in row], "doc_id long, score double, predicted int"])
+    return map_batches(rows, each, schema, rows=10_000)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` without the documents predicted 0. Rows that share an id go together; rows without one stay."""
-    rejected = score(docs, labels).where("predicted = 0").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """`docs` without the rows predicted 0, each by itself, whether or not it has an id or shares it."""
+    rows = numbered(docs)
+    rejected = score(rows.select("row", "doc.doc_id", "doc.text"), labels, ["row"]).where("predicted = 0").select("row")
+    return rows.join(rejected, "row", "left_anti").select("doc.*")

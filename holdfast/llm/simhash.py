@@ -17,7 +17,7 @@ rows share their class. An empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import connected_components, map_batches, materialize, ship
+from holdfast.llm.common import connected_components, map_batches, materialize, numbered, ship
 
 SEED = 42
 BITS = 64
@@ -57,15 +57,17 @@ def fingerprint(text: str, words: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, print): the fingerprint of each whole text as a signed long."""
+def fingerprints(docs: DataFrame, words: int = 3, row: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, print): the fingerprint of each whole text as a signed long, and the columns `row` (long) before."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         prints = [fingerprint(text or "", words) for text in batch.column("text").to_pylist()]
         signed = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), signed], ["doc_id", "print"])
+        columns = [*[batch.column(c) for c in row], batch.column("doc_id"), signed]
+        return pa.RecordBatch.from_arrays(columns, [*row, "doc_id", "print"])
 
-    return map_batches(docs.select("doc_id", "text"), each, "doc_id long, print long", rows=500)
+    schema = ", ".join([*[f"`{c}` long" for c in row], "doc_id long, print long"])
+    return map_batches(docs.select(*row, "doc_id", "text"), each, schema, rows=500)
 
 
 def block_masks(distinct: int, radius: int) -> list[int]:
@@ -238,9 +240,19 @@ def near_groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
-    """`docs` with the document of the smallest doc_id of each component.
+    """`docs` with one row of each component of fingerprints, that of the smallest doc_id.
 
-    Rows that share a doc_id stay or go together; rows without one stay.
+    Rows that share a doc_id are rows of their own; rows without one stay.
     """
-    dropped = near_groups(docs, words, radius).where("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs)
+    prints = materialize(fingerprints(rows.select("row", "doc.doc_id", "doc.text"), words, ["row"]))
+    known = prints.where("doc_id is not null")
+    # The nodes are the fingerprints themselves, as different texts may share a doc_id.
+    classes = materialize(known.select("print").distinct().select("print", F.col("print").alias("representative")))
+    components = connected_components(links(classes, radius))
+    groups = known.join(components, F.col("print") == F.col("node"), "left").select(
+        "row", "doc_id", F.coalesce("component", "print").alias("component")
+    )
+    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row")
+    dropped = groups.select("row").join(first, "row", "left_anti")
+    return rows.join(dropped, "row", "left_anti").select("doc.*")

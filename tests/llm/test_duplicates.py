@@ -91,6 +91,15 @@ def test_simhash_of_odd_documents(odd_docs, no_docs):
     assert simhash.near_groups(no_docs).collect() == []
 
 
+def test_texts_that_share_an_id_are_kept_apart(spark):
+    """The text without a copy stays although another row of its id goes, and so does a group of its own."""
+    one, two, three = ("".join(f"{w}{i} " for i in range(60)) for w in "abc")
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, two), (4, three), (5, "x y z"), (5, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == [(1, one), (2, two), (3, three), (5, "x y z")]
+
+
 @pytest.mark.parametrize("distinct", [10, 10**6, 10**9])
 def test_block_masks_miss_no_pair(distinct):
     masks = simhash.block_masks(distinct, 3)

@@ -73,6 +73,19 @@ def test_ordinals_sort_as_the_numbers():
     assert quality.ordinals(np.array([-0.0, 0.0])).tolist() == [0, 0]
 
 
+def test_rows_are_rejected_one_by_one(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(quality.score(docs, labels).select("doc_id", "predicted"), "doc_id")
+    good, bad = ([r.text for r in rows.where(f"predicted = {p}").orderBy("doc_id").limit(3).collect()] for p in (1, 0))
+    ids = [-1, -1, None, None, -2, -3]
+    odd = spark.createDataFrame(list(zip(ids, [good[0], bad[0], bad[1], good[1], bad[2], good[2]])), "doc_id long, text string")
+    table = docs.select("doc_id", "text").unionByName(odd)
+    kept = quality.keep_good(table, labels)
+    found = sorted(((r.doc_id, r.text) for r in kept.where("doc_id is null or doc_id < 0").collect()), key=str)
+    assert found == sorted([(-1, good[0]), (None, good[1]), (-3, good[2])], key=str)
+    assert kept.columns == table.columns
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(digits[::-1]):
