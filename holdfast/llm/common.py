@@ -58,6 +58,26 @@ def numbered(docs: DataFrame) -> DataFrame:
     return materialize(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, key: Sequence[str], size: str, total: int) -> DataFrame:
+    """`rows` with the row of `groups` that has their `key`; `groups` has each key once, nulls being equal, and its number of
+    rows in `size`. There are at most `total` rows.
+
+    Keys that more than a quarter of a partition's share of `total` have are joined by broadcast: there are at
+    most four of them to a partition. The rest is joined by a shuffle that no key can skew.
+    """
+    frequent = max(50, total // (4 * partitions(rows.sparkSession)))
+    names = {column: f"_{column}" for column in key}
+
+    def matched(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+        other = groups.withColumnsRenamed(names)
+        same = [rows[column].eqNullSafe(other[names[column]]) for column in key]
+        return rows.join(other, same, how).drop(*names.values())
+
+    hot = F.broadcast(groups.where(F.col(size) > frequent))
+    rest = matched(rows, hot.select(*key), "left_anti")
+    return matched(rows, hot, "inner").unionByName(matched(rest, groups.where(F.col(size) <= frequent), "inner"))
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a materialized table that nothing reads any more."""
     for folder in {os.path.dirname(file) for file in df.inputFiles()}:

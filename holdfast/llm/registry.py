@@ -1,7 +1,8 @@
-"""The registered queries of the ten operators and the pipeline, and their SQL."""
+"""The registered queries of the operators and the pipeline, and their SQL."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, embedding_dedup, exact_dedup, html_extraction, packing, pii, quality, simhash, substring_dedup, token_files
+from holdfast.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    html_extraction,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    simhash,
+    substring_dedup,
+    token_files,
+    vector_codes,
+)
 from holdfast.runtime import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -114,3 +129,164 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_extraction.extract(pages, html_extraction.train(pages))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+#: A turn as the formatted text shows it, and whether it had to be escaped, in SQL.
+SHOWN_TURNS = r"""
+    shown AS (
+        SELECT conv_id, turn, role, text,
+            CASE WHEN role IN ('system', 'user', 'assistant', 'tool') THEN upper(role[1]) || role[2:] ELSE 'Role ' || role END AS label,
+            regexp_matches(role || chr(10) || text, '#\\*## |<\\*/turn>') OR (
+                role NOT IN ('system', 'user', 'assistant', 'tool') AND regexp_matches(role, ':\\* ')) AS conflict
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL SELECT -7, n, ['user', 'assistant'][n + 1], '\### Assistant: </turn> ok' FROM range(2) t(n))
+    ), bodies AS (
+        SELECT *, CASE WHEN conflict THEN regexp_replace(regexp_replace(text, '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g')
+            ELSE text END AS body,
+            CASE WHEN conflict THEN regexp_replace(regexp_replace(regexp_replace(
+                label, '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g'), ':(\\*) ', ':\\\1 ', 'g') ELSE label END AS head
+        FROM shown
+    )
+"""
+
+
+@query(
+    "op11_chat_format",
+    f"""
+    WITH {SHOWN_TURNS}
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256,
+        sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(length('### ' || head || ': ' || body || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+    FROM bodies GROUP BY conv_id
+    """,
+)
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
+    output = chat_format.format_conversations(rows)
+    text = chat_format.formatted(F.col("segments"))
+    read = output.select("conv_id", chat_format.parse(text).alias("turns"), chat_format.learnt(F.col("segments")).alias("learnt"), F.char_length(text).cast("long").alias("formatted_chars"))
+    told = F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.char_length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+#: Conversations rebuilt, as lists of (role, text); `step` is one bit of a CRC-32.
+REBUILT = """
+    turns AS (
+        SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS ts
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+        GROUP BY conv_id
+    ), heads AS (
+        SELECT conv_id, ts, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], list_transform(range(8), lambda i: 0::BIGINT)),
+                lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 AS h
+        FROM turns
+    ), rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(b.ts, [])[:c.h], c.ts[c.h + 1:]) AS ts
+        FROM heads c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 5
+    )
+"""
+
+
+@query(
+    "op12_prefix_trie",
+    f"""
+    WITH {REBUILT}, prefixes AS (
+        SELECT conv_id, d AS depth, ts[:d] AS p, d = len(ts) AS ends
+        FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM rebuilt)
+    ), nodes AS (
+        SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(octet_length(encode(p[depth].t)), 0) AS bytes,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM prefixes GROUP BY p, depth
+    ), family AS (
+        SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.p[:n.depth] = n.p) AS n_children,
+            (SELECT u.conv_id FROM nodes u WHERE u.depth = n.depth - 1 AND u.p = n.p[:n.depth - 1]) AS parent_conv_id
+        FROM nodes n
+    ), below AS (
+        SELECT t.depth, t.p, count(*) FILTER (s.n_children = 0) AS n_leaves, sum((s.n_convs - 1) * s.bytes)::BIGINT AS saved_tokens
+        FROM family t JOIN family s ON s.depth >= t.depth AND s.p[:t.depth] = t.p GROUP BY t.depth, t.p
+    )
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM family JOIN below USING (depth, p)
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    ends = F.array_join(F.col("ends").cast("array<string>"), ",")
+    found = prefix_trie.prefix_trie(*prefix_trie.borrowed_start(ordered))
+    return found.withColumn("ends_sha256", F.sha2(ends, 256)).drop("ends")
+
+
+def _assigned(name: str, books: str) -> str:
+    """SQL: every part of every vector with the index of its nearest entry in `books`, from 1, and the distance."""
+    return f"""
+    {name} AS (
+        SELECT part, vec_id, label, x, least.i AS i, least.d AS d FROM (
+            SELECT points.*, list_min(list_transform(entries, lambda e, k: {{
+                'd': list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'i': k}})) AS least
+            FROM points JOIN {books} USING (part))
+    )"""
+
+
+def _improved(name: str, books: str, assigned: str) -> str:
+    """SQL: the codebooks after a round."""
+    return f"""
+    {name} AS (
+        SELECT part, list(coalesce(mean, entry) ORDER BY i) AS entries FROM (
+            SELECT part, unnest(entries) AS entry, generate_subscripts(entries, 1) AS i FROM {books}
+        ) LEFT JOIN (
+            SELECT part, i, list(mean ORDER BY spot) AS mean FROM (
+                SELECT part, i, spot, floor(sum(c)::DOUBLE / count(*))::BIGINT AS mean
+                FROM (SELECT part, i, unnest(x) AS c, generate_subscripts(x, 1) AS spot FROM {assigned}) GROUP BY part, i, spot
+            ) GROUP BY part, i
+        ) USING (part, i) GROUP BY part
+    )"""
+
+
+@query(
+    "op13_vector_codes",
+    f"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), points AS (
+        SELECT vec_id, label, p AS part, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x
+        FROM kept, (SELECT unnest(range(16)) AS p)
+    ), books0 AS (
+        SELECT part, list(x ORDER BY vec_id) AS entries FROM points
+        WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64) GROUP BY part
+    ), {_assigned("near0", "books0")}, {_improved("books1", "books0", "near0")},
+    {_assigned("near1", "books1")}, {_improved("books2", "books1", "near1")}, {_assigned("near2", "books2")},
+    coded AS (
+        SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', i - 1), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+        FROM near2 GROUP BY vec_id
+    )
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+        (SELECT sha256(string_agg(array_to_string(flatten(entries), ','), ',' ORDER BY part)) FROM books2) AS codebooks_sha256
+    FROM coded
+    """,
+)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = vector_codes.VectorBlocks(table(spark, sf_dir, "embeddings"), parts=16)
+    books = vector_codes.fit(blocks, entries=64, rounds=2)
+    listed = ",".join(str(number) for part in books.entries for entry in part for number in entry)
+    found = vector_codes.with_label_errors(blocks.encoded(books), blocks.rows)
+    return found.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(listed.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
