@@ -23,10 +23,10 @@ Turns are told apart by SHA-256. Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import materialize, partitions, spread_join
+from holdfast.llm.common import discard, materialize, partitions, spread_join
 from holdfast.runtime import scratch_path
 
 #: Turns of a conversation whose digests one task holds at once; a power of two.
@@ -123,52 +123,54 @@ def blocks(turns: DataFrame, deepest: int) -> DataFrame:
     return spark.read.schema("conv_id long, depth long, digest string, bytes long, last boolean, v int").parquet(path)
 
 
-def named_levels(blocks: DataFrame, steps: int, root: int, total: int) -> tuple[list[DataFrame], list[DataFrame]]:
+class Levels:
+    """Rows of each v, written one v at a time below one folder, so that one scan reads any range of them."""
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.path = spark, schema, scratch_path(spark, "levels")
+
+    def put(self, v: int, rows: DataFrame) -> None:
+        columns = [column.split()[0] for column in self.schema.split(", ")]
+        rows.select(*columns).write.option("compression", "zstd").parquet(f"{self.path}/v={v}")
+
+    def where(self, condition: str) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, v int").parquet(self.path).where(condition).drop("v")
+
+
+def named_levels(blocks: DataFrame, steps: int, root: int, total: int) -> tuple[Levels, Levels]:
     """By v: (conv_id, depth, name, last), the name of each prefix, and (depth, name, top, n_convs, bytes), the nodes;
     `top` is the name of the node `2**v` above."""
-    names: list[DataFrame] = [None] * steps
-    nodes: list[DataFrame] = [None] * steps
+    names = Levels(blocks.sparkSession, "conv_id long, depth long, name long, last boolean")
+    nodes = Levels(blocks.sparkSession, "depth long, name long, top long, n_convs long, bytes long")
     key = ["depth", "top", "digest"]
     for v in reversed(range(steps)):
         cut = blocks.where(F.col("v") == v).drop("v").withColumn("start", F.col("depth") - (1 << v))
         keyed = cut.where("start = 0").withColumn("top", F.lit(root).cast("long"))
         if v + 1 < steps:
-            above = names[v + 1]
-            for known in names[v + 2 :]:
-                above = above.unionByName(known)
-            above = above.select("conv_id", F.col("depth").alias("start"), F.col("name").alias("top"))
-            keyed = keyed.unionByName(cut.where("start > 0").join(above, ["conv_id", "start"]), allowMissingColumns=True)
+            above = names.where(f"v > {v}").select("conv_id", F.col("depth").alias("start"), F.col("name").alias("top"))
+            keyed = keyed.unionByName(cut.where("start > 0").join(above, ["conv_id", "start"]))
         keyed = materialize(keyed.select("conv_id", *key, "bytes", "last"))
         groups = materialize(
             keyed.groupBy(*key).agg(F.min("conv_id").alias("name"), F.count(F.lit(1)).alias("n_convs"), F.min("bytes").alias("node_bytes"))
         )
-        names[v] = materialize(spread_join(keyed, groups, key, "n_convs", total).select("conv_id", "depth", "name", "last"))
-        nodes[v] = groups.select("depth", "name", "top", "n_convs", F.col("node_bytes").alias("bytes"))
+        names.put(v, spread_join(keyed, groups, key, "n_convs", total))
+        nodes.put(v, groups.withColumnRenamed("node_bytes", "bytes"))
+        discard(keyed)
+        discard(groups)
     return names, nodes
 
 
-def _all(tables: list[DataFrame]) -> DataFrame:
-    united = tables[0]
-    for more in tables[1:]:
-        united = united.unionByName(more)
-    return united
-
-
 def prefix_trie(turns: DataFrame, lengths: DataFrame) -> DataFrame:
     """The nodes (depth, conv_id, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends: sorted conv_ids) of the
     conversations of `lengths` (conv_id, length) with `turns` (conv_id, depth, digest, bytes, last)."""
     root, n_convs, deepest = lengths.agg(F.min("conv_id"), F.count(F.lit(1)), F.max("length")).first()
-    steps = max(1, int(deepest or 0).bit_length())
+    spark, steps = turns.sparkSession, max(1, int(deepest or 0).bit_length())
     names, nodes = named_levels(blocks(turns, deepest or 0), steps, root or 0, turns.count())
 
     # Parents: of an odd depth the top, else the name that the node's conversation has a depth above.
-    odd = nodes[0].withColumn("parent", F.col("top")).withColumn("v", F.lit(0))
-    above = names[0].select(F.col("conv_id").alias("name"), (F.col("depth") + 1).alias("depth"), F.col("name").alias("parent"))
-    tree = odd
-    if steps > 1:
-        even = _all([nodes[v].withColumn("v", F.lit(v)) for v in range(1, steps)])
-        tree = odd.unionByName(even.join(above, ["name", "depth"]))
-    tree = materialize(tree)
+    above = names.where("v = 0").select(F.col("conv_id").alias("name"), (F.col("depth") + 1).alias("depth"), F.col("name").alias("parent"))
+    odd = nodes.where("v = 0").withColumn("parent", F.col("top"))
+    tree = materialize(odd.unionByName(nodes.where("v > 0").join(above, ["name", "depth"])))
     children = materialize(tree.groupBy((F.col("depth") - 1).alias("depth"), F.col("parent").alias("name")).agg(F.count(F.lit(1)).alias("n_children")))
     tree = materialize(
         tree.join(children, ["depth", "name"], "left")
@@ -179,35 +181,30 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame) -> DataFrame:
 
     # Upwards: a tree of 2**v levels, complete by then, is grafted onto the node at its top.
     totals = [F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")]
-    within: list[DataFrame] = []
-    grafts: list[DataFrame] = []
+    columns = ["depth", "name", "leaves", "saved"]
+    within = Levels(spark, "depth long, name long, top long, leaves long, saved long")
+    grafts = Levels(spark, "depth long, name long, leaves long, saved long")
     for v in range(steps):
-        rows = tree.where(F.col("v") == v).select("depth", "name", "top", "leaves", "saved")
-        if grafts:
-            mine = _all(grafts).where((F.col("depth") > 0) & (power(F.col("depth")) == v)).groupBy("depth", "name").agg(*totals)
-            mine = mine.select("depth", "name", F.col("leaves").alias("more_leaves"), F.col("saved").alias("more_saved"))
-            rows = rows.join(mine, ["depth", "name"], "left").select(
-                "depth",
-                "name",
-                "top",
-                (F.col("leaves") + F.coalesce("more_leaves", F.lit(0))).alias("leaves"),
-                (F.col("saved") + F.coalesce("more_saved", F.lit(0))).alias("saved"),
-            )
-        within.append(materialize(rows))
-        grafts.append(materialize(within[v].groupBy((F.col("depth") - (1 << v)).alias("depth"), F.col("top").alias("name")).agg(*totals)))
-    whole_root = _all(grafts).where("depth = 0").agg(*totals)
+        rows = tree.where(power(F.col("depth")) == v).select(*columns, "top")
+        if v:
+            mine = grafts.where(f"v < {v}").where((F.col("depth") > 0) & (power(F.col("depth")) == v))
+            rows = rows.unionByName(mine, allowMissingColumns=True).groupBy("depth", "name").agg(*totals, F.max("top").alias("top"))
+        within.put(v, rows)
+        top = [(F.col("depth") - (1 << v)).alias("depth"), F.col("top").alias("name")]
+        grafts.put(v, within.where(f"v = {v}").groupBy(*top).agg(*totals))
+    whole_root = grafts.where("depth = 0").agg(*totals)
 
     # Downwards: what lies below a node's own tree hangs on the nodes at its next cut, which are whole by then.
-    full: list[DataFrame] = []
+    full = Levels(spark, "depth long, name long, leaves long, saved long")
     for v in reversed(range(steps)):
-        rows = within[v].select("depth", "name", "leaves", "saved")
-        if full:
-            cut = _all(full).select(F.col("name").alias("conv_id"), (F.col("depth") - (1 << v)).alias("depth"), "leaves", "saved")
-            below = cut.join(names[v].select("conv_id", "depth", "name"), ["conv_id", "depth"]).select("depth", "name", "leaves", "saved")
+        rows = within.where(f"v = {v}").select(*columns)
+        if v + 1 < steps:
+            cut = full.where(f"v > {v}").select(F.col("name").alias("conv_id"), (F.col("depth") - (1 << v)).alias("depth"), "leaves", "saved")
+            below = cut.join(names.where(f"v = {v}"), ["conv_id", "depth"]).select(*columns)
             rows = rows.unionByName(below).groupBy("depth", "name").agg(*totals)
-        full.append(materialize(rows))
+        full.put(v, rows)
 
-    ends = _all(names).where("last").select("conv_id", "depth", "name")
+    ends = names.where("last").select("conv_id", "depth", "name")
     ends = ends.unionByName(lengths.where("length = 0").select("conv_id", F.lit(0).cast("long").alias("depth"), F.lit(root).cast("long").alias("name")))
     ends = ends.groupBy("depth", "name").agg(F.sort_array(F.collect_list("conv_id")).alias("ends"))
 
@@ -221,7 +218,7 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame) -> DataFrame:
         .withColumn("saved", F.coalesce("saved", F.lit(0)))
     )
     columns = ["depth", "name", "parent", "n_convs", "n_children", "leaves", "saved"]
-    every = tree.drop("leaves", "saved").join(_all(full), ["depth", "name"]).select(*columns).unionByName(top.select(*columns))
+    every = tree.drop("leaves", "saved").join(full.where("true"), ["depth", "name"]).select(*columns).unionByName(top.select(*columns))
     return every.join(ends, ["depth", "name"], "left").select(
         F.col("name").alias("conv_id"),
         "depth",
