@@ -5,17 +5,19 @@ document of label 1 over one of label 0, by logistic loss on the difference of t
 threshold is a quantile of the scores: the share of label 0 among the labels. Scores are mapped to 0
 to 1 so that the threshold is `THRESHOLD`.
 
-The fit sees a bounded sample: at most `LABELLED` rows of each label (those whose ids hash lowest) and
-`PAIRS` pairs of them. The share of labels, and the threshold, are of all labelled rows that are not held
-out. Features, and scores, are of every whole text.
+The fit sees a bounded sample: at most `LABELLED` documents of each label (those whose ids hash lowest) and
+`PAIRS` pairs of them. The share of labels, and the threshold, are of all labelled documents that are not held
+out. Labels of documents that are not in the table count nowhere. Features, and scores, are of every whole text.
 
 Null texts are empty; all features of an empty text are 0 and it is scored like any other. Rows
-without an id are scored but never learnt from; labels of rows that repeat an id count once, the
-greater one. Without labels of both kinds every score is 0.5. An empty table gives an empty one.
+without an id are scored but never learnt from; rows that repeat an id are learnt from once, by the
+least features, and labels of one id count once, the greater one. Where the documents do not have labels
+of both kinds there is a warning and every score is 0.5. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -31,6 +33,8 @@ from holdfast.llm.common import lowest_hashes, map_batches, materialize, numbere
 LABELLED = 5000
 PAIRS = 200_000
 THRESHOLD = 0.3
+#: The score of everything where there is nothing to learn from.
+UNKNOWN = 0.5
 RIDGE = 1e-3
 SEED = 42
 #: Bits of a score that one histogram tells apart.
@@ -164,9 +168,8 @@ def number(ordinal: int) -> float:
     return float((raw ^ np.int64((1 << 63) - 1) if raw < 0 else raw).view(np.float64))
 
 
-def exact_threshold(rows: DataFrame, known: DataFrame, ranking: Ranking, counts: dict[int, int]) -> float:
-    """The quantile of the worths of all `rows` that `known` (doc_id, quality) has a label of, at the share
-    of label 0 in `counts`; each label weighs by its share, whatever number of rows it has.
+def exact_threshold(learned: DataFrame, ranking: Ranking, counts: dict[int, int]) -> float:
+    """The quantile of the worths of all rows of `learned` (quality, features), at the share of label 0 in `counts`.
 
     Histograms over the next `DIGIT` bits of the worths tell in which range the quantile lies, until the
     range is one number.
@@ -174,54 +177,52 @@ def exact_threshold(rows: DataFrame, known: DataFrame, ranking: Ranking, counts:
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
-        columns = [batch.column("doc_id"), pa.array(ordinals(ranking.worth(values)))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "worth"])
-
-    worths = map_batches(rows.where("doc_id is not null"), each, "doc_id long, worth long", rows=10_000)
-    scored = materialize(worths.join(known, "doc_id").select("worth", "quality"))
-    found = {row.quality: row["count"] for row in scored.groupBy("quality").count().collect()}
-    # Weights as integers: a share over a number of rows, times both numbers of rows and all labels.
-    good, bad = counts[1] * found[0], counts[0] * found[1]
-    wanted, below, inside = counts[0] * found[0] * found[1], 0, scored
+        columns = [pa.array(ordinals(ranking.worth(values))), batch.column("quality")]
+        return pa.RecordBatch.from_arrays(columns, ["worth", "quality"])
+
+    scored = materialize(map_batches(learned, each, "worth long, quality int", rows=10_000))
+    wanted, below, inside = counts[0], 0, scored
     for shift in range(64 - DIGIT, -1, -DIGIT):
         digit = F.shiftright("worth", shift)
-        histogram = inside.groupBy(digit.alias("digit")).agg(
-            F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")
-        )
-        for at, goods, bads in sorted(tuple(row) for row in histogram.collect()):
-            if below + goods * good + bads * bad >= wanted:
+        histogram = inside.groupBy(digit.alias("digit")).count()
+        for at, n in sorted(tuple(row) for row in histogram.collect()):
+            if below + n >= wanted:
                 break
-            below += goods * good + bads * bad
+            below += n
         inside = scored.where(digit == at)
     # As in `fit_pairs`: halfway to the row that sorts after the one that reaches the share.
-    last = below + goods * good + bads * bad - (bad if bads else good) < wanted
+    last = below + n == wanted
     above = scored.where(F.col("worth") > at).agg(F.min("worth")).first()[0] if last else None
     return (number(at) + number(at if above is None else above)) / 2
 
 
-def fit(rows: DataFrame, labels: DataFrame) -> Ranking | None:
-    """Learn from `rows` (doc_id, features) and `labels` (doc_id, quality), held-out ids aside."""
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, quality, features) of every document of `rows` (doc_id, features) that `labels` (doc_id, quality) tells of and
+    that is not held out, one row each: of rows that share an id, the one with the least features."""
     known = (
         labels.where("doc_id is not null and quality is not null")
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg((F.max("quality") > 0).cast("int").alias("quality"))
     )
-    counts = {row.quality: row["count"] for row in known.groupBy("quality").count().collect()}
+    return rows.join(known, "doc_id").groupBy("doc_id", "quality").agg(F.min("features").alias("features"))
+
+
+def fit(rows: DataFrame, labels: DataFrame) -> Ranking | None:
+    """Learn from `rows` (doc_id, features) and `labels` (doc_id, quality), held-out ids aside; None, and a warning, where
+    the documents do not have labels of both kinds."""
+    learned = materialize(labelled(rows, labels))
+    counts = {row.quality: row["count"] for row in learned.groupBy("quality").count().collect()}
     if set(counts) != {0, 1}:
+        warnings.warn(f"no quality ranking: labelled documents by label are {counts}, so every score is {UNKNOWN}", stacklevel=2)
         return None
-    sampled = [
-        lowest_hashes(known.where(F.col("quality") == kind), "doc_id", LABELLED).withColumn("quality", F.lit(kind))
-        for kind in (0, 1)
-    ]
-    chosen = sampled[0].union(sampled[1])
-    found = rows.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "features").limit(4 * LABELLED)
-    found = found.select("quality", "features").toPandas()
-    kinds = [np.array(found.features[found.quality == kind].tolist(), dtype=np.float64) for kind in (0, 1)]
-    if not len(kinds[0]) or not len(kinds[1]):
-        return None
+    kinds = []
+    for kind in (0, 1):
+        mine = learned.where(F.col("quality") == kind)
+        chosen = mine.join(F.broadcast(lowest_hashes(mine, "doc_id", LABELLED)), "doc_id").orderBy("doc_id")
+        kinds.append(np.array(chosen.select("features").toPandas().features.tolist(), dtype=np.float64))
     ranking = fit_pairs(kinds[1], kinds[0], counts[0] / (counts[0] + counts[1]))
-    return replace(ranking, threshold=exact_threshold(rows, known, ranking, counts))
+    return replace(ranking, threshold=exact_threshold(learned, ranking, counts))
 
 
 def score(docs: DataFrame, labels: DataFrame, row: Sequence[str] = ()) -> DataFrame:
@@ -232,7 +233,7 @@ def score(docs: DataFrame, labels: DataFrame, row: Sequence[str] = ()) -> DataFr
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
-        scores = ranking.score(values) if ranking else np.full(batch.num_rows, 0.5)
+        scores = ranking.score(values) if ranking else np.full(batch.num_rows, UNKNOWN)
         predicted = (scores >= THRESHOLD).astype(np.int32)
         columns = [*[batch.column(c) for c in row], batch.column("doc_id"), pa.array(scores), pa.array(predicted)]
         return pa.RecordBatch.from_arrays(columns, [*row, "doc_id", "score", "predicted"])

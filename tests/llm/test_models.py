@@ -1,10 +1,12 @@
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from holdfast.llm import html_blocks, html_extraction, pii, quality, recurrent, tagger
@@ -332,3 +334,58 @@ def test_pipeline_of_odd_documents(spark, odd_docs, no_docs, sf_dir, tmp_path):
             function(spark, docs, sf_dir).write.parquet(str(tmp_path / name / stage))
             docs = spark.read.parquet(str(tmp_path / name / stage))
         assert (docs.count() > 0) == (name == "odd")
+
+
+def separates(rows, labels):
+    """Share of pairs of held-out documents of either label that the scores order rightly."""
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    scores = {(r.doc_id): r.score for r in rows}
+    held = [(scores[i], known[i]) for i in scores if i in known and zlib.crc32(str(i).encode()) % 5 == 0]
+    good, bad = np.array([s for s, q in held if q]), np.array([s for s, q in held if not q])
+    return (good[:, None] > bad[None]).mean()
+
+
+def test_labels_of_absent_documents_do_not_crowd_out_the_others(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    absent = spark.range(10**9, 10**9 + 400_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    rows = quality.materialize(quality.document_features(docs))
+    assert quality.fit(rows, labels.unionByName(absent)) == quality.fit(rows, labels)
+    assert separates(quality.score(docs, labels.unionByName(absent)).collect(), labels) > 0.99
+
+
+def test_one_labelled_id_many_times(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    first = labels.where(~quality.held_out(F.col("doc_id"))).agg(F.min("doc_id")).first()[0]
+    copies = spark.range(20_000).select(F.lit(first).alias("doc_id"), F.concat(F.lit("x "), F.col("id").cast("string")).alias("text"))
+    found = quality.score(docs.unionByName(copies), labels).where(F.col("doc_id") != first)
+    assert separates(found.collect(), labels) > 0.99
+
+
+def test_no_ranking_is_told(spark, odd_docs, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = quality.materialize(quality.document_features(odd_docs))
+    with pytest.warns(UserWarning, match="no quality ranking"):
+        assert quality.fit(rows, labels.where("quality = 1")) is None
+
+
+def test_ranking_equals_brute_force(spark, sf_dir):
+    """Plain gradient descent on the same pairs finds the same weights; sorting all labelled worths the same threshold."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = quality.materialize(quality.document_features(docs))
+    ranking = quality.fit(rows, labels)
+    known = {r.doc_id: int(r.quality > 0) for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    texts = {r.doc_id: r.text or "" for r in docs.collect() if r.doc_id in known}
+    kinds = [np.array([quality.features(texts[i]) for i in sorted(texts) if known[i] == kind]) for kind in (0, 1)]
+    both = np.concatenate([kinds[1], kinds[0]])
+    mean, scale = both.mean(axis=0), np.where(both.std(axis=0) == 0, 1, both.std(axis=0))
+    bad, good = ((kind - mean) / scale for kind in kinds)
+    random = np.random.default_rng(quality.SEED)
+    pairs = good[random.integers(0, len(good), quality.PAIRS)] - bad[random.integers(0, len(bad), quality.PAIRS)]
+    weights = np.array(ranking.weights)
+    slope = -(pairs * (1 / (1 + np.exp(pairs @ weights)))[:, None]).mean(axis=0) + quality.RIDGE * weights
+    assert np.abs(slope).max() < 1e-5 and np.allclose(ranking.mean, mean) and np.allclose(ranking.scale, scale)
+    worths = np.sort((((both - mean) / scale) * weights).sum(axis=1))
+    assert np.isclose(ranking.threshold, (worths[len(bad) - 1] + worths[len(bad)]) / 2, atol=1e-9)
