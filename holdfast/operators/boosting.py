@@ -22,6 +22,8 @@ from holdfast.operators.encoding import (
     filled,
     is_complete,
 )
+from holdfast.operators.second_order import fit_second_order
+from holdfast.operators.trees import TreeModel, predict_trees
 from holdfast.runtime import use_checkpoints
 
 ENCODED, REFERENCE_PARITY = "encoded", "reference_parity"
@@ -66,14 +68,31 @@ def fit_trees(
     return Pipeline(stages=[trees]).fit(rows)
 
 
+def fit_regularised(
+    train: DataFrame,
+    features: Sequence[Feature],
+    label: str = values.TARGET,
+    max_iter: int = values.TREES,
+    max_depth: int = values.DEPTH,
+    step_size: float = values.LEARNING_RATE,
+    **options,
+) -> TreeModel:
+    """Second-order trees with L2-regularised leaves on the same table; missing values stay missing and each
+    split learns where they go. `options` go to `fit_second_order`."""
+    rows = feature_values(train.withColumn("label", quoted(label).cast("int")), features, ["label"])
+    return fit_second_order(rows, max_iter, max_depth, step_size, **options)
+
+
 def predict_values(
-    rows: DataFrame, model: PipelineModel, keep: Sequence[str] = (), fill: float | None = values.STAND_IN
+    rows: DataFrame, model: PipelineModel | TreeModel, keep: Sequence[str] = (), fill: float | None = values.STAND_IN
 ) -> DataFrame:
     """(kept columns, prediction 0/1, probability of class 1) for rows of feature `values`.
 
-    Trees need every value. A missing one counts as `fill`; with None its row gets a null
-    prediction and probability.
+    Spark's trees need every value. A missing one counts as `fill`; with None its row gets a null
+    prediction and probability. A `TreeModel` knows where missing ones go, whatever `fill` is.
     """
+    if isinstance(model, TreeModel):
+        return predict_trees(rows, model, [quoted(c) for c in keep])
     complete = F.lit(True) if fill is not None else is_complete(F.col("values"))
     vector = array_to_vector(filled(F.col("values"), fill or 0.0))
     scored = model.transform(
@@ -88,7 +107,7 @@ def predict_values(
 
 def predict(
     df: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | TreeModel,
     features: Sequence[Feature],
     keep: Sequence[str] = (),
     fill: float | None = values.STAND_IN,
@@ -119,7 +138,7 @@ def scoring_features(
 
 def score_table(
     df: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | TreeModel,
     features: Sequence[Feature],
     mode: str = ENCODED,
     keep: Sequence[str] = (),

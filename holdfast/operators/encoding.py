@@ -49,6 +49,8 @@ def category_levels(
 ) -> Levels:
     """The `level_table` as names, which columns are made from. With `max_levels`, a column with more
     is an error, found by a count before any level reaches the driver."""
+    if not columns:
+        return {}
     table = level_table(df, columns)
     if max_levels is not None:
         for row in table.groupBy("column").count().where(F.col("count") > max_levels).collect():

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from holdfast import values
 from holdfast.functions.numbers import known
 from holdfast.functions.readout import readout
-from holdfast.operators import boosting, cleaning, domain, encoding, envelope, holdout, metrics
+from holdfast.operators import boosting, cleaning, domain, encoding, envelope, holdout, metrics, quantiles, trees
 from holdfast.plans import fixtures, serving, training
 from holdfast.plans.fixtures import with_accounts
 from holdfast.runtime import scratch_path
@@ -825,6 +825,76 @@ def predict_event_stream(spark, sf_dir):
     return spark.read.parquet(out).select("request_id", F.round("probability", 6).alias("probability"))
 
 
+# Second-order trees on one number column with missing values: trees of depth 2 part its two numbers and the missing ones,
+# so the margin of each group follows from its number and share of churners.
+
+SECOND_ORDER_TREES = 30
+_TIER = "CASE Contract WHEN 'Month-to-month' THEN 0 WHEN 'One year' THEN 1 END"
+
+_SECOND_ORDER = (
+    _CONTRACT.replace("CAST(avg(Churn) AS DOUBLE) AS p", "CAST(avg(Churn) AS DOUBLE) AS p, count(*) AS n")
+    .replace(
+        _CONTRACT[_CONTRACT.index("steps AS (") : _CONTRACT.index("levels AS (")],
+        "steps AS (SELECT Contract, p, n, 0 AS i, CAST(0 AS DOUBLE) AS f FROM shares UNION ALL "
+        f"SELECT Contract, p, n, i+1, f+CAST({values.LEARNING_RATE} AS DOUBLE)*n*(p-1/(1+exp(-f)))/(n/(1+exp(-f))/(1+exp(f))+1) "
+        f"FROM steps WHERE i<{SECOND_ORDER_TREES}), ",
+    )
+    .replace("round(1/(1+exp(-2*f)), 6)", "round(1/(1+exp(-f)), 6)")
+    .replace(f"WHERE i={CATALOG_TREES})", f"WHERE i={SECOND_ORDER_TREES})")
+)
+
+
+@per_session
+def second_order_model(spark: SparkSession, sf_dir: str) -> training.Trained:
+    path = scratch_path(spark, "tiers")
+    accounts.write_table(_clean(spark, sf_dir).select("customerID", F.expr(_TIER).alias("tier"), "Churn"), path)
+    return training.train(
+        accounts.scan_clean(spark, path), categorical=[], second_order=True, max_iter=SECOND_ORDER_TREES, max_depth=2
+    )
+
+
+@register(with_accounts(_SECOND_ORDER.format("SELECT customerID, Churn, prediction, probability FROM held")))
+def second_order_scores(spark, sf_dir):
+    """Regularised leaf weights by value, and where missing numbers go."""
+    held = second_order_model(spark, sf_dir).holdout
+    return held.select("customerID", "Churn", "prediction", F.round("probability", 6).alias("probability"))
+
+
+@register(with_accounts("SELECT customerID, CAST(1 AS INT) AS same FROM accounts_raw"))
+def node_table_scores(spark, sf_dir):
+    """Do the shared model's nodes, as a stored table, give each account the score that the model gives it?"""
+    stored = trained(spark, sf_dir).stored
+    path = scratch_path(spark, "nodes")
+    found = trees.from_pipeline(stored.model, scratch_path(spark, "stage"))
+    trees.node_table(spark, found).write.parquet(path)
+    again = trees.from_nodes(spark.read.parquet(path).collect(), found.base, found.link)
+    features = boosting.scoring_features(_clean(spark, sf_dir), stored.features, keep=[values.ID])
+    rows = encoding.feature_values(features, stored.features, [values.ID])
+    rows = rows.withColumn("values", encoding.filled(F.col("values"), values.STAND_IN))
+    first = boosting.predict_values(rows, stored.model, [values.ID, "values"])
+    first = first.withColumnsRenamed({"probability": "first", "prediction": "first_class"})
+    both = trees.predict_trees(first, again, [F.col(values.ID), F.col("first"), F.col("first_class")])
+    same = (F.abs(both["first"] - both.probability) < 1e-9) & (both.first_class == both.prediction)
+    return both.select("customerID", F.coalesce(same.cast("int"), F.lit(0)).alias("same"))
+
+
+_NUMBERS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS cut FROM "
+        f"(SELECT DISTINCT {c} FROM lineitem WHERE {c} > (SELECT min({c}) FROM lineitem))"
+        for c in _NUMBERS
+    )
+)
+def quantile_cuts_lineitem(spark, sf_dir):
+    """Split candidates of columns with few values: all but the least."""
+    rows = fixtures.table(spark, sf_dir, "lineitem").select(F.array(*[F.col(c).cast("double") for c in _NUMBERS]).alias("values"))
+    cuts = quantiles.quantile_cuts(rows, 255)
+    return spark.createDataFrame([(_NUMBERS[i], cut) for i, found in cuts.items() for cut in found], "`column` string, cut double")
+
+
 _PADDED = "CASE WHEN customerID LIKE '%3' THEN concat(Contract, ' ') WHEN customerID LIKE '%5' THEN 'N/A' ELSE Contract END"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from holdfast.operators.envelope import (
     settle_missing,
     wanted_keys,
 )
+from holdfast.operators.trees import TreeModel
 from holdfast.sources.models import StoredModel
 
 RECORD = ["request_id", "position", "error"]
@@ -29,6 +32,8 @@ def score_records(
     """
     parsed = parse_requests(requests, *wanted_keys(stored.features, mode))
     aligned = align_requests(parsed, stored.features, mode)
+    if isinstance(stored.model, TreeModel):
+        fill = math.nan  # which its trees take as missing
     settled = settle_missing(aligned, stored.features, fill)
     scored = predict_values(settled, stored.model, RECORD, fill=0.0)
     return scored.selectExpr(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from holdfast import values
-from holdfast.operators.boosting import fit_trees, predict
+from holdfast.operators.boosting import fit_regularised, fit_trees, predict
 from holdfast.operators.cleaning import clean_accounts, missing_texts_to_null
 from holdfast.operators.encoding import category_levels, columns_with_missing, encode_align, manifest
 from holdfast.operators.holdout import TEST, TRAIN, stratified_split
@@ -36,24 +36,30 @@ def train(
     test_size: float = values.TEST_SIZE,
     seed: int = values.SEED,
     fill: float | None = values.STAND_IN,
+    second_order: bool = False,
     **options,
 ) -> Trained:
     """Levels over the whole table, exact split, fit on one side, scores of the other.
 
     `clean` is read a few times, by few columns each: give it as a columnar table. Number columns
     with missing values get an indicator of them, and those values count as `fill`, below all
-    others unless given; with None they fail the fit. Without a `key` the whole row decides
-    its side. `options` go to `fit_trees`.
+    others unless given; with None they fail the fit. With `second_order` they stay missing instead, without
+    an indicator, and the trees are those of `fit_regularised`. Without a `key` the whole row decides
+    its side. `options` go to the fit.
     """
     rows = missing_texts_to_null(clean, categorical)
     levels = category_levels(rows, categorical)
     numbers = [c for c in rows.columns if c not in {label, key, *levels}]
-    missing = [] if fill is None else columns_with_missing(rows, numbers)
+    missing = [] if fill is None or second_order else columns_with_missing(rows, numbers)
     features = manifest(rows.columns, levels, label, key, missing)
     split = stratified_split(rows, label, key, test_size, seed)
     kept = [label] if key is None else [key, label]
     encoded = encode_align(split, features, keep=[*kept, "split"])
-    model = fit_trees(encoded.where(encoded.split == TRAIN), features, label, seed=seed, fill=fill, **options)
+    known = encoded.where(encoded.split == TRAIN)
+    if second_order:
+        model = fit_regularised(known, features, label, **options)
+    else:
+        model = fit_trees(known, features, label, seed=seed, fill=fill, **options)
     holdout = predict(encoded.where(encoded.split == TEST), model, features, kept, fill)
     return Trained(StoredModel(model, features), holdout, split)
 

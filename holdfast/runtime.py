@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -65,12 +67,59 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         stream.close()
 
 
+def publish(spark: SparkSession, path: str, content: bytes) -> None:
+    """Put `content` at `path` in one step: readers find the older file or the new one, never a part of it."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    aside, place = fs.Path(f"{path}.{uuid.uuid4().hex}"), fs.Path(path)
+    write_bytes(spark, aside.toString(), content)
+    overwrite = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(fs, "Options$Rename").OVERWRITE
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    context = fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(aside, place, overwrite)
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes | None:
+    """What a small file holds, or None where there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_shipped: set[str] = set()
+_PACKAGE = os.path.dirname(os.path.abspath(__file__))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application, from the shared folder."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as package:
+        for folder, _, names in os.walk(_PACKAGE):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    package.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
+    path = os.path.join(shared_dir(spark), "holdfast", application, "package.zip")
+    write_bytes(spark, path, archive.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove, at the end, the folders that `scratch_path` named within; results must be written by then."""
