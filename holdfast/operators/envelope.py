@@ -39,28 +39,32 @@ def _marker(text: Column) -> Column:
     return F.hex(F.xxhash64(text))
 
 
-def _parse(text: Column, names: Sequence[str], texts: Sequence[str] = ()) -> Column:
+def _parse(text: Column, names: Sequence[str] | None, texts: Sequence[str] = ()) -> Column:
     """A JSON list of objects, or one object as a list of one, framed as [[objects], [marker]].
 
     The keys `names` become variants, which tell absent, null, number and text apart; the keys
     `texts` become strings, for which absent and null are one. Other keys are skipped.
+    Without `names` an object is a map of all its keys to variants.
     Spark's parser stops at the end of the first value; the marker, which holds the text's own
     hash, only comes out again when nothing in the text closed the frame early.
     """
     end = F.concat(F.lit(f',[{{"{_END}":"'), _marker(text), F.lit('"}]]'))
     objects = F.when(_is_list(text), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-    fields = [T.StructField(n, T.VariantType()) for n in names]
-    fields += [T.StructField(n, T.StringType()) for n in [*texts, _END]]
-    frame = T.ArrayType(T.ArrayType(T.StructType(fields)))
+    if names is None:
+        record = T.MapType(T.StringType(), T.VariantType())
+    else:
+        fields = [T.StructField(n, T.VariantType()) for n in names]
+        record = T.StructType(fields + [T.StructField(n, T.StringType()) for n in [*texts, _END]])
+    frame = T.ArrayType(T.ArrayType(record))
     return F.from_json(F.concat(F.lit("["), objects, end), frame, {"allowSingleQuotes": "false"})
 
 
-def _objects(text: Column, names: Sequence[str], texts: Sequence[str] = ()) -> Column:
-    """The objects of a text as structs; null when it is malformed."""
+def _objects(text: Column, names: Sequence[str] | None, texts: Sequence[str] = ()) -> Column:
+    """The objects of a text as structs, or maps; null when it is malformed."""
 
     def checked(parsed: Column) -> Column:
         last = F.get(F.get(parsed, F.lit(1)), F.lit(0))
-        return F.when((F.size(parsed) == 2) & (last[_END] == _marker(text)), F.get(parsed, F.lit(0)))
+        return F.when((F.size(parsed) == 2) & (last[_END].cast("string") == _marker(text)), F.get(parsed, F.lit(0)))
 
     return _let(_parse(text, names, texts), checked)
 
@@ -85,9 +89,10 @@ def unwrap_body(requests: DataFrame) -> DataFrame:
     return requests.withColumn("payload", _payload(F.col("value")))
 
 
-def parse_requests(requests: DataFrame, names: Sequence[str], texts: Sequence[str] = ()) -> DataFrame:
+def parse_requests(requests: DataFrame, names: Sequence[str] | None, texts: Sequence[str] = ()) -> DataFrame:
     """(request_id, records, error): records are structs of the wanted keys, `names` as variants
-    and `texts` as strings, null where a key is absent. There are none after an error."""
+    and `texts` as strings, null where a key is absent; or, with `names` None, maps of all keys
+    to variants. There are none after an error."""
     kind = F.col("content_type")
     foreign = F.concat(F.lit("Unsupported content type: "), F.coalesce(kind, F.lit("None")))
 

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from holdfast import values
 from holdfast.functions.numbers import known
 from holdfast.functions.readout import readout
-from holdfast.operators import boosting, cleaning, domain, encoding, envelope, holdout, metrics, quantiles, trees
+from holdfast.operators import boosting, cleaning, domain, encoding, envelope, holdout, metrics, quantiles, sparse, trees
 from holdfast.plans import fixtures, serving, training
 from holdfast.plans.fixtures import with_accounts
-from holdfast.runtime import scratch_path
+from holdfast.runtime import materialize, scratch_path
 from holdfast.sources import accounts, models, requests
 from holdfast.streaming import scorer
 
@@ -391,6 +391,62 @@ def encode_align(spark, sf_dir):
     return encoding.encode_align(changed, _manifest(clean), [values.ID])
 
 
+_LINES = "(SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_partkey AS VARCHAR) AS l_partkey, l_returnflag FROM lineitem)"
+_LINE_LEVELS = (
+    f"parts AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS i FROM (SELECT DISTINCT l_partkey AS level FROM {_LINES})), "
+    f"flags AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS i FROM (SELECT DISTINCT l_returnflag AS level FROM {_LINES})), "
+    "n AS (SELECT (SELECT count(*) FROM parts) AS n_parts, (SELECT count(*) FROM flags) AS n_flags)"
+)
+
+
+def _line_manifest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    columns = ["l_partkey", "l_returnflag"]
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", *columns)
+    lines = lines.withColumn("l_partkey", F.col("l_partkey").cast("string"))
+    return lines, materialize(sparse.manifest_table(lines.columns[2:], columns, encoding.level_table(lines, columns)))
+
+
+@register(
+    f"WITH {_LINE_LEVELS} SELECT CAST(0 AS INT) AS position, 'l_quantity' AS name, 'l_quantity' AS source, CAST(NULL AS VARCHAR) AS level "
+    "UNION ALL SELECT CAST(i AS INT), concat('l_partkey_', level), 'l_partkey', level FROM parts WHERE i > 0 "
+    "UNION ALL SELECT CAST(n_parts - 1 + i AS INT), concat('l_returnflag_', level), 'l_returnflag', level FROM flags, n WHERE i > 0"
+)
+def manifest_lineitem(spark, sf_dir):
+    """A manifest of thousands of features, none through the driver."""
+    return _line_manifest(spark, sf_dir)[1].select("position", "name", "source", "level")
+
+
+@register(
+    f"WITH {_LINE_LEVELS} SELECT l_orderkey, l_linenumber, CAST(n_parts - 1 + n_flags AS INT) AS size, "
+    "concat_ws(',', 0, CASE WHEN p.i > 0 THEN p.i END, CASE WHEN f.i > 0 THEN n_parts - 1 + f.i END) AS indices, "
+    "CAST(l_quantity AS DOUBLE) + CASE WHEN p.i > 0 THEN 1 ELSE 0 END + CASE WHEN f.i > 0 THEN 1 ELSE 0 END AS total "
+    f"FROM {_LINES} JOIN parts p ON p.level = l_partkey JOIN flags f ON f.level = l_returnflag, n"
+)
+def encode_sparse_lineitem(spark, sf_dir):
+    """Thousands of levels by one lookup a column."""
+    lines, table = _line_manifest(spark, sf_dir)
+    found = sparse.encode_sparse(lines, table, ["l_orderkey", "l_linenumber"])
+    return found.select(
+        "l_orderkey",
+        "l_linenumber",
+        "features.size",
+        F.array_join(F.col("features.indices").cast("array<string>"), ",").alias("indices"),
+        F.aggregate("features.values", F.lit(0.0), lambda a, v: a + v).alias("total"),
+    )
+
+
+@register(ORACLES["encode_align"])
+def encode_align_by_lookup(spark, sf_dir):
+    """Stored levels, as a table, on a table with a level that they do not know."""
+    clean = _clean(spark, sf_dir)
+    table = materialize(sparse.manifest_table(clean.columns, values.CATEGORICAL, encoding.level_table(clean)))
+    found = sparse.encode_sparse(clean.withColumn("Contract", F.expr(_UNSEEN)), table, [values.ID])
+    numbers = sparse.dense(F.col("features"))
+    types = encoding.encode_align(clean, _manifest(clean)).schema
+    columns = [F.get(numbers, F.lit(i)).cast(types[name].dataType).alias(name) for i, name in enumerate(FEATURES)]
+    return found.select(values.ID, *columns)
+
+
 # Split.
 
 
@@ -528,6 +584,17 @@ def align_requests(spark, sf_dir):
     return envelope.spread_values(records, features).drop("error")
 
 
+@register(ORACLES["align_requests"])
+def align_requests_by_keys(spark, sf_dir):
+    """The same by looking up the keys that records have in a manifest that is a table."""
+    clean = _clean(spark, sf_dir)
+    table = sparse.manifest_table(clean.columns, values.CATEGORICAL, encoding.level_table(clean))
+    parsed = envelope.parse_requests(fixtures.requests_raw(spark, sf_dir), None)
+    records = sparse.align_sparse(parsed, materialize(table)).where("position is not null")
+    rows = records.select("request_id", "position", "error", sparse.dense(F.col("features")).alias("values"))
+    return envelope.spread_values(rows, _manifest(clean)).drop("error")
+
+
 _ERROR = "CASE WHEN k%61=0 THEN 'Unsupported content type: text/csv' WHEN k%8=7 THEN 'malformed JSON' END"
 _STRICT_ERROR = _ERROR.replace(" END", " WHEN k%8=6 THEN 'missing value: tenure' END")
 
