@@ -1,8 +1,9 @@
 """Exact stratified holdout in narrow scans, whatever the size or number of classes.
 
 Rows are ordered by a seeded digest of their key. A histogram over the first digest digits tells in
-which small range each class reaches its quota; only that range is looked at row by row, to
-find the cutoff digest. Quotas, histograms and cutoffs are tables. Marking a row is a lookup of the
+which small range each class reaches its quota; what is left there is counted by digest, and cut by further
+digits in the same way until no class has more than 65,536 digests, which are looked at one by one to
+find the cutoff. So no window is longer than that. Quotas, histograms and cutoffs are tables. Marking a row is a lookup of the
 cutoff of its class.
 """
 
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from holdfast.functions.numbers import quoted
 from holdfast.runtime import materialize
 
-DIGITS = 4  # hex digits of the histogram: at most 65,536 ranges per class
+DIGITS = 4  # hex digits of a histogram: at most 65,536 ranges per class
+DIGEST = 32  # hex digits of a digest
 COPIES_PER_TASK_ROW = 100_000
 
 TRAIN, TEST = "train", "test"
@@ -78,11 +80,18 @@ def _reached(table: DataFrame, position: str) -> DataFrame:
 def _cutoffs(rows: DataFrame, needed: DataFrame) -> DataFrame:
     """(label, cut, taken, n): the last digest of each label of `needed` (label, needed > 0) that gets
     training rows: `taken` of the n rows (label, digest) that share it."""
-    prefix = F.substring("digest", 1, DIGITS)
-    counts = rows.groupBy("label", prefix.alias("prefix")).agg(F.count("*").alias("n"))
-    ranges = materialize(_reached(counts.join(needed, "label"), "prefix")).drop("n")
-    inside = rows.withColumn("prefix", prefix).join(ranges, ["label", "prefix"])
-    tally = inside.groupBy("label", "digest", "needed").agg(F.count("*").alias("n"))
+    inside, digits = rows.withColumn("n", F.lit(1).cast("bigint")), 0
+    while True:
+        digits = min(DIGEST, digits + DIGITS)
+        prefix = F.substring("digest", 1, digits)
+        counts = inside.groupBy("label", prefix.alias("prefix")).agg(F.sum("n").alias("n"))
+        ranges = materialize(_reached(counts.join(needed, "label"), "prefix")).drop("n")
+        within = inside.withColumn("prefix", prefix).join(ranges, ["label", "prefix"])
+        tally = materialize(within.groupBy("label", "digest", "needed").agg(F.sum("n").alias("n")))
+        longest = tally.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+        if longest <= 16**DIGITS or digits == DIGEST:
+            break
+        inside, needed = tally.select("label", "digest", "n"), ranges.select("label", "needed")
     found = _reached(tally, "digest")
     return materialize(found.select("label", F.col("digest").alias("cut"), F.col("needed").alias("taken"), "n"))
 

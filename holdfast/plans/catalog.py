@@ -191,6 +191,40 @@ def scan_request_lines(spark, sf_dir):
     return requests.scan_requests(spark, path).select("content_type", "value")
 
 
+@register(with_accounts("SELECT value, count(*) AS copies, count(*) AS ids, CAST(1 AS INT) AS same FROM "
+                        "(SELECT value FROM requests_raw UNION ALL SELECT value FROM requests_raw WHERE request_id % 3 = 0) GROUP BY value"))
+def request_line_ids(spark, sf_dir):
+    """Do lines, some of them repeated, get ids of their own, and the same ones however their files are split?"""
+    path = scratch_path(spark, "repeated_lines")
+    lines = fixtures.requests_raw(spark, sf_dir)
+    lines.unionByName(lines.where("request_id % 3 = 0")).select("value").coalesce(1).write.text(path)
+    size = "spark.sql.files.maxPartitionBytes"
+    first = materialize(requests.scan_requests(spark, path))
+    before = spark.conf.get(size)
+    spark.conf.set(size, "50000")
+    again = materialize(requests.scan_requests(spark, path))
+    spark.conf.set(size, before)
+    known_again = again.select("request_id", F.col("value").alias("_value"))
+    both = first.join(known_again, "request_id", "left")
+    same = F.coalesce((F.col("value") == F.col("_value")).cast("int"), F.lit(0))
+    return both.groupBy("value").agg(
+        F.count(F.lit(1)).alias("copies"), F.countDistinct("request_id").alias("ids"), F.min(same).alias("same")
+    )
+
+
+@register(with_accounts("SELECT * FROM accounts_raw"))
+def scan_accounts_mixed(spark, sf_dir):
+    """A folder of files with different orders of columns, and others beside them."""
+    path = scratch_path(spark, "mixed")
+    raw = fixtures.accounts_raw(spark, sf_dir)
+    digit = F.substring("customerID", -1, 1).cast("int") % 3
+    for i, columns in enumerate([raw.columns, raw.columns[::-1], [*raw.columns[5:], "more", *raw.columns[:5]]]):
+        part = raw.where(digit == i).withColumn("more", F.lit("x")).select(*columns)
+        writer = part.write.mode("append").option("header", True)
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return accounts.scan_accounts(spark, path)
+
+
 # Cleaning.
 
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from holdfast.operators import holdout
 from holdfast.operators.holdout import stratified_split, train_quotas
 from holdfast.plans import fixtures
 from pyspark.sql import functions as F
@@ -111,3 +112,16 @@ def test_marking_looks_a_few_cutoffs_up(table):
     plan = stratified_split(table, "Churn", "customerID")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hash" not in plan and "Window" not in plan and plan.count("SortMergeJoin") == 0
     assert "BroadcastHashJoin [label" in plan
+
+
+@pytest.mark.parametrize("digits", [1, 2])
+def test_small_windows_give_the_same_sides(spark, sf_dir, monkeypatch, digits):
+    """Ranges are cut by further digits until each has at most 16**digits digests; a key that a third of the rows has too."""
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("key"), "id", (F.col("id") % 5 == 0).cast("int").alias("y"))
+    whole = sorted(holdout.stratified_split(rows, "y", "key").collect())
+    monkeypatch.setattr(holdout, "DIGITS", digits)
+    lengths = []
+    reached = holdout._reached
+    monkeypatch.setattr(holdout, "_reached", lambda table, position: lengths.append(table.groupBy("label").count().agg(F.max("count")).first()[0] or 0) or reached(table, position))
+    assert sorted(holdout.stratified_split(rows, "y", "key").collect()) == whole
+    assert max(lengths) <= 16**digits
