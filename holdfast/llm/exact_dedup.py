@@ -5,12 +5,13 @@ range-partitioned by the first bytes of that text, its hash and a salt, with spl
 samples; sorted within partitions, so that equal texts are neighbours; and compared whole with
 their neighbours, where the smallest doc_id of a run stays.
 
-A text that many rows share is salted, so that no task gets more than about a quarter of a partition's
-rows of it. Its runs are joined up by an aggregate over its rows alone, with map-side combine; at
+A text that many rows share is salted by the number of the row, so that no task gets more than about a quarter of a
+partition's rows of it, whatever their ids. Its runs are joined up by an aggregate over its rows alone, with map-side combine; at
 most four texts per partition can be that frequent, which bounds the broadcast.
 
-Null texts equal empty ones. Of rows that repeat the smallest doc_id one stays; a null doc_id
-stays only where no other is in the group. An empty table gives an empty one. Other columns are
+Null texts equal empty ones. Of rows that repeat the smallest doc_id the first one stays; a null doc_id
+stays only where no other is in the group. Row numbers are those of a scan, so `docs` must be read in the same order
+each time, as a stored table is. An empty table gives an empty one. Other columns are
 carried along, whatever their names.
 """
 
@@ -33,7 +34,9 @@ def sorted_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     """(row: the input row, keep_id, group_size, kept, text_sha256), one per row of `docs`."""
     n = partitions(docs.sparkSession)
     frequent = max(50, docs.count() // (4 * n))
-    rows = docs.select(F.struct("*").alias("row"))
+    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at"))
+    # Rows of a group stay in the order of this: ids first, then the row's number.
+    rank = F.struct(F.col("row")[id].isNull().alias("absent"), F.col("row")[id].alias("id"), "at")
     content = normalized(F.col("row")[text])
     hashed = rows.withColumn("hash", F.xxhash64(content))
     counts = hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > frequent)
@@ -43,32 +46,31 @@ def sorted_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     totals = (
         hashed.join(salts, "hash")
         .groupBy(content.alias("content"))
-        .agg(F.min(F.col("row")[id]).alias("least"), F.count(F.lit(1)).alias("rows"))
+        .agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("rows"))
         .select(F.sha2("content", 256).alias("text_sha256"), "least", "rows")
     )
 
-    salt = F.pmod(F.xxhash64(F.col("row")[id]), F.coalesce("salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64("at"), F.coalesce("salts", F.lit(1)))
     ranged = (
         hashed.join(salts, "hash", "left")
-        .select("row", F.substring(content, 1, PREFIX).alias("prefix"), "hash", salt.alias("salt"))
+        .select("row", "at", F.substring(content, 1, PREFIX).alias("prefix"), "hash", salt.alias("salt"))
         .repartitionByRange(n, "prefix", "hash", "salt")
         .withColumn("content", content)
     )
-    run = Window.partitionBy("prefix", "hash", "salt", "content").orderBy(F.col("row")[id].asc_nulls_last())
-    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = Window.partitionBy("prefix", "hash", "salt", "content")
     runs = ranged.select(
         "row",
-        F.min(F.col("row")[id]).over(whole).alias("run_least"),
+        "at",
+        F.min(rank).over(whole).alias("run_least"),
         F.count(F.lit(1)).over(whole).alias("run_rows"),
-        F.row_number().over(run).alias("place"),
         F.sha2("content", 256).alias("text_sha256"),
     )
     keep = F.coalesce("least", "run_least")
     return runs.join(F.broadcast(totals), "text_sha256", "left").select(
         "row",
-        keep.alias("keep_id"),
+        keep["id"].alias("keep_id"),
         F.coalesce("rows", "run_rows").alias("group_size"),
-        ((F.col("place") == 1) & F.col("row")[id].eqNullSafe(keep)).alias("kept"),
+        (F.col("at") == keep["at"]).alias("kept"),
         "text_sha256",
     )
 

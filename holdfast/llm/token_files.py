@@ -15,6 +15,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from holdfast.llm.common import arrow_rows, map_batches, materialize, partitions, running_total
 from holdfast.llm.words import encoder
@@ -56,10 +57,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     """Encode `docs` (doc_id, text) into token files below `path`.
 
     The texts are range-partitioned and sorted by doc_id first (the sampling pass reads that column
-    alone), and each task encodes its range as a stream of batches.
+    alone), and each task encodes its range as a stream of batches. Rows that share an id, or have none, are dealt on
+    by their number in the scan, so that they fill several ranges if they are many.
     """
-    n = partitions(docs.sparkSession)
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    n, order = partitions(docs.sparkSession), ["doc_id", "_at"]
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_at"))
+    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     with arrow_rows(docs.sparkSession, ROWS):
         encode_documents(ordered, tokenizer, end_id).write.options(**LAYOUT).parquet(path)
 

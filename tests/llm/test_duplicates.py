@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from check import rows as comparable
 from holdfast.llm import embedding_dedup, exact_dedup, registry, simhash, substring_dedup
@@ -271,3 +272,22 @@ def test_shared_passages(spark, monkeypatch, frequent, small):
         docs.append((i, " ".join(words)))
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     assert passages(table) == brute_passages(docs)
+
+
+@pytest.mark.parametrize("id", [None, 7])
+def test_equal_texts_without_ids_of_their_own_are_spread(spark, tmp_path, id):
+    """40,000 equal texts with null ids, or one id, are in many tasks, and one row of them stays."""
+    path = str(tmp_path / "docs")
+    same = spark.range(40_000).select(F.lit(id).cast("long").alias("doc_id"), F.lit("the  same").alias("text"), "id")
+    other = spark.createDataFrame([(9, "else", 0), (8, "the same", 1)], "doc_id long, text string, id long")
+    same.unionByName(other).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = spark.read.parquet(path)
+    found = exact_dedup.sorted_groups(docs)
+    tasks = found.where("row.text = 'the  same'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    kept = found.where("kept").select("row.doc_id", "row.text", "group_size").collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) >= 4 and max(row["count"] for row in tasks) <= 40_000 / 2
+    least = 8 if id is None else 7
+    assert sorted(tuple(row) for row in kept) == [(least, "the same" if id is None else "the  same", 40_001), (9, "else", 1)]
+    assert exact_dedup.drop_copies(docs).count() == 2

@@ -9,6 +9,8 @@ import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from holdfast.llm import bpe, packing, token_files, words
 
 PARTS = [*" \n\tab'sé1２.,<>|漢😀\r\x1c\x85\xa0​՘", "<|endoftext|>", "  ", "'ll"]
@@ -183,3 +185,17 @@ def test_packing_puts_like_documents_together(spark, tokenizer):
     pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer, 1, 512).collect()
     order = [r.doc_id % 3 for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)) if r.start == 0]
     assert sum(a != b for a, b in zip(order, order[1:])) < 12
+
+
+def test_documents_without_ids_fill_several_files(spark, tokenizer, tmp_path):
+    docs = spark.range(8000).select(F.when(F.col("id") < 10, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    source, path = str(tmp_path / "docs"), str(tmp_path / "tokens")
+    docs.write.parquet(source)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    token_files.write_token_files(spark.read.parquet(source), path, tokenizer, end_id=2)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = token_files.read_token_files(spark, path).groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 6 and max(row["count"] for row in files) < 3000
+    rows = token_files.token_index(spark, path).orderBy("start").collect()
+    assert len(rows) == 8000 and sum(row.n_tokens for row in rows[:-1]) == rows[-1].start
+    assert [row.doc_id for row in rows[-10:]] == list(range(10))
