@@ -1,8 +1,8 @@
 """A character tagger: bidirectional LSTM with CRF transitions, in numpy.
 
 Tags are 0 (nothing) and one per kind. A kind follows itself or 0 only. Texts of any length are cut into
-windows that overlap; each window is decoded on its own, and every character takes the tag of
-the window in which it is farther from an edge.
+windows that overlap; every character takes the scores of the window in which it is farther from an edge, and the
+best path is that of the whole text.
 """
 
 from __future__ import annotations
@@ -181,12 +181,31 @@ def best_tags(emitted: np.ndarray, moves: np.ndarray) -> np.ndarray:
     return path.T
 
 
+def certainty(moves: np.ndarray) -> float:
+    """By how much the score of tag 0 must exceed all others at a character for every best path to have it there: what a
+    path could gain at most by its transitions into and out of another tag."""
+    gains = [
+        moves[a, k] + moves[k, b] - moves[a, 0] - moves[0, b] for k in range(1, len(moves)) for a in (0, k) for b in (0, k)
+    ]
+    return max(0.0, *gains)
+
+
 def tag_texts(narrow: dict[str, np.ndarray], texts: list[str]) -> list[np.ndarray]:
-    """The tag of every character of each text."""
+    """The tag of every character of each text, by the best path over the whole text.
+
+    Every character is scored in the window in which it is farther from an edge. Where tag 0 is certain the path is cut,
+    as it passes there whatever is on either side; the pieces between such characters are decoded, across all seams.
+    """
     stride, margin = WINDOW - OVERLAP, OVERLAP // 2
+    moves = narrow["moves"]
+    sure = certainty(moves)
+    # A run of a kind is worth its characters' scores and stays, above those of nothing, less the price of entering and leaving:
+    # pieces whose characters cannot pay the least price hold nothing.
+    stay = np.diag(moves)[1:] - moves[0, 0]
+    price = max(0.0, float((np.diag(moves)[1:] + moves[0, 0] - moves[0, 1:] - moves[1:, 0]).min()))
     coded = [numbers(text) for text in texts]
     places = [(i, start) for i, code in enumerate(coded) for start in range(0, max(1, len(code) - OVERLAP), stride)]
-    out = [np.zeros(len(code), np.int8) for code in coded]
+    scored: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in texts]
     places.sort(key=lambda place: min(WINDOW, len(coded[place[0]]) - place[1]))  # windows of like length together
     for a in range(0, len(places), ROWS):
         part = places[a : a + ROWS]
@@ -197,10 +216,38 @@ def tag_texts(narrow: dict[str, np.ndarray], texts: list[str]) -> list[np.ndarra
         for row, (i, start) in enumerate(part):
             piece = coded[i][start : start + WINDOW]
             windows[row, : len(piece)] = piece
-        tags = best_tags(scores(narrow, windows), narrow["moves"])
-        for row, (i, start) in enumerate(part):
+        emitted = scores(narrow, windows)
+        unsure = emitted[:, :, 0] - emitted[:, :, 1:].max(axis=2) <= sure
+        for row in np.flatnonzero(unsure.any(axis=0)):
+            i, start = part[row]
             end = min(start + WINDOW, len(coded[i]))
             first = margin if start else 0
             last = end - start if end == len(coded[i]) else end - start - margin
-            out[i][start + first : start + last] = tags[row, first:last]
+            found = first + np.flatnonzero(unsure[first:last, row])
+            if len(found):
+                scored[i].append((start, start + found, emitted[found, row]))
+    out = [np.zeros(len(code), np.int8) for code in coded]
+    pieces: list[tuple[int, int, np.ndarray]] = []
+    for i, windows in enumerate(scored):
+        if windows:
+            windows.sort(key=lambda window: window[0])
+            at, emitted = (np.concatenate([window[j] for window in windows]) for j in (1, 2))
+            starts = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+            ends = np.r_[starts[1:], len(at)]
+            worth = np.add.reduceat(np.maximum((emitted[:, 1:] - emitted[:, :1] + stay).max(axis=1), 0), starts)
+            pieces += [(i, int(at[a]), emitted[a:b]) for a, b in zip(starts[worth > price], ends[worth > price])]
+    pieces.sort(key=lambda piece: len(piece[2]))
+    done = 0
+    while done < len(pieces):
+        # Pieces of like length together, in as many rows as a batch of windows has characters for.
+        rows = max(1, WINDOW * ROWS // (len(pieces[min(len(pieces), done + ROWS) - 1][2]) + 2))
+        part = pieces[done : done + min(rows, ROWS)]
+        done += len(part)
+        nothing = np.array([0, *[NEVER] * (len(narrow["moves"]) - 1)], np.float32)
+        emitted = np.tile(nothing, (len(part[-1][2]) + 2, len(part), 1))
+        for row, (_, _, found) in enumerate(part):
+            emitted[1 : len(found) + 1, row] = found
+        tags = best_tags(emitted, narrow["moves"])
+        for row, (i, start, found) in enumerate(part):
+            out[i][start : start + len(found)] = tags[row, 1 : len(found) + 1]
     return out

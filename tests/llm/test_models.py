@@ -389,3 +389,96 @@ def test_ranking_equals_brute_force(spark, sf_dir):
     assert np.abs(slope).max() < 1e-5 and np.allclose(ranking.mean, mean) and np.allclose(ranking.scale, scale)
     worths = np.sort((((both - mean) / scale) * weights).sum(axis=1))
     assert np.isclose(ranking.threshold, (worths[len(bad) - 1] + worths[len(bad)]) / 2, atol=1e-9)
+
+
+@pytest.fixture(scope="module")
+def large_model(spark):
+    return pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def valid_card(numbers):
+    digits = [numbers.randrange(10) for _ in range(15)]
+    return next(card for c in range(10) if luhn(card := "".join(map(str, [*digits, c]))))
+
+
+def test_other_spellings_are_found(spark, large_model):
+    """Spellings that the rules miss, in plain text: at least half of each kind, and nothing beside them."""
+    numbers = random.Random(7)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id >= 6000 and length(text) > 300")
+    texts = [row.text for row in docs.orderBy("doc_id").limit(1500).collect()]
+    plain = [text for text, (base, spans) in zip(texts, pii.spans_of(texts, large_model.narrow())) if not spans]
+    assert len(plain) > 1300  # most documents have no personal data, and none is seen in them
+
+    def grouped(card, gap):
+        return gap.join(card[i : i + 4] for i in range(0, 16, 4))
+
+    spellings = {
+        "card": [grouped(valid_card(numbers), " ") + " " + grouped(valid_card(numbers), " ") for _ in range(400)],
+        "dotted": [grouped(valid_card(numbers), ".") for _ in range(200)],
+        "email": [f"ann{numbers.randrange(99)} (at) mail{numbers.randrange(9)} dot example dot org" for _ in range(200)],
+        "ip": ["[.]".join(str(numbers.randrange(256)) for _ in range(4)) for _ in range(200)],
+        "phone": [f"(0{numbers.randrange(10, 99)}) 555-{numbers.randrange(1000, 9999)}" for _ in range(200)],
+    }
+    for kind, written in spellings.items():
+        places = [text.index(" ", 60) + 1 for text in plain[: len(written)]]
+        whole = [text[:at] + new + " " + text[at:] for text, at, new in zip(plain, places, written)]
+        found = list(pii.spans_of(whole, large_model.narrow()))
+        assert not any(base for base, _ in found)
+        inside = sum(all(at <= a < b <= at + len(new) for _, a, b in spans) for (_, spans), at, new in zip(found, places, written))
+        assert inside == len(written)
+        n = sum(len(spans) for _, spans in found)
+        assert n > (400 if kind == "card" else 100), (kind, n)
+
+
+def test_numbers_that_are_nothing(large_model):
+    texts = [
+        "The meeting at home dot is on 2024-05-17 at 10:30, order 4711-0815, total 1,234.56 and 12.5% of 300 000 pieces.",
+        "Look at the example at page 12. Dot com bubbles burst in 2000. Printed 12/12/1999.",
+        "See Fig. 3-4 and lines 10-20-30. He waited at the door for 3 days at most, then left at dawn.",
+    ]
+    assert [spans for _, spans in pii.spans_of(texts, large_model.narrow())] == [[], [], []]
+
+
+def test_short_texts_are_learnt_from(spark):
+    rows = [(i, f"write to ab{i}@mail{i % 7}.example.com or not") for i in range(300)] + [(300 + i, "nothing here at all") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    windows, tags = pii.training_windows(docs)
+    assert (tags == 1).any(axis=1).sum() > 500 and windows.shape[1] == pii.LENGTH
+    assert pii.train(docs.limit(100)) is not None
+
+
+def whole_path(emitted, moves):
+    """The best path over a text, one character after the other, from nothing to nothing."""
+    best, came = np.where(np.arange(len(moves)) == 0, 0.0, -np.inf), []
+    for scores in [*emitted, np.array([0.0, *[tagger.NEVER] * (len(moves) - 1)])]:
+        step = best[:, None] + moves
+        came.append(step.argmax(axis=0))
+        best = step.max(axis=0) + scores
+    path = [0]
+    for back in came[:0:-1]:
+        path.append(int(back[path[-1]]))
+    return np.array(path[:0:-1])
+
+
+def test_paths_are_those_of_whole_texts(model):
+    narrow = model.narrow()
+    filler = "Reet laouelle pa, chouou 47 oi reaux. "
+    texts = [filler * n + "ab.34@mail7.example.com +1 (017) 555-7713 4845 1681 1440 7329 " * m + filler * 9 for n, m in ((0, 1), (5, 2), (6, 30), (40, 5))]
+    stride, margin = tagger.WINDOW - tagger.OVERLAP, tagger.OVERLAP // 2
+    for text, tags in zip(texts, tagger.tag_texts(narrow, texts)):
+        code, emitted = tagger.numbers(text), np.zeros((len(text), len(narrow["moves"])))
+        for start in range(0, max(1, len(code) - tagger.OVERLAP), stride):
+            piece = code[start : start + tagger.WINDOW]
+            scores = tagger.scores(narrow, np.pad(piece, (0, 1))[None])[:-1, 0]
+            first = margin if start else 0
+            emitted[start + first : start + len(piece)] = scores[first:]
+        path = whole_path(emitted, narrow["moves"].astype(np.float64))
+        assert (path == tags).all()
+        assert tags.any()
+
+
+def test_card_numbers_side_by_side():
+    a, b = "4845168114407329", "7536784127813050"
+    text = f"{a[:4]} {a[4:8]} {a[8:12]} {a[12:]} {b}"
+    assert pii.cards(text, 0, len(text)) == [(0, 19), (20, 36)]
+    assert pii.cards("1" * 400, 0, 400) == [] and pii.cards("12 34", 0, 5) == []
