@@ -21,7 +21,7 @@ from holdfast.llm.common import arrow_rows, map_batches, materialize, partitions
 from holdfast.llm.words import encoder
 
 #: Documents that a task encodes or checks at once.
-ROWS = 3000
+ROWS = 1500
 
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
 
