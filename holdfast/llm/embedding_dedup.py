@@ -6,7 +6,10 @@ another give an unbiased estimate of their inner product, and the factor a bound
 Pairs whose bounds exclude the threshold are dropped; all others are recomputed exactly, in double
 precision.
 
-Labels of up to `TILE` vectors are compared in full. In larger ones the pairs to estimate come from tables
+Equal vectors of a label are one class: only its first row is coded and compared, with the number of its copies, so
+n copies cost n rows and not the pairs between them. Copies link with each other.
+
+Labels of up to `TILE` different vectors are compared in full. In larger ones the pairs to estimate come from tables
 keyed by signs of random projections. Vectors at the threshold differ in a sign with a known chance, and
 no sign serves two tables, so tables miss a pair independently: the number of signs per key (from
 the size of the label) and of tables (from the miss rate) follow from the data. A pair is counted in
@@ -26,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import connected_components, map_batches, materialize, ship
+from holdfast.llm.common import connected_components, map_batches, materialize, ship, spread_join
 
 SEED = 42
 #: Coordinates of a code at least.
@@ -44,8 +47,8 @@ CONFIDENCE = 4.0
 #: Pairs that are recomputed at once.
 PAIRS = 1 << 16
 
-COLUMNS = ["row", "vec_id", "label", "dim", "keys", "factor", "code", "vector"]
-CODED = "row long, vec_id long, label long, dim int, keys array<int>, factor double, code binary, vector binary"
+COLUMNS = ["row", "vec_id", "copies", "label", "dim", "keys", "factor", "code", "vector"]
+CODED = "row long, vec_id long, copies long, label long, dim int, keys array<int>, factor double, code binary, vector binary"
 
 
 @functools.cache
@@ -95,23 +98,36 @@ def table_keys(units: np.ndarray, width: int, tables: int) -> np.ndarray:
     return (signs @ (1 << np.arange(width))).astype(np.int32)
 
 
+def usable(rows: DataFrame) -> DataFrame:
+    """The rows that can link."""
+
+    def odd(x: Column) -> Column:
+        return x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+
+    there = rows.where("vec_id is not null and label is not null and embedding is not null")
+    sound = there.where(~F.exists("embedding", odd) & F.exists("embedding", lambda x: x != 0))
+    return sound.withColumn("label", F.col("label").cast("long"))
+
+
+def classes(rows: DataFrame) -> DataFrame:
+    """(label, embedding, row, vec_id, copies): each different vector of a label once, with the first row and id that have it."""
+    first = [F.min(c).alias(c) for c in ("row", "vec_id")]
+    return rows.groupBy("label", "embedding").agg(*first, F.count(F.lit(1)).alias("copies"))
+
+
 def coded(vectors: DataFrame, threshold: float) -> DataFrame:
-    """Codes, factors, keys and vectors of the rows that can link."""
+    """Codes, factors, keys and vectors of `classes`."""
     precise = vectors.schema["embedding"].dataType.elementType.typeName() != "float"
     kind = np.float64 if precise else np.float32
 
     def encode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows, ids, labels = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "vec_id", "label"))
+        rows, ids, copies, labels = (batch.column(c).to_numpy() for c in ("row", "vec_id", "copies", "label"))
         found = [np.array(v, dtype=kind) for v in batch.column("embedding").to_pylist()]
         sizes = np.array([len(v) for v in found])
         widths = batch.column("width").to_numpy()
         for dim, width in np.unique(np.stack([sizes, widths]), axis=1).T.tolist():
             at = np.flatnonzero((sizes == dim) & (widths == width))
             stacked = np.stack([found[i] for i in at])
-            usable = np.isfinite(stacked).all(axis=1) & (stacked != 0).any(axis=1)
-            at, stacked = at[usable], stacked[usable]
-            if not len(at):
-                continue
             units = unit_rows(stacked)
             turned = rotated(units)
             codes = np.packbits(turned > 0, axis=1, bitorder="little")
@@ -120,6 +136,7 @@ def coded(vectors: DataFrame, threshold: float) -> DataFrame:
             columns = [
                 pa.array(rows[at].astype(np.int64)),
                 pa.array(ids[at].astype(np.int64)),
+                pa.array(copies[at].astype(np.int64)),
                 pa.array(labels[at].astype(np.int64)),
                 pa.array(np.full(len(at), dim, np.int32)),
                 pa.ListArray.from_arrays(
@@ -131,12 +148,7 @@ def coded(vectors: DataFrame, threshold: float) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, COLUMNS)
 
-    sound = vectors.where(
-        "vec_id is not null and label is not null and embedding is not null and size(embedding) > 0"
-    ).where(~F.exists("embedding", lambda x: x.isNull()))
-    rows = sound.select(
-        "row", "vec_id", F.col("label").cast("long").alias("label"), F.size("embedding").alias("dim"), "embedding"
-    )
+    rows = vectors.withColumn("dim", F.size("embedding"))
     # Labels of more than a tile, so the table has fewer rows than there are tiles.
     large = rows.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TILE)
     exact = F.round(F.log2(F.col("n") / F.lit(float(CROWD)))).cast("int")
@@ -220,7 +232,8 @@ def tiles(rows: DataFrame) -> DataFrame:
 
 
 def links(rows: DataFrame, threshold: float) -> DataFrame:
-    """(row, n) counts of links per tile, and edges (a, b) of vec_ids that connect all linked vectors."""
+    """(row, n) counts of links per tile to vectors of other classes, and edges (a, b) of vec_ids that connect all
+    linked classes."""
     ship(rows.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +258,7 @@ def links(rows: DataFrame, threshold: float) -> DataFrame:
         return np.flatnonzero(new).tolist()
 
     def compare(table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
-        numbers = {c: table.column(c).to_numpy() for c in ("row", "vec_id", "dim", "factor", "t", "mine")}
+        numbers = {c: table.column(c).to_numpy() for c in ("row", "vec_id", "copies", "dim", "factor", "t", "mine")}
         raw = {c: table.column(c) for c in ("code", "vector", "earlier")}
         out: list[list] = [[], [], [], []]
         for a, b in zip(bounds, bounds[1:]):
@@ -262,7 +275,9 @@ def links(rows: DataFrame, threshold: float) -> DataFrame:
             i, j = tile_links(tile, threshold)
             if not len(i):
                 continue
-            counts = np.bincount(i, minlength=b - a) + np.bincount(j, minlength=b - a)
+            counts = np.zeros(b - a, np.int64)
+            np.add.at(counts, i, tile["copies"][j])
+            np.add.at(counts, j, tile["copies"][i])
             linked = np.flatnonzero(counts)
             edges = [(tile["vec_id"][x], tile["vec_id"][y]) for x, y in spanning(i, j, b - a)]
             none = [None]
@@ -279,7 +294,7 @@ def links(rows: DataFrame, threshold: float) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["row", "n", "a", "b"])
 
     placed = tiles(rows).repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
-    wanted = [*TILE_KEY, "mine", "row", "vec_id", "earlier", "factor", "code", "vector"]
+    wanted = [*TILE_KEY, "mine", "row", "vec_id", "copies", "earlier", "factor", "code", "vector"]
     return placed.select(*wanted).mapInArrow(each, "row long, n long, a long, b long")
 
 
@@ -288,14 +303,38 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     rows = materialize(
         vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", "embedding")
     )
-    found = materialize(links(materialize(coded(rows, threshold)), threshold))
-    counts = found.where("row is not null").groupBy("row").agg(F.sum("n").alias("n_links"))
-    components = connected_components(found.where("a is not null").select("a", "b"))
+    sound = usable(rows)
+    total = rows.count()
+    groups = materialize(classes(sound))
+    found = materialize(links(materialize(coded(groups, threshold)), threshold))
+    named = groups.select("label", "embedding", "copies", F.col("row").alias("class"), F.col("vec_id").alias("first"))
+    members = materialize(
+        spread_join(sound, named, ["label", "embedding"], "copies", total).select("row", "vec_id", "class", "first")
+    )
+    # An id that stands in several classes joins them.
+    several = members.groupBy("vec_id").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most")
+    shared = members.join(several, "vec_id", "left_semi").select(F.col("vec_id").alias("a"), F.col("first").alias("b"))
+    components = connected_components(found.where("a is not null").select("a", "b").unionByName(shared))
+    counts = found.where("row is not null").groupBy("row").agg(F.sum("n").alias("n"))
+    known = materialize(
+        named.drop("label", "embedding")
+        .join(counts, F.col("class") == F.col("row"), "left")
+        .join(components, F.col("first") == F.col("node"), "left")
+        .select(
+            "class",
+            "copies",
+            (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+            F.coalesce("component", "first").alias("component"),
+        )
+    )
+    linked = spread_join(members, known, ["class"], "copies", total).select("row", "vec_id", "n_links", "component")
+    # Rows that cannot link have the component of their id too.
+    ids = linked.groupBy("vec_id").agg(F.min("component").alias("component"))
     component = F.coalesce("component", "vec_id")
     return (
         rows.select("row", "vec_id")
-        .join(counts, "row", "left")
-        .join(components, F.col("vec_id") == F.col("node"), "left")
+        .join(linked.select("row", "n_links"), "row", "left")
+        .join(ids, "vec_id", "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).alias("n_links"),

@@ -183,6 +183,23 @@ def test_odd_vectors(spark):
     assert embedding_dedup.near_vectors(table.where("false")).collect() == []
 
 
+def test_equal_vectors_are_one_class(spark):
+    """Copies link with each other and with all copies of near vectors, and cost no pairs."""
+    rng = np.random.default_rng(11)
+    base, far = rng.standard_normal((2, 64))
+    near = base + rng.normal(0, 0.05, 64)
+    n, m = 20_000, 300
+    rows = [(i, base.tolist(), 1) for i in range(10, 10 + n)] + [(i, near.tolist(), 1) for i in range(50_000, 50_000 + m)]
+    rows += [(7, far.tolist(), 1), (3, base.tolist(), 2), (50_000, far.tolist(), 1), (8, [0.0, -0.0, 1.0], 3), (9, [-0.0, 0.0, 1.0], 3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    numbered = table.select(F.monotonically_increasing_id().alias("row"), "*")
+    assert embedding_dedup.classes(embedding_dedup.usable(numbered)).count() == 5
+    found = embedding_dedup.near_vectors(table).groupBy("n_links", "component_id", "kept").count()
+    assert {tuple(r) for r in found.collect()} == {
+        (n + m - 1, 7, False, n + m), (1, 7, True, 1), (1, 7, False, 1), (0, 3, True, 1), (1, 8, True, 1), (1, 8, False, 1),
+    }
+
+
 def test_crowded_vectors_are_tiled(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 50)
     rng = np.random.default_rng(6)
