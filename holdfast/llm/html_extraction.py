@@ -7,7 +7,8 @@ not, with the whole page as context. Blocks labelled main are joined by line fee
 The labeller is trained on a bounded sample, at most `PAGES` pages (those whose ids and content hash lowest) and of
 each the first blocks, up to about `PAGE_SIZE` characters of text. Their own labels come from semantic elements (article, main, and what cannot be
 main text within). As pages of one corpus may share one layout, the same texts are also laid out in
-others, by the lists below.
+others: by the lists of wrappers below, and on pages whose elements and class names are any, where only the structure
+tells: order, sizes, links, headings, what repeats, and how much of the page stands together.
 
 Where no page of the sample has a block longer than `LONG` characters there is nothing to learn from, and
 the semantic elements alone tell the main text.
@@ -19,7 +20,8 @@ repeated rows are extracted like others. An empty table gives an empty one. Othe
 from __future__ import annotations
 
 import pickle
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from html import escape
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import lowest_hashes, map_batches
-from holdfast.llm.html_blocks import PATH_SIZE, WORD_SIZE, Block, blocks, features
+from holdfast.llm.html_blocks import WIDTH, Block, blocks, features
 from holdfast.llm.recurrent import Adam, both_gradients, both_ways, sigmoid
 
 PAGES, PAGE_SIZE = 300, 60_000
@@ -36,20 +38,12 @@ PAGES, PAGE_SIZE = 300, 60_000
 BLOCK_SIZE = 64
 #: Blocks that are longer make the pages that are laid out anew.
 LONG = 40
-LAYOUTS, STEPS, ROWS = 900, 1000, 16
-HIDDEN = 12
-WIDTH = PATH_SIZE + WORD_SIZE + 6
+LAYOUTS, STEPS, ROWS = 2400, 1200, 16
+HIDDEN = 16
 SEED = 42
 #: Blocks (with padding) that are labelled at once.
 CELLS = 1 << 16
 
-MAIN = {"article", "main"}
-OTHER = {
-    "nav", "footer", "aside", "form", "ad", "ads", "advert", "advertisement", "banner", "sidebar", "menu", "comment",
-    "comments", "cookie", "notice", "related", "share", "social", "promo", "newsletter", "breadcrumb", "breadcrumbs",
-    "login", "search", "widget", "sponsored", "popup", "modal", "toolbar", "reply", "respond",
-}
-
 #: Wrappers of main text, and of everything else, for the pages that are laid out anew.
 MAIN_WRAPPERS = (
     "article", "main", "article class='post'", "div class='content'", "div id='content'", "div class='post-body'",
@@ -126,10 +120,11 @@ class Labeller:
             slope = (chance - gold) * mask / total
             inner = slope[:, :, None] * v["out"]
             ahead, back, recurrent = both_gradients(inner[:, :, : 2 * HIDDEN], kept, weights, mask)
+            flat = rows.reshape(-1, WIDTH).T
             adam.update(
                 {
-                    "forward": np.einsum("trd,trg->dg", rows, ahead),
-                    "backward": np.einsum("trd,trg->dg", rows, back),
+                    "forward": flat @ ahead.reshape(-1, 4 * HIDDEN),
+                    "backward": flat @ back.reshape(-1, 4 * HIDDEN),
                     "weights_0": recurrent[0],
                     "weights_1": recurrent[1],
                     "gates": np.concatenate([ahead.sum(axis=(0, 1)), back.sum(axis=(0, 1))]),
@@ -150,14 +145,6 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return rows, mask
 
 
-def semantic_label(block: Block) -> bool | None:
-    """Main text by its elements; None for blocks of pages that have none that tell."""
-    inner = max((i for i, token in enumerate(block.tokens) if token in MAIN), default=-1)
-    if any(token in OTHER for token in block.tokens[inner + 1 :]):
-        return False
-    return True if inner >= 0 else None
-
-
 def element(wrapper: str, content: str, keep: int | None = None) -> str:
     if not wrapper:
         return content
@@ -212,6 +199,110 @@ def layout(random: np.random.Generator, texts: list[str]) -> str:
     return element("body", element(AROUND[random.integers(0, len(AROUND))], page, 0))
 
 
+def bare_layout(random: np.random.Generator, texts: list[str]) -> str:
+    """A page whose wrappers seldom tell: titles, paragraphs, menus, remarks of readers, teasers, notices and
+    imprints in elements of any class name. Labelled by data-keep."""
+    wrappers: dict[str, str] = {}
+
+    def chance(share: float) -> bool:
+        return random.random() < share
+
+    def one(of: Sequence[str]) -> str:
+        return of[random.integers(0, len(of))]
+
+    def number(low: int, high: int) -> int:
+        return int(random.integers(low, high + 1))
+
+    def words(low: int, high: int) -> str:
+        found = one(texts).split(" ")
+        start = number(0, max(0, len(found) - low))
+        return escape(" ".join(found[start : start + number(low, high)]))
+
+    def around(kind: str, known: Sequence[str] = OTHER_WRAPPERS, share: float = 0.2) -> str:
+        if kind not in wrappers:
+            name = "".join(map(chr, random.integers(97, 123, number(2, 9))))
+            wrapper = one(("div", "div class='%s'", "div class='%s'", "div id='%s'", "section class='%s'")).replace("%s", name)
+            wrappers[kind] = one(known) if chance(share) else wrapper
+        return wrappers[kind]
+
+    def link(text: str) -> str:
+        return f"<a href='/x'>{text}</a>"
+
+    def date() -> str:
+        return one((f"{number(1, 28)} {words(1, 1)} {number(1999, 2030)}", f"{number(1, 12)}/{number(1, 28)}/{number(1999, 2030)}", f"{number(2, 23)} {words(1, 2)}"))
+
+    def menu() -> str:
+        links = [link(words(1, 3)) for _ in range(number(2, 9))]
+        form = number(0, 2)
+        inner = " ".join(links) if not form else "".join(element("li" if form == 1 else around("item", share=0), x) for x in links)
+        return element(around("menu"), element("ul", inner) if form == 1 else inner, 0)
+
+    def imprint() -> str:
+        line = one((f"&copy; {number(1999, 2030)} {words(1, 5)}", words(2, 10), f"{words(1, 3)} {link(words(1, 2))} {link(words(1, 2))}"))
+        return element(around("imprint"), element(one(("", "p", "div", "span")), line), 0)
+
+    def notice() -> str:
+        line = element(one(("", "p", "div", "span")), words(4, 30))
+        return element(around("notice"), line + one(("", link(words(1, 2)), f"<button>{words(1, 2)}</button>")), 0)
+
+    def teasers() -> str:
+        parts = [element(one(("h2", "h3", "h4", "div")), words(1, 4))] if chance(0.7) else []
+        body = chance(0.5)
+        for _ in range(number(2, 7)):
+            title = element("h4" if body else "", link(words(2, 9)))
+            parts.append(element("div" if body else "p", title + (element("p", words(5, 25)) if body else "")))
+        return element(around("teasers"), "".join(parts), 0)
+
+    paragraph = one(("p", "p", "p", "div"))
+    author, dated, reply, listed = chance(0.85), chance(0.5), chance(0.4), chance(0.35)
+    together = chance(0.4)  # the name and the date in one line
+    author_tag, text_tag = one(("b", "strong", "span", "div", "h4", "h5", "p", "div class='by'")), one((paragraph, "p", "div", "div class='x'"))
+
+    def remark() -> str:
+        parts = [words(1, 3) + one(("", "", ":", f" {words(1, 1)}"))] if author else []
+        if dated:
+            parts.append(date())
+        parts = [element(author_tag, " ".join(parts))] if together and parts else [element(author_tag, part) for part in parts]
+        said = [escape(one(texts)) if chance(0.6) else words(3, 40) for _ in range(1 if chance(0.8) else 2)]
+        parts += [element(text_tag, text) for text in said]
+        if reply:
+            parts.append(link(words(1, 1)))
+        return element("li" if listed else around("remark", share=0.1), "".join(parts))
+
+    def remarks() -> str:
+        inner = "".join(remark() for _ in range(number(1, 8)))
+        title = one((words(1, 3), f"{number(1, 90)} {words(1, 1)}", f"{words(1, 1)} ({number(1, 90)})"))
+        head = element(one(("h2", "h3", "h3", "h4", "div", "p")), title) if chance(0.6) else ""
+        field = "<form><textarea></textarea><input></form>" if chance(0.2) else ""
+        return element(around("remarks"), head + (element("ul", inner) if listed else inner) + field, 0)
+
+    body = [element(one(("h1", "h1", "h1", "h2", "div", paragraph)), words(2, 12))]
+    if chance(0.05):
+        body = []
+    for _ in range(number(2, 14)):
+        body.append(element(paragraph, escape(one(texts)) if chance(0.85) else words(2, 40)))
+        kind = random.random()
+        if kind < 0.1:
+            body.append(element(one(("h2", "h3")), words(1, 8)))
+        elif kind < 0.15:
+            body.append(element(one(("ul", "ol")), "".join(element("li", words(2, 20)) for _ in range(number(2, 5)))))
+        elif kind < 0.18:
+            body.append(element("blockquote", element("p", escape(one(texts)))))
+        elif kind < 0.21:
+            body.append(one((notice, teasers))())
+    main = element(around("main", MAIN_WRAPPERS, 0.3), "".join(body), 1)
+    said = remarks() if chance(0.65) else ""
+    if chance(0.25):  # the remarks in one wrapper with the text, but not in it
+        main, said = element(around("both", MAIN_WRAPPERS, 0.3), main + said, 0), ""
+    before = [menu] * chance(0.75) + [notice] * chance(0.4) + [imprint] * chance(0.3) + [teasers] * chance(0.15)
+    after = [menu] * chance(0.2) + [notice] * chance(0.3) + [teasers] * chance(0.35) + [imprint] * chance(0.7)
+    rest = [after[i]() for i in random.permutation(len(after))]
+    if said:
+        rest.insert(number(0, min(1, len(rest))), said)
+    page = "".join([*(before[i]() for i in random.permutation(len(before))), main, *rest])
+    return element("body", element(one(AROUND), page, 0))
+
+
 def sampled(page: str) -> bytes:
     """The first blocks of a page."""
     read, size = [], 0
@@ -219,7 +310,7 @@ def sampled(page: str) -> bytes:
         size += len(block.text) + BLOCK_SIZE
         if read and size > PAGE_SIZE:
             break
-        read.append(Block(block.text[:PAGE_SIZE], block.path, block.tokens, block.linked, block.keep))
+        read.append(replace(block, text=block.text[:PAGE_SIZE]))
     return pickle.dumps(read)
 
 
@@ -245,12 +336,12 @@ def train(pages: DataFrame) -> Labeller | None:
         return None
     examples = []
     for page in read:
-        labels = [semantic_label(block) for block in page]
+        labels = [block.semantic for block in page]
         if True in labels:
             examples.append((features(page), np.array([label is True for label in labels], dtype=float)))
     random = np.random.default_rng(SEED)
-    for _ in range(LAYOUTS):
-        page = blocks(layout(random, texts))
+    for i in range(LAYOUTS):
+        page = blocks((bare_layout if i % 4 else layout)(random, texts))
         examples.append((features(page), np.array([bool(block.keep) for block in page], dtype=float)))
     model = Labeller.fresh()
     model.train(examples)
@@ -267,7 +358,7 @@ def extract(pages: DataFrame, model: Labeller | None, html: str = "html", text:
         if model:
             chances = model.chances([features(page) for page in read])
         else:
-            chances = [np.array([float(semantic_label(block) is True) for block in page]) for page in read]
+            chances = [np.array([float(block.semantic is True) for block in page]) for page in read]
         found = [
             "\n".join(block.text for block, chance in zip(page, row.tolist()) if chance >= 0.5)
             for page, row in zip(read, chances)

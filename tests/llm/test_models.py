@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from holdfast.llm import html_blocks, html_extraction, pii, quality, recurrent, tagger
 
+from . import written_pages
+
 
 def test_op7_on_held_out_labels(query, sf_dir):
     rows = {r.doc_id: r for r in query("op7_quality")}
@@ -230,6 +233,42 @@ def test_other_layouts(spark, sf_dir):
     assert {r.text for r in html_extraction.extract(table, None).collect()} == {""}
 
 
+def test_written_pages(spark, sf_dir):
+    """Pages whose wrappers and structure no training page has, with reader comments of several kinds."""
+    model = html_extraction.train(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+    def right(page, main):
+        read = html_blocks.blocks(page)
+        found = model.chances([html_blocks.features(read)])[0] >= 0.5
+        return [got == (block.text in main) for got, block in zip(found, read)]
+
+    for name, (page, main) in written_pages.WRITTEN.items():
+        assert np.mean(right(page, main)) >= 0.95, name
+    held = {name: np.mean(right(*given)) for name, given in written_pages.HELD.items()}
+    assert np.mean(list(held.values())) >= 0.9 and sum(share >= 0.95 for share in held.values()) >= 2, held
+
+
+@pytest.mark.parametrize(
+    "page, n",
+    [
+        ("<div>" * 100_000 + "text</nix></p></li>" + "</div>" * 100_000, 1),
+        ("<div>" * 50_000 + "</nix>x" * 50_000, 50_000),
+        ("<p><div class='a'>" * 50_000 + "<a>x" * 1000, 1),
+        ("<li><ul>" * 50_000 + "x", 1),
+    ],
+)
+def test_deep_pages_take_linear_time(page, n):
+    start = time.process_time()
+    assert len(html_blocks.blocks(page)) == n
+    assert time.process_time() - start < 5
+
+
+def test_deep_elements_still_tell():
+    for wrapper, told in (("article", True), ("div class='comments'", False)):
+        page = "<article>" * (not told) + "<div class='x'>" * 500 + f"<{wrapper}>" + "<div>" * 500 + "text"
+        assert [block.semantic for block in html_blocks.blocks(page)] == [told]
+
+
 @pytest.mark.parametrize(
     "page, expected",
     [
