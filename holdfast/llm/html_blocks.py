@@ -20,6 +20,7 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 LETTERS = re.compile(r"[a-z]+")
+DIGITS = re.compile(r"[0-9]")
 
 #: Elements whose content is no text of the page.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe"}
@@ -248,7 +249,7 @@ def features(page: list[Block]) -> np.ndarray:
             stops / len(words),
             size / len(words) / 10,
             block.text[-1] in ".!?:",
-            sum(map(block.text.count, "0123456789")) / size,
+            len(DIGITS.findall(block.text)) / size,
             block.name in HEADINGS,
             block.name == "h1",
         )
@@ -267,13 +268,11 @@ def places(page: list[Block]) -> np.ndarray:
     out[:, 0] = at / max(1, n - 1)
     out[:, 1] = np.log1p(at) / 4
     for k in range(4):  # the element, the one around it, and all in the same places
-        groups, group = np.unique(inside[:, k], return_inverse=True)
-        total = np.bincount(group, weights=sizes)
-        out[:, 2 + k] = total[group] / sizes.sum()
-        if k > 1:
-            # How many elements are in that place: remarks and links repeat, the main text does not.
-            pairs = np.unique(np.stack([group, inside[:, k - 2]]), axis=1)[0]
-            out[:, 4 + k] = np.log1p(np.bincount(pairs, minlength=len(groups))[group]) / 3
+        out[:, 2 + k] = np.bincount(inside[:, k], weights=sizes)[inside[:, k]] / sizes.sum()
+    for k in range(2):  # How many elements are in that place: remarks and links repeat, the main text does not.
+        place_of = np.full(inside[:, k].max() + 1, -1)
+        place_of[inside[:, k]] = inside[:, 2 + k]
+        out[:, 6 + k] = np.log1p(np.bincount(place_of[place_of >= 0])[inside[:, 2 + k]]) / 3
     out[1:, 8] = inside[1:, 1] == inside[:-1, 1]
     out[:-1, 9] = out[1:, 8]
     out[1:, 10] = inside[1:, 2] == inside[:-1, 2]
