@@ -24,7 +24,7 @@ from holdfast.operators.encoding import (
 )
 from holdfast.operators.second_order import fit_second_order
 from holdfast.operators.trees import TreeModel, predict_trees
-from holdfast.runtime import use_checkpoints
+from holdfast.runtime import spread, use_checkpoints
 
 ENCODED, REFERENCE_PARITY = "encoded", "reference_parity"
 
@@ -47,7 +47,8 @@ def fit_trees(
     fail the job.
 
     Spark picks split candidates from a sample beyond 10,000 rows, so results may move with the
-    partitioning; `layout=(partitions, key)` fixes it at the price of one shuffle. Lineage is cut
+    partitioning; `layout=(partitions, key)` fixes it at the price of one shuffle. Without it a table of many
+    rows is dealt out to the cores. Lineage is cut
     every ten trees in the shared checkpoint folder, so a lost executor does not replay them all.
     """
     use_checkpoints(train.sparkSession)
@@ -55,6 +56,8 @@ def fit_trees(
     rows = assemble_features(train, features, keep, fill)
     if layout is not None:
         rows = rows.repartition(layout[0], quoted(layout[1])).sortWithinPartitions(quoted(layout[1]))
+    else:
+        rows = spread(rows)  # each tree reads them once a level
     trees = GBTClassifier(
         labelCol=label,
         featuresCol="features",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import os
 import uuid
 import zipfile
@@ -57,6 +58,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that are too few to part, and the most that a task of `spread` gets where cores are few.
+FEW_ROWS, MOST_ROWS = 20_000, 1_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` dealt out evenly to the cores. Rows of a packed file come in as many tasks as it has row groups, which
+    may be one whatever their number, and Spark joins small shuffled partitions into one: too few for work that
+    costs much more per row than a shuffle does. Tables of few rows stay as they are."""
+    rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(math.ceil(rows / FEW_ROWS), max(cores, math.ceil(rows / MOST_ROWS)))
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     """A file below the shared folder, whatever kind of store that is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
