@@ -191,19 +191,32 @@ def scan_request_lines(spark, sf_dir):
     return requests.scan_requests(spark, path).select("content_type", "value")
 
 
+def _other_split(spark: SparkSession, path: str, size: str) -> int:
+    """Bytes of a split other than `size`: at least 50,000, and as many splits as cores have a few dozen of."""
+    store = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    held = store.getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(path)).getLength()
+    usual = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+    return max(50_000, min(usual // 2, held // (32 * spark.sparkContext.defaultParallelism)))
+
+
 @register(with_accounts("SELECT value, count(*) AS copies, count(*) AS ids, CAST(1 AS INT) AS same FROM "
                         "(SELECT value FROM requests_raw UNION ALL SELECT value FROM requests_raw WHERE request_id % 3 = 0) GROUP BY value"))
 def request_line_ids(spark, sf_dir):
     """Do lines, some of them repeated, get ids of their own, and the same ones however their files are split?"""
     path = scratch_path(spark, "repeated_lines")
     lines = fixtures.requests_raw(spark, sf_dir)
-    lines.unionByName(lines.where("request_id % 3 = 0")).select("value").coalesce(1).write.text(path)
+    repeated = lines.unionByName(lines.where("request_id % 3 = 0")).select("value")
+    tasks = lines.rdd.getNumPartitions()
+    # The copies of a line go to one file, so files repeat lines however many there are.
+    (repeated.repartition(tasks, "value") if tasks > 1 else repeated.coalesce(1)).write.text(path)
     size = "spark.sql.files.maxPartitionBytes"
     first = materialize(requests.scan_requests(spark, path))
     before = spark.conf.get(size)
-    spark.conf.set(size, "50000")
-    again = materialize(requests.scan_requests(spark, path))
-    spark.conf.set(size, before)
+    spark.conf.set(size, str(_other_split(spark, path, before)))
+    try:
+        again = materialize(requests.scan_requests(spark, path))
+    finally:
+        spark.conf.set(size, before)
     known_again = again.select("request_id", F.col("value").alias("_value"))
     both = first.join(known_again, "request_id", "left")
     same = F.coalesce((F.col("value") == F.col("_value")).cast("int"), F.lit(0))

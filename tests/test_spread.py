@@ -1,10 +1,12 @@
 """Rows that come in one piece, and the work that is dealt out."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from holdfast.operators import boosting
 from holdfast.operators.encoding import Feature
-from holdfast.plans import fixtures
+from holdfast.plans import catalog, fixtures
 from holdfast.runtime import FEW_ROWS, spread
 
 
@@ -48,3 +50,14 @@ def test_fit_deals_out_many_rows(spark, monkeypatch):
         found = boosting.predict(table, model, [Feature("x", "x")], ["y"])
         assert found.where("y != prediction").isEmpty()
     assert seen == [2, 1]
+
+
+def test_splits_of_repeated_lines_do_not_grow_with_the_file(spark, tmp_path):
+    path = tmp_path / "lines"
+    for size in (1_000, 60_000_000, 600_000_000):
+        with path.open("wb") as file:
+            os.truncate(file.fileno(), size)
+        split = catalog._other_split(spark, str(path), "16m")
+        assert 50_000 <= split <= 8 << 20
+        assert size / split <= 33 * spark.sparkContext.defaultParallelism or split == 8 << 20
+    assert catalog._other_split(spark, str(path), str(1 << 40)) == 600_000_000 // (32 * spark.sparkContext.defaultParallelism)
