@@ -4,7 +4,8 @@ Rows are ordered by a seeded digest of their key. A histogram over the first dig
 which small range each class reaches its quota; what is left there is counted by digest, and cut by further
 digits in the same way until no class has more than 65,536 digests, which are looked at one by one to
 find the cutoff. So no window is longer than that. Quotas, histograms and cutoffs are tables. Marking a row is a lookup of the
-cutoff of its class.
+cutoff of its class. A table of so many classes that their cutoffs would have to be shuffled with it is shuffled by class
+instead, once and without digests, and its classes of up to 65,536 rows are ordered there.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from holdfast.runtime import materialize
 DIGITS = 4  # hex digits of a histogram: at most 65,536 ranges per class
 DIGEST = 32  # hex digits of a digest
 COPIES_PER_TASK_ROW = 100_000
+FEW_CLASSES = 10_000  # whose cutoffs are small enough to look up
 
 TRAIN, TEST = "train", "test"
 
@@ -142,12 +144,44 @@ def stratified_split(
         keys = [key] if isinstance(key, str) else list(key)
         digest = F.md5(F.concat_ws("|", *[quoted(k).cast("string") for k in keys], F.lit(str(seed))))
     second = _row_digest(columns, seed + 1)
-    source = df.select(quoted(label).alias("label"), digest.alias("digest"), second.alias("second"))
 
-    counts = materialize(source.groupBy("label").agg(F.count("*").alias("n")))
+    counts = materialize(df.groupBy(quoted(label).alias("label")).agg(F.count("*").alias("n")))
     if counts.isEmpty():
         return df.withColumn(out, F.lit(None).cast("string"))
     needed = train_quotas(counts, test_size).where("needed > 0")
+    if counts.count() <= FEW_CLASSES:
+        return _by_cutoffs(df, label, digest, second, needed, out)
+
+    # At most one large class per 65,536 rows.
+    large = counts.where(F.col("n") > 16**DIGITS).select("label")
+    if large.isEmpty():
+        return _by_order(df, label, digest, second, needed, out)
+    rows = df.select(F.struct(*[quoted(c) for c in columns]).alias("row"), quoted(label).alias("label"))
+    parts = [rows.join(F.broadcast(large), "label", how) for how in ("left_semi", "left_anti")]
+    big, small = (part.select(*[F.col("row")[c].alias(c) for c in columns]) for part in parts)
+    needed = materialize(needed)
+    of_large = needed.join(F.broadcast(large), "label", "left_semi")
+    cut = _by_cutoffs(big, label, digest, second, of_large, out)
+    return cut.unionByName(_by_order(small, label, digest, second, needed, out))
+
+
+def _by_order(df: DataFrame, label: str, digest: Column, second: Column, needed: DataFrame, out: str) -> DataFrame:
+    """`df` with its sides, each class ordered in one window, in which equal rows may come in any order. Digests
+    are made where the rows of a class have met, so only the table's own columns are shuffled."""
+    mark = "_" * max(map(len, df.columns))  # longer names than the table's
+    ours, theirs, quota = f"{mark}_label", f"{mark}_of", f"{mark}_needed"
+    quotas = needed.select(F.col("label").alias(theirs), F.col("needed").alias(quota))
+    met = df.withColumn(ours, quoted(label)).join(quotas, F.col(ours) == F.col(theirs), "left")
+    place = F.row_number().over(Window.partitionBy(ours).orderBy(F.unhex(digest), F.unhex(second)))
+    return met.withColumn(out, F.when(place <= F.col(quota), TRAIN).otherwise(TEST)).select(
+        *[quoted(c) for c in df.columns], quoted(out)
+    )
+
+
+def _by_cutoffs(df: DataFrame, label: str, digest: Column, second: Column, needed: DataFrame, out: str) -> DataFrame:
+    """`df` with its sides, by the cutoff of each class."""
+    columns = df.columns
+    source = df.select(quoted(label).alias("label"), digest.alias("digest"), second.alias("second"))
     cuts = _cutoffs(source.select("label", "digest"), needed)
 
     # Classes whose cutoff falls between rows of one key: order those rows by the second digest.

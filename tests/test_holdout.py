@@ -125,3 +125,33 @@ def test_small_windows_give_the_same_sides(spark, sf_dir, monkeypatch, digits):
     monkeypatch.setattr(holdout, "_reached", lambda table, position: lengths.append(table.groupBy("label").count().agg(F.max("count")).first()[0] or 0) or reached(table, position))
     assert sorted(holdout.stratified_split(rows, "y", "key").collect()) == whole
     assert max(lengths) <= 16**digits
+
+
+@pytest.mark.parametrize("label", ["y", "label", "needed"])
+def test_many_classes_are_ordered_where_they_meet(spark, monkeypatch, label):
+    """The same sides as by cutoffs: keys that repeat or are null, equal rows, classes beyond a window."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 5 == 0, -1).when(F.col("id") % 7 > 0, F.col("id") % 2900).alias("key"),
+        F.when(F.col("id") % 3 == 0, F.lit(3)).otherwise(F.col("id") % 211).alias(label),
+        (F.col("id") % 4).alias("other"),
+    )
+    whole = sorted(stratified_split(rows, label, "key").collect(), key=str)
+    monkeypatch.setattr(holdout, "FEW_CLASSES", 100)
+    assert sorted(stratified_split(rows, label, "key").collect(), key=str) == whole
+    monkeypatch.setattr(holdout, "DIGITS", 2)  # two classes are larger
+    assert sorted(stratified_split(rows, label, "key").collect(), key=str) == whole
+
+
+def test_many_classes_shuffle_rows_once_and_no_digests(spark, monkeypatch):
+    """By class, and once for the counts; of cutoffs there are none to look up."""
+    rows = spark.range(6000).select("id", (F.col("id") % 211).alias("y"))
+    monkeypatch.setattr(holdout, "FEW_CLASSES", 100)
+    monkeypatch.setattr(holdout, "_cutoffs", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stratified_split(rows, "y", "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "Exchange" not in above and above.count("Window") == 1
+    assert "md5" not in plan[plan.index("SortMergeJoin") :]
