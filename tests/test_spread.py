@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from holdfast import runtime
 from holdfast.operators import boosting
 from holdfast.operators.encoding import Feature
 from holdfast.plans import catalog, fixtures
@@ -52,6 +53,25 @@ def test_fit_deals_out_many_rows(spark, monkeypatch):
     assert seen == [2, 1]
 
 
+def test_scoring_queries_deal_out_one_row_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "CATALOG_TREES", 1)
+    folder, n = str(tmp_path), 2 * FEW_ROWS
+    spark.range(0, n, 1, 1).withColumnRenamed("id", "c_custkey").write.parquet(f"{folder}/customer.parquet")
+    for name in ("node_table_scores", "model_roundtrip"):
+        scored = catalog.QUERIES[name](spark, folder)
+        assert tasks(scored) == 2
+        assert scored.where("same = 1").agg(F.countDistinct("customerID")).first()[0] == n
+    whole = catalog.score_requests(spark, folder)
+    assert whole.agg(F.count("*"), F.countDistinct("request_id")).first()[:] == (n, n)
+    for stream in (catalog.score_stream, catalog.predict_stream):
+        found = stream(spark, folder)
+        files = [path for path in runtime._named if path.endswith("/request_files")][-1]
+        assert len(spark.read.text(files).inputFiles()) == 2
+        assert found.agg(F.countDistinct("request_id")).first()[0] == n
+    answers = catalog.score_stream(spark, folder).select(whole.columns)
+    assert answers.exceptAll(whole).isEmpty() and whole.exceptAll(answers).isEmpty()
+
+
 def test_splits_of_repeated_lines_do_not_grow_with_the_file(spark, tmp_path):
     path = tmp_path / "lines"
     for size in (1_000, 60_000_000, 600_000_000):
